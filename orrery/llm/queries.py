@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontam, kneser, matroska, packing, warc
+from orrery.llm import decontam, jaccard, kneser, matroska, packing, toxicity, warc
 from orrery.llm.common import table
 
 
@@ -30,6 +30,14 @@ def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+def op7_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"), percent=90, width=3)
+
+
 def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,7 +46,7 @@ def op10_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op6_warc_dictionary, op9_kneser_ney_quality, op10_edit_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination)}
 
 #: DuckDB's form of those queries that SQL expresses; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
