@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontam, jaccard, kneser, matroska, packing, toxicity, warc
+from orrery.llm import decontam, htmltext, jaccard, kneser, lattice, licenses, matroska, packing, toxicity, warc
 from orrery.llm.common import table
 
 
@@ -26,6 +26,18 @@ def op2_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matroska.features(matroska.to_matroska(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id")
 
 
+def op3_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_license_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(table(spark, sf_dir, "documents"), lattice.pieces(vocabulary("byte_bpe_50k.tiktoken")))
+
+
 def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
@@ -46,7 +58,7 @@ def op10_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination)}
 
 #: DuckDB's form of those queries that SQL expresses; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
