@@ -13,6 +13,7 @@ Null texts are empty, and an empty document is its end id alone. Documents are c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -48,25 +49,32 @@ class Encoder:
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.coder = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.memo: dict[str, bytes] = {}
+        self.pairs = [i.to_bytes(2, "little") for i in range(1 << 16)]
 
     def plain(self, text: str) -> bytes:
-        return np.asarray(self.coder.encode_ordinary(text), "<u2").tobytes()
+        return b"".join(map(self.pairs.__getitem__, self.coder.encode_ordinary(text)))
 
     def __call__(self, text: str) -> bytes:
         head, *parts = text.split(" ")
         if not head or "" in parts or any(p[0].isspace() for p in parts):
             return self.plain(text)
         memo, out = self.memo, [self.plain(head)]
-        if len(memo) > MEMO:
-            memo.clear()
         for p in parts:
             ids = memo.get(p)
             if ids is None:
-                ids = memo[p] = self.plain(" " + p)
+                ids = self.plain(" " + p)
+                if len(memo) < MEMO:
+                    memo[p] = ids
             out.append(ids)
         return b"".join(out)
 
 
+@lru_cache(1)
+def encoder(vocabulary: str) -> Encoder:
+    """One encoder a worker process, whose kept words serve all its tasks."""
+    return Encoder(vocabulary)
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable letter that byte-level vocabularies write for each byte."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -111,7 +119,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 1, n_ids: int = 65_53
     """(doc_id, key, ids): token ids as 16-bit binary and the curve position with its tie-breaking bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, w, end = Encoder(vocabulary), weights(n_ids), end_id.to_bytes(2, "little")
+        coder, w, end = encoder(vocabulary), weights(n_ids), end_id.to_bytes(2, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -144,7 +152,8 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def pack(encoded: DataFrame, length: int = 2048, partition_mb: int = 8) -> DataFrame:
     """One row per piece. `encoded` is a stored table: its keys are read for the partition bounds, its ids once.
 
-    Bounds are token-weighted quantiles of the keys over all rows, from a histogram of the keys' leading bits with a fixed number of bins.
+    Bounds are token-weighted quantiles of the keys over all rows, from a histogram of the keys' leading bits with a
+    fixed number of bins; cells that are heavy by themselves are spread by their tie-breaking bits.
     """
     spark = encoded.sparkSession
     bins = 1 << 16
@@ -160,15 +169,19 @@ def pack(encoded: DataFrame, length: int = 2048, partition_mb: int = 8) -> DataF
     first = np.minimum(first, parts - 1)
     spread = np.minimum(spread, parts - first)
     low = (1 << shift) - 1
-    bounds = spark.sparkContext.broadcast((first, spread))
+    # cells that fill much of a partition alone: their number is bounded by that of the partitions
+    heavy = encoded.groupBy(F.shiftright("key", TIE_BITS).alias("cell")).agg(F.sum(F.octet_length("ids") + 32).alias("n")).where(F.col("n") > float(target / 4)).select("cell").collect()
+    bounds = spark.sparkContext.broadcast((first, spread, np.sort(np.array([r["cell"] for r in heavy], np.int64))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, spread = bounds.value
+        first, spread, heavy = bounds.value
         for b in batches:
             key = b.column(1).to_numpy()
             bin_, rest = key >> shift, key & low
-            # a bin that several partitions share is cut evenly by its lower bits
-            part = first[bin_] + rest * spread[bin_] // (low + 1) if shift <= 40 else first[bin_] + (rest.astype(np.float64) / (low + 1) * spread[bin_]).astype(np.int64)
+            # a bin that several partitions share is cut by its lower bits, and a heavy cell in it by its tie-breaking bits
+            tied = np.isin(key >> TIE_BITS, heavy)
+            rest = np.where(tied, (key & (1 << TIE_BITS) - 1) << shift - TIE_BITS, rest)
+            part = first[bin_] + (rest * spread[bin_] >> shift)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(part.astype(np.int32))], names=["doc_id", "key", "ids", "part"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
