@@ -148,12 +148,12 @@ def turtle(spark: SparkSession, path: str) -> DataFrame:
             for t in b["value"]:
                 yield pd.DataFrame(parse_turtle(t), columns=kinds)
 
-    return spark.read.option("wholetext", True).text(path).mapInPandas(run, SCHEMA).select(*COLUMNS).dropDuplicates()
+    return spark.read.text(path, wholetext=True).mapInPandas(run, SCHEMA).select(*COLUMNS).dropDuplicates()
 
 
 def markdown_table(spark: SparkSession, path: str, section: str, columns: tuple[str, ...] = ("class", "cell")) -> DataFrame:
     """Rows of the first tables below a heading, up to the next heading of its rank: their first and last cells."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     rank = f"(?ms)^(#+)\\s*[^\\n]*{re.escape(section)}[^\\n]*$(.*?)(?=^#{{1,3}}\\s|\\z)"
     body = F.regexp_extract("value", rank, 2)
     line = text.select(F.posexplode(F.split(body, "\n")).alias("line", "text")).where(F.col("text").rlike(r"^\s*\|") & ~F.col("text").rlike(r"^\s*\|[\s:|-]+$"))
