@@ -74,9 +74,11 @@ def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold:
     Below the threshold there is no match, but the score and the reason stay. A value without candidates says so.
     """
     query = F.lower(strip("name"))
+    if not scope and index.limit(BOUND + 1).count() > BOUND:
+        raise ValueError(f"an index of more than {BOUND} labels needs a scope")
     keyed = values.withColumn("_query", query)
     ids = [c for c in IDS if c in index.columns]
-    scored = keyed.join(index, scope) if scope else keyed.crossJoin(F.broadcast(index.limit(BOUND)))
+    scored = keyed.join(index, scope) if scope else keyed.join(F.broadcast(index))
     scored = scored.withColumn("score", token_sort_ratio("_query", "key"))
     entry = F.struct("score", "key", "qid", "label", "source", *ids)
     best = scored.groupBy("raw", *scope).agg(F.max_by(entry, F.struct(F.col("score"), -F.col("ord"), F.col("key"))).alias("m"))
@@ -89,7 +91,7 @@ def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold:
     return out.select("raw", *scope, F.when(ok, F.col("m.qid")).alias("qid"), F.when(ok, F.col("m.label")).alias("match_label"), F.col("m.score").alias("score"), reason.alias("reason"), *(F.when(ok, F.col(f"m.{c}")).alias(c) for c in ids))
 
 
-#: Largest index that a value without a scope is compared with: the global indexes hold countries and states.
+#: Largest index that values without a scope are compared with, all of it: the global indexes hold countries and states.
 BOUND = 10_000
 
 
