@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -11,23 +10,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word: a run of characters other than ASCII white space.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Lower-cases A-Z and nothing else.
-ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def lower_ascii(text: str) -> str:
-    """`text` with A-Z lower-cased; the fast path is right because ASCII text has no other case."""
-    return text.lower() if text.isascii() else text.translate(ASCII_LOWER)
+def lower_words(text: str | None) -> list[bytes]:
+    """Words of a text, A-Z lower-cased, in UTF-8: runs of characters other than x20 and x09-x0D, which is what bytes are split at."""
+    return text.encode().translate(_LOWER).split() if text else []
 
 
-def words(text: str) -> list[str]:
-    """Words of `text`. str.split() agrees with WORD wherever only ASCII white space occurs."""
-    return text.split() if text.isascii() and not _ASCII_SEPARATORS.search(text) else WORD.findall(text)
-
-
-_ASCII_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+def hashed_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
+    """At most `bound` rows, those with the least hashes of their key: a share that is a little too large is thinned out where it lies, then ordered."""
+    n = rows.count()
+    if n > 2 * bound:
+        h = F.pmod(F.xxhash64(key, F.lit(3)), F.lit(1 << 40))
+        rows = rows.where(h < int((1 << 40) * min(1.0, 1.3 * bound / n)))
+    return rows.orderBy(F.xxhash64(key, F.lit(3)), key).limit(bound)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

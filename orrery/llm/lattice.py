@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import arrow_rows, held_out, lower_ascii, texts, words, written
+from orrery.llm.common import arrow_rows, held_out, lower_words, texts, written
 
-LONGEST, COMMON, MEMO, ROUNDS = 16, 200_000, 150_000, 3
+LONGEST, COMMON, MEMO, ROUNDS = 16, 100_000, 100_000, 3
 #: Components at most; nats behind the best after which one is given up.
 GROUPS, FAR = 6, 60.0
 #: Words that a task counts before it passes the counts on; pseudo-count of a piece.
-CHUNK, PSEUDO = 300_000, 0.05
+CHUNK, PSEUDO = 200_000, 0.05
 FOLD = 7
 LN10 = log(10)
 #: The seed of Spark's xxhash64.
@@ -112,7 +112,7 @@ def word_counts(docs: DataFrame, langs: list[str | None]) -> DataFrame:
 
         for b in batches:
             for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found[number.get(lang, last)].update(words(lower_ascii(t)))
+                found[number.get(lang, last)].update(lower_words(t))
                 if sum(map(len, found)) > CHUNK:
                     yield from arrow_rows(rows(), kinds)
         yield from arrow_rows(rows(), kinds)
@@ -138,8 +138,8 @@ def train(counts: DataFrame, least: int, vocabulary: list[bytes], n_groups: int,
             known = sent.value
             into = [({}, {}) for _ in known]
             for b in batches:
-                for w, by, own in zip(*(b.column(i).to_pylist() for i in range(3))):
-                    w = b" " + w.encode()
+                for w, by, own in zip(b.column(0).cast(pa.binary()).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                    w = b" " + w
                     for k, n in enumerate(by):
                         if n:
                             expected(w, DISCOUNT if own else n, known[k], into[k])
@@ -176,7 +176,7 @@ def score(docs: DataFrame, vocabulary: list[bytes], fold: int = FOLD) -> DataFra
         if seen > COMMON:
             least = n + 1
             break
-    common = {r["word"]: (r["n"], [int(x) for x in r["by"]]) for r in counts.where(F.col("n") >= least).collect()}
+    common = {r["word"].encode(): (r["n"], [int(x) for x in r["by"]]) for r in counts.where(F.col("n") >= least).collect()}
     # what begins at a word's start, for each component: an end, a common word, or else a piece
     whole = [{w: by[g] for w, (_, by) in common.items() if by[g]} for g in range(k)]
     sums = [s + e for s, e in zip(sums, rows)]
@@ -191,14 +191,14 @@ def score(docs: DataFrame, vocabulary: list[bytes], fold: int = FOLD) -> DataFra
         from xxhash import xxh64_intdigest
 
         scores, begin, whole, known = sent.value
-        memo: list[dict[str, float]] = [{} for _ in scores]
+        memo: list[dict[bytes, float]] = [{} for _ in scores]
 
-        def of(word: str, g: int) -> float:
-            by_pieces = begin[g][2] + forward(b" " + word.encode(), scores[g])
+        def of(word: bytes, g: int) -> float:
+            by_pieces = begin[g][2] + forward(b" " + word, scores[g])
             own = whole[g].get(word)
             return by_pieces if own is None else max(own, by_pieces) + log1p(exp(-abs(own - by_pieces)))
 
-        def marginal(w: list[str]) -> float:
+        def marginal(w: list[bytes]) -> float:
             """Log of the text's probability, summed over components; one that falls FAR behind is given up, which can only lower the sum."""
             logs = {g: b[0] + b[1] for g, b in enumerate(begin)}
             for at in range(0, len(w), 32):
@@ -222,7 +222,7 @@ def score(docs: DataFrame, vocabulary: list[bytes], fold: int = FOLD) -> DataFra
         def rows():
             for b in batches:
                 for doc, t, held in zip(*(b.column(i).to_pylist() for i in range(3))):
-                    w = words(lower_ascii(t))
+                    w = lower_words(t)
                     base, rare = end_base, []
                     for x in w:
                         c = known.get(x)
