@@ -1,10 +1,10 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, from a block-max inverted index.
 
 Fit: a bounded sample of labelled rows (EXAMPLES) outside the held-out fold. Terms are ASCII-lower-cased runs of
-letters and digits. A term enters the vocabulary (at most TERMS) if Dunning's G2 ties it to the toxic label, counted
-over examples that differ in their first and last terms, and its toxic examples must begin and end in many ways:
-so copies of one toxic text don't make its words toxic. Examples become
-unit TF-IDF vectors over the vocabulary, ordered by a hash of their text, in blocks of BLOCK; for each term the index
+letters and digits, and the stems of longer ones. A term enters the vocabulary (at most TERMS) if Dunning's G2 ties it to the toxic label, where toxic
+examples only count if they differ in their first or last terms, and begin and end in many ways: so copies of one
+toxic text don't make its words toxic. Examples become
+unit TF-IDF vectors over the vocabulary, ordered by vector and by a hash of their text, in blocks of BLOCK; for each term the index
 keeps its postings and its largest weight in each block.
 
 Score: a document's upper bound in every block is a sum of block maxima; blocks are opened in order of that bound
@@ -27,20 +27,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import arrow_rows, held_out, texts
+from orrery.llm.common import arrow_rows, hashed_sample, held_out, texts
 
-EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 20_000, 2_000, 64, 15
+EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 10_000, 2_000, 64, 15
 #: Least G2 (a chance of one in ten million a term) and least number of toxic examples of a term; weight of the prior.
 LEAST_G2, LEAST_DF, PRIOR = 28.0, 5, 0.5
 #: Least share of a term's toxic examples that begin, and that end, in different words.
 SPREAD = 0.3
+#: Bytes of a word's stem.
+STEM = 6
 FOLD, THRESHOLD = 4, 0.3
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
 
 def terms(text: str | None) -> list[bytes]:
-    return text.encode().translate(_FOLD).split() if text else []
+    """Words and, marked, the first STEM bytes of the longer ones."""
+    w = text.encode().translate(_FOLD).split() if text else []
+    return w + [b"^" + x[:STEM] for x in w if len(x) > STEM]
 
 
 @dataclass
@@ -69,23 +73,26 @@ class Index:
         w = (1 + np.log([b for _, b in vector])) * self.idf[t]
         return t, w / np.sqrt((w * w).sum())
 
-    def nearest(self, vector: tuple[tuple[int, int], ...], k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
+    def nearest(self, vector: tuple[tuple[int, int], ...], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k largest cosines above 0 as (cosine, example); ties go to the lower example."""
         t, w = self.unit(vector)
         bound = w @ self.largest[t]
         best: list[tuple[float, int]] = []
         for block in np.argsort(-bound, kind="stable"):
-            # a bound equal to the k-th cosine may still hold a lower example; sums differ in their last bits
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1][0] - 1e-9:
+            low, most = int(block) * BLOCK, bound[block]
+            # sums differ in their last bits: a bound that equals the k-th cosine may still hold a lower example
+            if most <= 0 or len(best) == k and most < best[-1][0] - 1e-9:
                 break
-            low = block * BLOCK
+            if len(best) == k and most <= best[-1][0] + 1e-9 and low > best[-1][1]:
+                continue
             score = np.zeros(BLOCK)
             for term, weight in zip(t, w):
                 a, b = self.starts[term], self.starts[term + 1]
                 i, j = np.searchsorted(self.examples[a:b], (low, low + BLOCK)) + a
-                score[self.examples[i:j] - low] += weight * self.values[i:j]
+                if j > i:
+                    score[self.examples[i:j] - low] += weight * self.values[i:j]
             score = np.round(score, 9)
-            best = sorted(best + [(float(score[i]), int(low + i)) for i in np.flatnonzero(score) if low + i != without], key=lambda x: (-x[0], x[1]))[:k]
+            best = sorted(best + [(float(score[i]), int(low + i)) for i in np.flatnonzero(score)], key=lambda x: (-x[0], x[1]))[:k]
         return best
 
     def vote(self, near: list[tuple[float, int]]) -> float:
@@ -119,14 +126,14 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for e in dict.fromkeys((first, last)):
             xs.append(e)
             ys.append((s + mean) / (n + 1))
-    return np.array(xs), np.array(ys)
+    return np.array(xs), np.maximum.accumulate(ys)
 
 
 def examples(docs: DataFrame, labels: DataFrame, bound: int, fold: int) -> DataFrame:
     """(doc_id, text, toxic): a bounded sample of the labelled rows outside the held-out fold."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", fold))
-    sample = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return texts(docs).join(F.broadcast(sample), "doc_id")
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return texts(docs).join(F.broadcast(hashed_sample(known, "doc_id", bound)), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = FOLD) -> Index | None:
@@ -138,17 +145,17 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = F
         for b in batches:
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 w = terms(t)
-                found.update((x, y, *(w[i] for i in (0, -1))) for x in {*w})
+                found.update((x, y, *((w[0], w[-1]) if y else (b"", b""))) for x in {*w})
                 found[b"", y, b"", b""] += 1
         yield from arrow_rows(((*k, n) for k, n in found.items()), pa.schema([("term", pa.binary()), ("toxic", pa.int32()), ("head", pa.binary()), ("tail", pa.binary()), ("n", pa.int64())]))
 
     counted = sample.select("text", "toxic").mapInArrow(count, "term binary, toxic int, head binary, tail binary, n long")
-    by = counted.groupBy("term").agg(*(F.count_distinct(F.when(F.col("toxic") == y, F.struct("head", "tail"))).alias(f"k{y}") for y in (0, 1)), *(F.count_distinct(F.when(F.col("toxic") == 1, F.col(c))).alias(c) for c in ("head", "tail")), *(F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)))
+    by = counted.groupBy("term").agg(F.count_distinct(F.when(F.col("toxic") == 1, F.struct("head", "tail"))).alias("k1"), *(F.count_distinct(F.when(F.col("toxic") == 1, F.col(c))).alias(c) for c in ("head", "tail")), *(F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)))
     sizes = by.where(F.octet_length("term") == 0).select("n0", "n1").first()
     if sizes is None:
         return None
     n0, n1 = sizes
-    a, b = F.col("k1").cast("double"), F.col("k0").cast("double")
+    a, b = F.col("k1").cast("double"), F.col("n0").cast("double")
     cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     total = float(n0 + n1)
     g2 = 2 * (cell(a, (a + b) * n1 / total) + cell(b, (a + b) * n0 / total) + cell(n1 - a, (total - a - b) * n1 / total) + cell(n0 - b, (total - a - b) * n0 / total))
@@ -169,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = F
     # at most `bound` rows of at most TERMS numbers
     rows = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, "h long, doc_id long, toxic int, t array<int>, n array<int>")
     none = rows.where("size(t) = 0").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    held = sorted(rows.where("size(t) > 0").collect(), key=lambda r: (r.h, tuple(r.t), r.toxic, r.doc_id))
+    held = sorted(rows.where("size(t) > 0").collect(), key=lambda r: (tuple(r.t), tuple(r.n), r.h, r.toxic))
     return build(index, [(r.doc_id, r.toxic, tuple(zip(r.t, r.n))) for r in held], tuple(none))
 
 
@@ -185,7 +192,9 @@ def build(index: Index, held: list[tuple[int, int, tuple[tuple[int, int], ...]]]
     index.starts = np.searchsorted(t, np.arange(len(index.idf) + 1))
     index.largest = np.zeros((len(index.idf), -(-len(held) // BLOCK)))
     np.maximum.at(index.largest, (t, index.examples // BLOCK), index.values)
-    votes = np.array([index.vote(index.nearest(v, without=i)) for i, (_, _, v) in enumerate(held)])
+    # without the example itself: it is among the k + 1 nearest, or k others tie with it
+    near = {v: index.nearest(v, NEIGHBOURS + 1) for v in {v for _, _, v in held}}
+    votes = np.array([index.vote([x for x in near[v] if x[1] != i][:NEIGHBOURS]) for i, (_, _, v) in enumerate(held)])
     index.knots = isotonic(votes, index.toxic)
     return index
 
