@@ -6,7 +6,8 @@ all documents, then by hash; the order is only a matter of speed. Two sets that
 prefixes (prefix filter), so the index has a list for each prefix shingle, sorted by set size.
 
 Skipping in an index list: partners whose size is out of range end a probe; the positions of the shingle in both sets
-bound their overlap; a 128-bit parity of each set bounds the symmetric difference. What is left is a candidate.
+bound their overlap; a 128-bit parity of each set bounds the symmetric difference. What is left is a candidate, and
+goes on if a parity of SKETCH bits leaves room for a link too.
 
 Skipping of answers: every set is first compared with the most central set of its list (whose shingle stands
 foremost) and with its first possible partner. The components of those answers are then carried to all sets alike:
@@ -26,14 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import lower_ascii, texts, words, written
+from orrery.llm.common import lower_words, texts, trim, written
 from orrery.llm.components import components
 
 #: Most shingles whose counts go to the tasks (16 bytes each), shingles that a task counts at once, words that it keeps hashes of.
-HOT, CHUNK, MEMO = 200_000, 2_000_000, 400_000
+HOT, CHUNK, MEMO = 200_000, 1_000_000, 120_000
 #: Most ids by which a scan is filtered before its shuffle; beyond it a shuffled semi-join does so.
 FILTER_IDS = 500_000
 SALTS = 32
+#: Bits of the long parity, a power of two.
+SKETCH = 1024
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 
@@ -44,27 +47,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         from xxhash import xxh64_intdigest
 
-        if len(self) > MEMO:
-            self.clear()
-        h = self[word] = xxh64_intdigest(word)
+        h = xxh64_intdigest(word)
+        if len(self) < MEMO:
+            self[word] = h
         return h
 
 
+#: A worker process keeps its hashes from task to task.
+_KEPT = _Hashes()
+
+
 class Shingler:
     """Sorted distinct shingle hashes of a text."""
 
     def __init__(self, width: int):
-        self.width, self.hashes = width, _Hashes()
+        self.width, self.hashes = width, _KEPT
 
     def __call__(self, text: str | None) -> np.ndarray:
-        w = words(lower_ascii(text)) if text else []
+        w = lower_words(text)
         if not w:
             return np.zeros(0, np.uint64)
         if len(w) < self.width:
-            return mixed(np.array([self.hashes["\n".join(w)]], np.uint64))
+            return mixed(np.array([self.hashes[b"\n".join(w)]], np.uint64))
         h = np.fromiter(map(self.hashes.__getitem__, w), np.uint64, len(w))
         n = len(h) - self.width + 1
         out = h[:n].copy()
@@ -87,12 +94,13 @@ def _map(df: DataFrame, make: Callable[[], Callable[[list], list[pa.Array]]], sc
         for b in batches:
             for at in range(0, b.num_rows, size):
                 yield pa.RecordBatch.from_arrays(f(b.slice(at, size).columns), names=names)
+        trim()
 
     return df.mapInArrow(run, schema)
 
 
 def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted shingles, level): of shingles that repeat within a task's chunk, the HOT most frequent and the power of two of their count."""
+    """(sorted shingles, level): of shingles that repeat within a task's chunk, the most frequent, HOT at most, and the power of two of their count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, held, n = Shingler(width), [], 0
@@ -111,17 +119,25 @@ def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
                     held, n = [], 0
         if held:
             yield flush()
-
-    found = docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    # HOT pairs of numbers at most
-    top = found.orderBy(F.desc("n"), "key").limit(HOT).toPandas()
+        held.clear()
+        trim()
+
+    found = written(docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "frequent")
+    # the least count that HOT shingles reach at most; the counts' powers of two are at most 64 rows
+    least, seen = 1, 0
+    for level, k in found.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("k")).orderBy(F.desc("level")).collect():
+        seen += k
+        if seen > HOT:
+            least = 2 ** (level + 1)
+            break
+    top = found.where(F.col("n") >= least).toPandas()
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], np.log2(np.maximum(top["n"].to_numpy(float)[order], 2)).astype(np.int8)
 
 
 def sets(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """(doc_id, n, d1, d2, b1, b2, keys): size, digest, parity and prefix of each document's set."""
+    """(doc_id, n, d1, d2, b1, b2, keys, sketch): size, digest, short parity, prefix and long parity of each document's set."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, width))
 
     def make():
@@ -131,26 +147,27 @@ def sets(docs: DataFrame, percent: int, width: int) -> DataFrame:
             s = shingle(text)
             n = len(s)
             if not n:
-                return 0, 0, 0, 0, 0, np.zeros(0, np.int64)
+                return 0, 0, 0, 0, 0, np.zeros(0, np.int64), b""
             d1, d2 = mixed(s + _C1).sum(), np.bitwise_xor.reduce(mixed(s ^ _C2))
-            bits = np.bincount((s & np.uint64(127)).astype(np.int64), minlength=128) & 1
-            b1, b2 = np.packbits(bits.astype(np.uint8)).view(np.int64)
+            bits = (np.bincount((s & np.uint64(SKETCH - 1)).view(np.int64), minlength=SKETCH) & 1).astype(np.uint8)
+            b1, b2 = np.packbits(np.bitwise_xor.reduce(bits.reshape(-1, 128))).view(np.int64)
+            sketch = np.packbits(bits).tobytes()
             p = prefix_length(n, percent)
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
                 late = np.where(hot[at] == s, level[at], 0)
                 if late.any():
                     s = s[np.argsort(late, kind="stable")]
-            return n, int(d1.view(np.int64)), int(d2.view(np.int64)), int(b1), int(b2), s[:p].view(np.int64)
+            return n, int(d1.view(np.int64)), int(d2.view(np.int64)), int(b1), int(b2), s[:p].view(np.int64), sketch
 
         def f(columns):
             rows = [*zip(*map(one, columns[1].to_pylist()))]
             ends = np.concatenate([[0], np.cumsum([*map(len, rows[5])])]).astype(np.int32)
-            return [columns[0], *(pa.array(c, pa.int64()) for c in rows[:5]), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows[5])))]
+            return [columns[0], *(pa.array(c, pa.int64()) for c in rows[:5]), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows[5]))), pa.array(rows[6], pa.binary())]
 
         return f
 
-    return _map(docs, make, "doc_id long, n long, d1 long, d2 long, b1 long, b2 long, keys array<long>")
+    return _map(docs, make, "doc_id long, n long, d1 long, d2 long, b1 long, b2 long, keys array<long>, sketch binary")
 
 
 def representatives(found: DataFrame) -> DataFrame:
@@ -301,6 +318,25 @@ def verified(pairs: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
     return _map(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), make, "a long, b long")
 
 
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose long parities leave room for a link: a bit that differs stands for a shingle that only one set has."""
+
+    def make():
+        def f(columns):
+            a, b, m, n, x, y = columns
+            m, n = m.to_numpy(), n.to_numpy()
+            x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint64).reshape(len(m), -1) for v in (x, y))
+            differ = np.bitwise_count(x ^ y).astype(np.int64).sum(1)
+            keep = pa.array(differ <= m + n - 2 * -(-percent * (m + n) // (100 + percent)))
+            return [a.filter(keep), b.filter(keep)]
+
+        return f
+
+    left = sketches.select(F.col("rep").alias("a"), F.col("n").alias("m"), F.col("sketch").alias("x"))
+    right = sketches.select(F.col("rep").alias("b"), "n", F.col("sketch").alias("y"))
+    return _map(pairs.join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y"), make, "a long, b long")
+
+
 def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(doc_id, shingles) of the documents in `ids` (a stored table of distinct ids)."""
     if ids.count() <= FILTER_IDS:
@@ -324,24 +360,35 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return _map(docs.where("doc_id is not null"), make, "doc_id long, shingles binary")
 
 
+def sets_of(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The whole sets of the documents of some stored pairs, stored."""
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    return written(whole_sets(docs, ids, width), "whole")
+
+
 def link_components(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
     docs = texts(docs)
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
     found = written(sets(docs, percent, width), "sets").withColumn("salt", salt)
     reps = written(representatives(found), "reps")
-    member = written(found.drop("keys", "b1", "b2").join(reps, ["n", "d1", "d2", "salt"], "left").select("doc_id", "n", "rep"), "members")
-    own = found.join(reps.select("n", "d1", "d2", F.col("rep").alias("doc_id")).distinct(), ["n", "d1", "d2", "doc_id"], "left_semi").dropDuplicates(["n", "d1", "d2", "doc_id"])
-    index = own.select(F.col("doc_id").alias("rep"), "n", "b1", "b2", F.posexplode("keys").alias("pos", "key"))
+    first = F.col("doc_id") == F.col("rep")
+    wide = [F.when(first, F.col(c)).alias(c) for c in ("keys", "sketch")]
+    member = written(found.join(reps, ["n", "d1", "d2", "salt"], "left").select("doc_id", "n", "rep", "b1", "b2", *wide), "members")
+    # a document that occurs in several equal rows is in the index as often; it never pairs with itself
+    own = member.where(first).drop("doc_id")
+    index = own.select("rep", "n", "b1", "b2", F.posexplode("keys").alias("pos", "key"))
     index = written(first_answers(index, percent), "index")
-    stored = written(whole_sets(docs, written(index.select(F.col("rep").alias("doc_id")).distinct(), "ids"), width), "whole")
+    sketches = written(own.select("rep", "n", "sketch").join(index.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"]), "sketches")
     pair = lambda c: index.where(f"{c} is not null and {c} <> rep").select(F.least("rep", c).alias("a"), F.greatest("rep", c).alias("b"))
     pairs = written(pair("central").union(pair("partner")).distinct(), "pairs")
-    links = written(verified(pairs, stored, percent), "links")
+    tried = written(likely(pairs, sketches, percent), "pairs")
+    links = written(verified(tried, sets_of(docs, tried, width), percent), "links")
     part = components(links)
     joined = index.join(part.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    more = written(verified(cross_pairs(joined, percent).join(pairs, ["a", "b"], "left_anti"), stored, percent), "links")
+    tried = written(likely(cross_pairs(joined, percent).join(pairs, ["a", "b"], "left_anti"), sketches, percent), "pairs")
+    more = written(verified(tried, sets_of(docs, tried, width), percent), "links")
     if not more.isEmpty():
         part = components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     part = part.select(F.col("node").alias("rep"), "component")
-    return member.join(part, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    return member.select("doc_id", "n", "rep").join(part, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
