@@ -59,6 +59,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def trim() -> None:
+    """Gives memory that a task has freed back to the system: workers outlive their tasks, and stages of a pipeline share them."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        give_back(0)
+
+
 def arrow_rows(rows: Iterable[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Tuples as record batches of at most `size` rows."""
     held: list[tuple] = []
@@ -69,6 +78,8 @@ def arrow_rows(rows: Iterable[tuple], schema: pa.Schema, size: int = 20_000) ->
             held = []
     if held:
         yield _batch(held, schema)
+        held = []
+    trim()
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import texts, written
+from orrery.llm.common import texts, trim, written
 
 DIMS, BITS = 3, 10
 #: Bits of the tie-breaking hash below the curve position.
 TIE_BITS = 24
 #: Words that a worker keeps the ids of.
-MEMO = 400_000
+MEMO = 120_000
 
 
 class Encoder:
@@ -130,6 +130,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 1, n_ids: int = 65_53
                 # standard normal for random ids; real texts lie further out
                 cells = np.clip((np.tanh(mean / 6) + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hilbert(cells, BITS).astype(np.int64)), pa.array(ids, pa.binary())], names=["doc_id", "curve", "ids"])
+        trim()
 
     got = texts(docs).mapInArrow(run, "doc_id long, curve long, ids binary")
     tie = F.shiftrightunsigned(F.xxhash64("doc_id", F.crc32("ids")), 64 - TIE_BITS)
