@@ -238,11 +238,26 @@ def probes(t: dict[str, np.ndarray], percent: int, stop: Callable[[np.ndarray, n
         step += 1
 
 
+def probes_back(t: dict[str, np.ndarray], active: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For the given rows, each with the nearest row before it in its list that it may link with, if there is one."""
+    step = 1
+    while len(active):
+        active = active[active >= step]
+        j = active - step
+        active = active[(t["key"][active] == t["key"][j]) & (percent * t["n"][active] <= 100 * t["n"][j])]
+        j = active - step
+        ok = possible(t, active, j, percent)
+        if ok.any():
+            yield active[ok], j[ok]
+        active = active[~ok]
+        step += 1
+
+
 _ROWS = ["key", "pos", "n", "b1", "b2", "rep"]
 
 
 def first_answers(index: DataFrame, percent: int) -> DataFrame:
-    """The rows of the index that may link, each with up to two partners to compare first: the list's most central set and the first possible partner."""
+    """The rows of the index that may link with a row of their list, each with up to two partners to compare first: the list's most central set and the first possible partner."""
     out = "key long, pos int, n long, b1 long, b2 long, rep long, central long, partner long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,6 +274,9 @@ def first_answers(index: DataFrame, percent: int) -> DataFrame:
                 partner[i] = j
                 none = partner[j] < 0
                 partner[j[none]] = i[none]
+            # a probe that stopped may have passed by rows that are still without a partner
+            for i, j in probes_back(t, np.flatnonzero(partner < 0), percent):
+                partner[i] = j
             starts = np.flatnonzero(np.concatenate([[True], t["key"][1:] != t["key"][:-1]]))
             lengths = np.diff(np.concatenate([starts, [size]]))
             best = np.minimum.reduceat(t["pos"].astype(np.int64) * size + np.arange(size), starts) % size

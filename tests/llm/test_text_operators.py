@@ -56,6 +56,23 @@ def test_components_match_brute_force(spark, percent, width):
     assert got == brute_components(docs, percent, width)
 
 
+@pytest.mark.parametrize("chunk", [jaccard.CHUNK, 50])
+def test_copies_that_link_to_their_base_only(spark, monkeypatch, chunk):
+    """Each copy is one edit from its base; two copies are further apart than the threshold."""
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    rng, docs = random.Random(8), []
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(62)]
+        docs.append(" ".join(base))
+        for k, at in enumerate(rng.sample(range(3, 59, 4), 8)):
+            docs.append(" ".join([*base[:at], f"g{g}x{k}", *base[at + 1 :]]))
+    docs = [*enumerate(docs)]
+    want = brute_components(docs, 90, 3)
+    assert {c for _, c in want.values()} == {9 * g for g in range(40)}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_components(df, 90, 3).collect()} == want
+
+
 def test_components_of_nothing(spark):
     assert jaccard.link_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
