@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from orrery.llm.common import arrow_rows, held_out, lower_words, texts, written
 
 LONGEST, COMMON, MEMO, ROUNDS = 16, 100_000, 100_000, 3
-#: Components at most; nats behind the best after which one is given up.
-GROUPS, FAR = 6, 60.0
+#: Components at most.
+GROUPS = 6
 #: Words that a task counts before it passes the counts on; pseudo-count of a piece.
 CHUNK, PSEUDO = 200_000, 0.05
 FOLD = 7
@@ -191,7 +191,7 @@ def score(docs: DataFrame, vocabulary: list[bytes], fold: int = FOLD) -> DataFra
         from xxhash import xxh64_intdigest
 
         scores, begin, whole, known = sent.value
-        memo: list[dict[bytes, float]] = [{} for _ in scores]
+        memo: dict[bytes, list[float]] = {}
 
         def of(word: bytes, g: int) -> float:
             by_pieces = begin[g][2] + forward(b" " + word, scores[g])
@@ -199,25 +199,18 @@ def score(docs: DataFrame, vocabulary: list[bytes], fold: int = FOLD) -> DataFra
             return by_pieces if own is None else max(own, by_pieces) + log1p(exp(-abs(own - by_pieces)))
 
         def marginal(w: list[bytes]) -> float:
-            """Log of the text's probability, summed over components; one that falls FAR behind is given up, which can only lower the sum."""
-            logs = {g: b[0] + b[1] for g, b in enumerate(begin)}
-            for at in range(0, len(w), 32):
-                part = w[at : at + 32]
-                for g in logs:
-                    kept, s = memo[g], 0.0
-                    for x in part:
-                        v = kept.get(x)
-                        if v is None:
-                            v = of(x, g)
-                            if len(kept) < MEMO:
-                                kept[x] = v
-                        s += v
-                    logs[g] += s
-                if len(logs) > 1:
-                    top = max(logs.values())
-                    logs = {g: v for g, v in logs.items() if v > top - FAR}
-            top = max(logs.values())
-            return top + log(sum(exp(v - top) for v in logs.values()))
+            """Log of the text's probability, summed over all components, each kept to the end of the text."""
+            logs = [b[0] + b[1] for b in begin]
+            for x, n in Counter(w).items():
+                v = memo.get(x)
+                if v is None:
+                    v = [of(x, g) for g in range(len(begin))]
+                    if len(memo) < MEMO:
+                        memo[x] = v
+                for g, s in enumerate(v):
+                    logs[g] += n * s
+            top = max(logs)
+            return top + log(sum([exp(v - top) for v in logs]))
 
         def rows():
             for b in batches:

@@ -174,6 +174,19 @@ def test_word_model_and_lattice(spark):
     assert lattice.score(d.limit(0), pieces).count() == 0
 
 
+def test_lattice_scores_do_not_depend_on_the_opening(spark):
+    """A component that falls far behind at first may dominate the whole text; a score is the same in any order of words."""
+    rng = random.Random(7)
+    words = {"en": ["thing", "under", "window", "yellow", "river"], "de": ["zwischen", "straße", "brücke", "häuser", "jahre"]}
+    say = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    texts = [(say(lang, 100), lang) for lang in ("en", "de") for _ in range(40)]
+    en, de = say("en", 64), say("de", 300)
+    texts += [(f"{en} {de}", "en"), (f"{de} {en}", "en")]
+    d = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.score for r in lattice.score(d, lattice.pieces(vocabulary("byte_bpe_50k.tiktoken"))).collect()}
+    assert got[80] == pytest.approx(got[81])
+
+
 def test_lattice_sums_all_segmentations():
     rng = random.Random(5)
     first, later = {b" ": -1.0, b" a": -2.0, b" ab": -2.5}, {b"a": -1.0, b"b": -1.5, b"ab": -2.0, b"ba": -2.2, b"": -0.7}
