@@ -2,7 +2,8 @@
 
 A page is read into a DOM tree by a tolerant tokenizer (raw-text elements, implied end tags, cut-off markup). Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts and reader comments are known by element, role or the
-words of their class and id, and take no part. Every node's density is its characters per tag, adjusted by the
+words of their class and id, and take no part; the words alone drop nothing that holds an article, main or h1 element or
+(on a page without article and main elsewhere) most of the characters outside links, which is left to the densities. Every node's density is its characters per tag, adjusted by the
 characters and tags of its links (and the page's link share); a node's density sum is that of its children. The
 container with the largest sum is taken. The threshold is the least density on the path from it to the body: an
 ancestor takes its place if it holds another block as dense as that. All blocks of the subtree are kept, in page order.
@@ -34,6 +35,8 @@ SCOPES = frozenset("ul ol dl table div article section body html menu select".sp
 #: Elements and class, id or role words of what is not main text.
 DROP = frozenset("nav header footer aside form script style noscript template iframe button select option input textarea object embed svg canvas dialog menu head title audio video map".split())
 DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert popup modal overlay menu nav navbar navigation breadcrumb breadcrumbs sidebar side aside rail widget header masthead footer foot copyright comment comments discussion disqus reply replies respond share sharing social newsletter subscribe subscription signup login related recommended recommendations trending pagination pager toolbar tooltip skip search complementary contentinfo".split())
+#: An element that holds one of these is not dropped by its words.
+LANDMARKS = frozenset("main article h1".split())
 #: Never dropped by their words: what holds the page.
 KEPT = frozenset("html body main article".split())
 CONTAINERS = frozenset("body div article section main td center blockquote details".split())
@@ -46,26 +49,56 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "parts", "dropped", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, dropped: bool = False):
-        self.name, self.parent, self.parts, self.dropped = name, parent, [], dropped
+    def __init__(self, name: str, parent: Node | None, dropped: bool = False, doubtful: bool = False):
+        self.name, self.parent, self.parts, self.dropped, self.doubtful = name, parent, [], dropped, doubtful
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def is_clutter(name: str, attributes: str) -> bool:
+def is_clutter(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is clutter by its kind or hidden, and whether it may be clutter by its words."""
     if name in DROP:
-        return True
+        return True, False
     if not attributes or name in KEPT:
-        return False
+        return False, False
+    doubtful = False
     for kind, a, b, c in _ATTRIBUTE.findall(attributes):
         kind, value = kind.lower(), a or b or c
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and "display:none" in value.lower().replace(" ", ""):
-            return True
-        if kind in ("class", "id", "role") and not DROP_WORDS.isdisjoint(_WORDS.findall(_CAMEL.sub(r"\1 \2", value).lower())):
-            return True
-    return False
+            return True, False
+        doubtful |= kind in ("class", "id", "role") and not DROP_WORDS.isdisjoint(_WORDS.findall(_CAMEL.sub(r"\1 \2", value).lower()))
+    return False, doubtful
+
+
+def settle(root: Node) -> None:
+    """Drops what may be clutter by its words, but for what holds an article, main or h1, or most of the page's characters outside links while no article or main stands elsewhere."""
+    # with each node: whether it is in a link, whether it is in a doubtful element, articles and mains around it that are in none
+    order, stack, free, any_doubt = [], [(root, False, False, 0)], 0, False
+    while stack:
+        node, linked, doubt, around = stack.pop()
+        order.append((node, linked or node.name == "a", around))
+        here = node.name in ("article", "main") and not doubt
+        free += here
+        any_doubt |= node.doubtful
+        below = linked or node.name == "a", doubt or node.doubtful, around + here
+        stack.extend((p, *below) for p in node.parts if isinstance(p, Node) and not p.dropped)
+    if not any_doubt:
+        return
+    plain: dict[Node, tuple[int, bool]] = {}
+    for node, linked, _ in reversed(order):
+        n, holds = 0, node.name in LANDMARKS
+        for p in node.parts:
+            if isinstance(p, str):
+                n += 0 if linked else len(p.strip())
+            elif not p.dropped:
+                n += plain[p][0]
+                holds |= plain[p][1]
+        plain[node] = n, holds
+    for node, _, around in order:
+        n, holds = plain[node]
+        node.dropped = node.dropped or node.doubtful and not holds and not (free == around and 2 * n > plain[root][0])
 
 
 def parse(html: str) -> Node:
@@ -127,7 +160,7 @@ def parse(html: str) -> Node:
                 node = node.parent
             if found:
                 at = found.parent
-        child = Node(name, at, is_clutter(name, m[3]))
+        child = Node(name, at, *is_clutter(name, m[3]))
         at.parts.append(child)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, pos)
@@ -138,6 +171,7 @@ def parse(html: str) -> Node:
             pos = shut + 1 if close and shut >= 0 else end
         elif name not in VOID and not m[3].endswith("/"):
             at = child
+    settle(root)
     return root
 
 

@@ -234,3 +234,16 @@ def test_pages(spark):
     rows = htmltext.extract(df).orderBy("page_id").collect()
     assert [r.text for r in rows] == [*cases.values(), ""] and all(r.n_chars == len(r.text) for r in rows)
     htmltext.main_text("<div>" * 3000 + "deep" + "</p>" * 10)
+
+
+@pytest.mark.parametrize("wrapper", ['div class="content-sidebar-wrap"', 'div id="page" class="has-sidebar"', 'div class="post no-comments"', 'section class="related-work"'])
+def test_wrappers_with_words_of_clutter(wrapper):
+    first, second = "The first paragraph of the text, which is long enough.", "The second one, with as many words as it takes."
+    side = '<div class="sidebar"><p>About us and more</p></div>'
+    end = f"</{wrapper.split()[0]}>"
+    assert htmltext.main_text(f"<body><{wrapper}>{side}<p>{first}</p><p>{second}</p>{end}</body>") == f"{first}\n{second}"
+    assert htmltext.main_text(f"<body><{wrapper}>{side}<article><p>{first}</p><p>{second}</p></article>{end}</body>") == f"{first}\n{second}"
+    few = f"<body><{wrapper}><article><p>{first}</p></article>{end}<div><a href='/'>{second * 9}</a></div></body>"
+    assert htmltext.main_text(few).startswith(first)
+    assert htmltext.main_text(f'<body><div class="ad">{second * 9}</div><{wrapper}><article><p>{first}</p></article>{end}</body>').endswith(first)
+    assert htmltext.main_text(f'<body><div class="ad">{second * 9}</div><article><p>{first}</p></article></body>') == first
