@@ -152,57 +152,97 @@ def test_quality(spark):
     assert all(r.keep for r in kneser.classify(d, lab.where("quality > 5")).collect())
 
 
-def test_word_model_and_lattice(spark):
+def segmentations(word, pieces):
+    """All ways to cut `word` into pieces."""
+    if not word:
+        yield ()
+    for j in range(1, len(word) + 1):
+        if word[:j] in pieces:
+            yield from ((word[:j], *rest) for rest in segmentations(word[j:], pieces))
+
+
+def brute_lattice(texts, held, langs, weights, rounds):
+    """The score of every text, by plain EM and sums over all segmentations of every word, for each language."""
+    names = [*weights, "stop"]
+    first = lambda p: p != "stop" and p[:1] == b" "
+    normal = lambda n: {p: n[p] / sum(n[q] for q in names if first(q) == first(p)) for p in names}
+    words = [[x.encode() for x in WORD.findall((t or "").translate(AZ))] for t in texts]
+    rows = Counter(lang for lang, h in zip(langs, held) if not h)
+    small, parts = lattice.SMALL, []
+    kept = sorted(rows, key=lambda x: (-rows[x], x is not None, x or ""))[: lattice.GROUPS - 1]
+    for lang in [*kept, "others"]:
+        own = [not h and (x == lang or lang == "others" and x not in kept) for x, h in zip(langs, held)]
+        p = normal({**weights, "stop": max(weights.values())})
+        c = Counter(x for w, o in zip(words, own) if o for x in w)
+        ways = lambda w: [(s, math.prod(p[x] for x in s) * p["stop"]) for s in segmentations(b" " + w, weights)]  # noqa: B023, E731
+        for _ in range(rounds if sum(rows.values()) else 0):
+            n = dict.fromkeys(names, lattice.PSEUDO)
+            for w in c:
+                total = sum(x for _, x in ways(w))
+                for s, x in ways(w):
+                    for piece in (*s, "stop"):
+                        n[piece] += x / total
+            p = normal(n)
+        once, twice = sum(k == 1 for k in c.values()), sum(k == 2 for k in c.values())
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        ends, tokens = sum(own), sum(c.values()) + sum(own) + 2 * small
+        new = (d * len(c) + small) / tokens
+        of = {w: max(c[w] - d, 0) / tokens + new * sum(x for _, x in ways(w)) for w in {x for w in words for x in w}}
+        prior = (ends + small) / (sum(rows.values()) + small * (len(kept) + 1))
+        parts.append([math.log(prior * (ends + small) / tokens) + sum(math.log(of[x]) for x in w) for w in words])
+    return [np.logaddexp.reduce(x) / math.log(10) for x in zip(*parts)]
+
+
+@pytest.mark.parametrize("common,long,trained", [(lattice.COMMON, lattice.LONG, True), (2, 3, True), (3, lattice.LONG, False)])
+def test_word_model_and_lattice(spark, monkeypatch, common, long, trained):
+    """Both scores against brute force, whichever words go out to the tasks and whichever meet the recursion alone."""
+    monkeypatch.setattr(lattice, "LONG", long)
+    monkeypatch.setattr(lattice, "COMMON", common)
     rng = random.Random(4)
-    texts = [None, "", "The  THE\tend É", "x" * 300] + [" ".join(rng.choices(["the", "Thing", "Ärger", "thingthe", "q9"], k=rng.randint(1, 40))) for _ in range(80)]
-    d = spark.createDataFrame([(i, t, ["en", None, "de"][i % 3], 1.0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, score double")
-    pieces = lattice.pieces(vocabulary("byte_bpe_50k.tiktoken"))
-    tokens = {i: [*WORD.findall((t or "").translate(AZ)), None] for i, t in enumerate(texts)}
-    held = {i: crc32(str(i).encode()) % 7 == 2 for i in tokens}
-    c = Counter(x for i, w in tokens.items() if not held[i] for x in w)
+    say = lambda: "".join(rng.choices("aBcé", k=rng.randint(1, 6)))
+    some = [say() for _ in range(25)]
+    texts = [None, "", " \t", "Ab  AB\tab é", "ab"] + [" ".join(rng.choices(some, k=rng.randint(1, 30)) + [say()]) for _ in range(60)]
+    ids = [*range(len(texts) - 2), None, 3]
+    weights = {bytes([b]): 1.0 for b in " abc".encode() + "é".encode()} | {b" a": 3.0, b"ab": 2.0, b"bc": 1.0, b"abc": 0.5, "é".encode(): 2.0, b" ab": 1.5, b"ca": 1.0}
+    held = [i is not None and (crc32(str(i).encode()) % 7 == 2 or not trained) for i in ids]
+    if not trained:
+        texts, held, ids = [t for t, h in zip(texts, held) if h], [h for h in held if h], [i for i in ids if i is not None]
+        ids = [next(k for k in range(1000 * n, 1000 * n + 1000) if crc32(str(k).encode()) % 7 == 2) for n in range(len(ids))]
+    langs = [["en", None, "de", "en", "fr", "x", "y", "z"][k % 8] for k in range(len(ids))]
+    d = spark.createDataFrame([(i, t, lang, "w", 1.0, 2) for i, t, lang in zip(ids, texts, langs)], "doc_id long, text string, lang string, word string, score double, n int").repartition(3)
+    rows = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score, r.held_out, r.n_known, r.train_tokens, r.base_score) for r in lattice.score(d, lattice.trie(weights)).collect())
+    tokens = [[*WORD.findall((t or "").translate(AZ)), None] for t in texts]
+    c = Counter(x for w, h in zip(tokens, held) if not h for x in w)
     n, v = sum(c.values()), len(c)
-    for common in (lattice.COMMON, 2):
-        lattice.COMMON, kept = common, lattice.COMMON
-        rows = lattice.score(d, pieces).collect()
-        lattice.COMMON = kept
-        assert len(rows) == len(texts)
-        for r in rows:
-            w = tokens[r.doc_id]
-            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(w), sum(c[x] > 0 for x in w), n)
-            assert r.base_score == pytest.approx(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w))
-            assert r.score < 0
-    assert lattice.score(d.limit(0), pieces).count() == 0
-
-
-def test_lattice_scores_do_not_depend_on_the_opening(spark):
-    """A component that falls far behind at first may dominate the whole text; a score is the same in any order of words."""
-    rng = random.Random(7)
-    words = {"en": ["thing", "under", "window", "yellow", "river"], "de": ["zwischen", "straße", "brücke", "häuser", "jahre"]}
-    say = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
-    texts = [(say(lang, 100), lang) for lang in ("en", "de") for _ in range(40)]
-    en, de = say("en", 64), say("de", 300)
-    texts += [(f"{en} {de}", "en"), (f"{de} {en}", "en")]
-    d = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
-    got = {r.doc_id: r.score for r in lattice.score(d, lattice.pieces(vocabulary("byte_bpe_50k.tiktoken"))).collect()}
-    assert got[80] == pytest.approx(got[81])
+    base = [sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w) for w in tokens]
+    want = sorted((i is None, i or 0, len(w), s, h, sum(c[x] > 0 for x in w), n, b) for i, w, s, h, b in zip(ids, tokens, brute_lattice(texts, held, langs, weights, lattice.ROUNDS), held, base))
+    assert len(rows) == len(want) and all(a == pytest.approx(b) for a, b in zip(rows, want))
+
+
+def test_lattice_of_a_public_vocabulary(spark):
+    pieces = lattice.pieces(vocabulary("byte_bpe_50k.tiktoken"))
+    first = pieces.begins()
+    assert np.exp(pieces.logs[first]).sum() == pytest.approx(1)
+    assert np.exp(pieces.logs[~first]).sum() == pytest.approx(1)
+    assert max(map(len, pieces.names)) > 16 and b" the" in pieces.names
+    own = lattice.Lattice(pieces)
+    words = [b" the", " übermäßig".encode(), b" " + b"x" * 5000, b" " + bytes(range(128, 200))]
+    assert own.forward(words)[:, 0] == pytest.approx([own.one(w, 0)[0][-1] + own.logs[-1, 0] for w in words])
+    assert lattice.score(spark.createDataFrame([], "doc_id long, text string, lang string"), pieces).count() == 0
+    long = spark.createDataFrame([(0, "word " * 300_000, "a"), (1, "y" * 300_000, None), (1, "y" * 300_000, None)], "doc_id long, text string, lang string")
+    rows = lattice.score(long, pieces).collect()
+    assert sorted(r.n_tokens for r in rows) == [2, 2, 300_001] and all(math.isfinite(r.score) for r in rows)
 
 
 def test_lattice_sums_all_segmentations():
     rng = random.Random(5)
-    first, later = {b" ": -1.0, b" a": -2.0, b" ab": -2.5}, {b"a": -1.0, b"b": -1.5, b"ab": -2.0, b"ba": -2.2, b"": -0.7}
-
-    def total(word, at):
-        if at == len(word):
-            return math.exp(later[b""])
-        table = later if at else first
-        return sum(math.exp(table[word[at:j]]) * total(word, j) for j in range(at + 1, len(word) + 1) if word[at:j] in table)
-
-    for _ in range(20):
-        word = b" " + bytes(rng.choices(b"ab", k=rng.randint(1, 9)))
-        assert lattice.forward(word, (first, later)) == pytest.approx(math.log(total(word, 0)))
-        into = ({}, {})
-        lattice.expected(word, 3.0, (first, later), into)
-        assert sum(len(p) * n for own in into for p, n in own.items()) == pytest.approx(3.0 * len(word))
+    own = lattice.Lattice(lattice.trie({b" ": 1.0, b" a": 2.0, b" ab": 2.5, b"a": 1.0, b"b": 1.5, b"ab": 2.0, b"ba": 2.2}))
+    words = [b" " + bytes(rng.choices(b"ab", k=rng.randint(1, 9))) for _ in range(40)]
+    p = {x: math.exp(s) for x, s in own.known[0].items()}
+    assert own.forward(words)[:, 0] == pytest.approx([math.log(sum(math.prod(p[x] for x in s) for s in segmentations(w, p))) + own.logs[-1, 0] for w in words])
+    into = np.zeros(8)
+    own.expected(words, 0, into)
+    assert sum(n * len(x) for x, n in zip(own.number, into)) == pytest.approx(sum(map(len, words))) and into[-1] == 40
 
 
 def test_licenses(spark):
