@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +46,11 @@ def held_out(key: Column | str, modulus: int) -> Column:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share; a temporary one only where none is set."""
+    """A new path in the folder that all executors share. Where none is set a local session, as in tests, gets a temporary one; on a cluster that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="orrery-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -56,7 +60,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder: its lineage ends here and lost executors lose nothing."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most `rows` rows and, unless one row is larger, `most` bytes of a text column."""
+    size = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float)))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0.0
+        end = min(at + rows, max(at + 1, int(np.searchsorted(size, before + most, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def trim() -> None:

@@ -1,13 +1,17 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item of n letters may differ from a passage by k = floor(rate * n) edits. It is cut into k + 1 pieces, so a
-passage within k edits holds at least one piece unchanged. One Aho-Corasick automaton finds the pieces of a block of
+passage within k edits holds at least one piece unchanged. An item that is too short for an edit must stand as it is, between
+spaces or ends. One Aho-Corasick automaton finds the pieces of a block of
 items in every whole document; each hit opens a window around the place where its item would lie, and Myers'
 bit-parallel distance decides. Documents are never shuffled; items go out in blocks of at most `block_chars` letters,
 so what is broadcast stays bounded, and further blocks mean further passes.
 
-Both sides are compared as ASCII-lower-cased words of letters and digits with single spaces between them. Null or
-empty texts and items match nothing; equal items each match; a document row that occurs twice is reported twice.
+Both sides are compared as ASCII-lower-cased words of letters and digits with single spaces between them; lengths, edits
+and places count code points of that form. Null texts and texts without words match nothing, nor do such items; items
+without an item_id are searched all the same. Equal items each match; a document row that occurs twice is reported twice. Of
+several places of one item the one with the fewest edits is reported, then the first. Texts of any length are searched
+whole. Columns other than doc_id, item_id and text are not read; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,14 +25,12 @@ from pyspark.sql import functions as F
 from orrery.llm.common import arrow_rows, texts
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
-#: Longest piece that is cut, shortest item that is searched: below it an item is part of ordinary language.
-MIN_ITEM = 20
 _OUT = "doc_id long, item_id long, distance long, item_chars long, start long, end long"
 
 
 def fold(text: str) -> str:
-    """Letters, digits and single spaces; one character for each byte of UTF-8."""
-    return b" ".join(text.encode().translate(_FOLD).split()).decode("latin-1")
+    """Letters, digits and single spaces."""
+    return b" ".join(text.encode().translate(_FOLD).split()).decode()
 
 
 def pieces(item: str, budget: int) -> list[tuple[int, str]]:
@@ -82,7 +84,7 @@ class Matcher:
         self.items = [(i, t, int(rate * len(t)), Myers(t)) for i, t in items]
         found: dict[str, list[tuple[int, int]]] = {}
         for k, (_, t, budget, _) in enumerate(self.items):
-            for offset, piece in pieces(t, budget):
+            for offset, piece in pieces(t, budget) if budget else [(-1, f" {t} ")]:
                 found.setdefault(piece, []).append((k, offset + len(piece)))
         self.search = ahocorasick.Automaton()
         for piece, places in found.items():
@@ -90,12 +92,16 @@ class Matcher:
         self.search.make_automaton()
 
     def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """Windows of each item, merged where they overlap."""
+        """Windows of each item, merged where they overlap; of an item that must stand as it is, its first place."""
         out: dict[int, list[list[int]]] = {}
-        for end, places in self.search.iter(text):
+        # the search sees a space before and after the text
+        for end, places in self.search.iter(f" {text} "):
             for k, after in places:
                 _, t, budget, _ = self.items[k]
-                a = end + 1 - after - budget
+                a = end - after - budget
+                if not budget:
+                    out.setdefault(k, [[a, a + len(t)]])
+                    continue
                 b = a + len(t) + 2 * budget
                 a = max(0, a)
                 own = out.setdefault(k, [])
@@ -120,11 +126,11 @@ class Matcher:
 
 
 def blocks(benchmark: DataFrame, item: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The folded items in blocks of bounded size, fetched one after another; items too short to search are left out."""
+    """The folded items in blocks of bounded size, fetched one after another; items without words are left out."""
     held, n = [], 0
     for key, t in benchmark.select(F.col(item).cast("long"), text).where(F.col(text).isNotNull()).toLocalIterator(prefetchPartitions=False):
         t = fold(t)
-        if len(t) < MIN_ITEM:
+        if not t:
             continue
         held.append((key, t))
         n += len(t)

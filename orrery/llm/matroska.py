@@ -19,6 +19,8 @@ from zlib import crc32
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from orrery.llm.common import arrow_rows, scratch, slices
+
 # Fixed values of the Matroska specification (RFC 9559): element ids.
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
 TIMESTAMP_SCALE, TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID = 0x2AD7B1, 0xAE, 0xD7, 0x73C5, 0x83, 0x86
@@ -260,19 +262,29 @@ def padded(text: bytes, unit: int = 64) -> bytes:
 
 
 def to_matroska(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n_bytes, media): every whole text as UTF-8, padded and muxed. A null text counts as empty."""
+    """(key, n_bytes, media): every whole text as UTF-8, padded and muxed. A null text counts as empty.
+
+    Rows that repeat and rows without a key are muxed each; other columns are not read, whatever their names; a text of
+    any length is one file, by itself in its slice if it is long. An empty table gives an empty result.
+    """
     schema = pa.schema([(key, pa.int64()), ("n_bytes", pa.int64()), ("media", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
+            for part in slices(batch, 1, 1000):
                 raw = [x or b"" for x in part.column(1).cast(pa.binary()).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array((mux(padded(x)) for x in raw), pa.binary())], schema=schema)
 
     return df.select(df[key].cast("long").alias(key), df[text].cast("string")).mapInArrow(run, f"`{key}` long, n_bytes long, media binary")
 
 
+def stored(media: DataFrame) -> DataFrame:
+    """The media as a compressed table in the shared folder, read from there."""
+    path = scratch(media.sparkSession, "media")
+    media.write.option("compression", "zstd").parquet(path)
+    return media.sparkSession.read.schema(media.schema).parquet(path)
+
+
 def packets(df: DataFrame, key: str, media: str = "media") -> DataFrame:
     """The packet table: one row per frame with track, codec, timestamp in ns, cluster, block, lacing and byte range."""
     out = f"`{key}` long, track long, codec string, timestamp_ns long, cluster long, block long, frame long, lacing string, keyframe boolean, byte_start long, byte_size long, cued boolean, error boolean"
@@ -280,8 +292,6 @@ def packets(df: DataFrame, key: str, media: str = "media") -> DataFrame:
     schema = pa.schema([(c.split()[0].strip("`"), t) for c, t in zip(out.split(", "), kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from orrery.llm.common import arrow_rows
-
         def rows():
             for batch in batches:
                 for k, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -302,8 +312,6 @@ def features(df: DataFrame, key: str, media: str = "media") -> DataFrame:
     schema = pa.schema([(c.split()[0].strip("`"), t) for c, t in zip(out.split(", "), kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from orrery.llm.common import arrow_rows
-
         def rows():
             for batch in batches:
                 for k, n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):

@@ -23,7 +23,7 @@ def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matroska.features(matroska.to_matroska(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id")
+    return matroska.features(matroska.stored(matroska.to_matroska(table(spark, sf_dir, "documents"), "doc_id", "text")), "doc_id")
 
 
 def op3_html_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
