@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def _stored(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of an iteration: a table in the shared folder if there is one, else a cached plan."""
+    """Cuts the lineage of an iteration by a table in the shared folder; where none is named, the plan is cached, and lost executors mean that it is computed again."""
     base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if not base:
         return df.cache()
@@ -18,21 +19,27 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def closure(edges: DataFrame, most: int = 64) -> DataFrame:
+#: Rounds whose pairs stay tables of their own before they are written as one.
+PARTS = 8
+
+
+def closure(edges: DataFrame) -> DataFrame:
     """(node, ancestor, depth): everything that one or more (child, parent) edges reach; a node only reaches itself on a cycle.
 
-    Semi-naive: each round extends only the pairs that the last one found, and stops when none is new.
+    Semi-naive: each round extends only the pairs that the last one found, writes only what is new, and stops when
+    nothing is. The depth is the least one; there is no limit to it.
     """
     edges = _stored(edges.select("child", "parent").where("child is not null and parent is not null").distinct())
-    found = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    front = found
-    for depth in range(2, most + 1):
+    front = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    parts, depth = [front], 1
+    while True:
+        depth += 1
+        found = reduce(DataFrame.unionByName, parts)
         step = front.join(edges, front["ancestor"] == edges["child"]).select("node", F.col("parent").alias("ancestor")).distinct()
         front = _stored(step.join(found, ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
         if front.isEmpty():
-            break
-        found = _stored(found.unionByName(front))
-    return found
+            return found
+        parts = [*parts, front] if len(parts) < PARTS else [_stored(found.unionByName(front))]
 
 
 def nearest(edges: DataFrame, prefixes: list[str]) -> DataFrame:

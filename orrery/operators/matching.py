@@ -1,16 +1,21 @@
 """Entity resolution: label indexes, aliases and overrides, scoped fuzzy matching, and the containment fallback.
 
-Every distinct value is matched once, within its scope's candidates only (an equi-join), and joined back.
+Every distinct value is matched once, within its scope's candidates only (an equi-join), and joined back. Ratios are
+taken batch by batch in Arrow; some functions count an index first, to see whether it is small enough to send out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.functions.text import is_empty, strip, token_sort_ratio, variants
+from orrery.functions import lcs
+from orrery.functions.text import is_empty, sorted_tokens, strip, token_sort_ratio, variants
 from orrery.operators.graph import closure
 
 IDS = ("geonames", "tgn", "idai", "osm_relation")
@@ -68,21 +73,82 @@ def overridden(values: DataFrame, overrides: DataFrame) -> DataFrame:
     return hit.select("raw", "qid", F.col("label").alias("match_label"), F.lit(1.0).alias("score"), reason.alias("reason"), *ids)
 
 
+#: Labels that go out to the tasks at once.
+BLOCK = 10_000
+#: Labels up to this number are broadcast to the values of their scopes; more are joined as AQE finds fit.
+SMALL_INDEX = 100_000
+
+
+def _spread(values: DataFrame) -> DataFrame:
+    """Dealt out evenly, so that a large scope is scored by many tasks."""
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return values.repartition(n, *values.columns)
+
+
+def _in_scope(asked: DataFrame, labels: DataFrame, scope: list[str]) -> DataFrame:
+    """(_query, scope, key, ord, points) of every value with every label of its scope: an equi-join, scored batch by batch."""
+    kinds = {f.name: f.dataType.simpleString() for f in asked.schema.fields}
+    out = f"_query string, {''.join(f'{c} {kinds[c]}, ' for c in scope)}key string, ord long, points int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 20_000):
+                part = b.slice(at, 20_000)
+                x, y = (part.column(c).to_pylist() for c in ("_a", "_b"))
+                total = np.fromiter((len(i) + len(j) for i, j in zip(x, y)), np.int64, len(x))
+                own = [*(part.column(c) for c in ("_query", *scope, "key", "ord")), pa.array(lcs.points(lcs.lengths(x, y), total), pa.int32())]
+                yield pa.RecordBatch.from_arrays(own, names=["_query", *scope, "key", "ord", "points"])
+
+    few = labels.limit(SMALL_INDEX + 1).count() <= SMALL_INDEX
+    pairs = _spread(asked).join(F.broadcast(labels) if few else labels, scope).select("_query", *scope, "key", "ord", "_a", "_b")
+    return pairs.mapInArrow(run, out)
+
+
+def _in_blocks(asked: DataFrame, labels: DataFrame) -> DataFrame:
+    """(_query, key, ord, points): each value's best label of each block of BLOCK labels. Blocks are fetched and sent out one after another."""
+    spark, asked = asked.sparkSession, _spread(asked)
+    out = None
+    rows = labels.select("key", "ord", "_b").toLocalIterator(prefetchPartitions=False)
+    while block := [tuple(r) for r in islice(rows, BLOCK)]:
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            # the best is the last: more points, then the lower ord, then the larger key
+            held = sorted(sent.value, key=lambda r: (-r[1], r[0]))
+            against = lcs.Block([r[2] for r in held])
+            sizes = np.array([len(r[2]) for r in held])
+            for b in batches:
+                best = []
+                for a in b.column("_a").to_pylist():
+                    points = lcs.points(against.lengths(a), sizes + len(a))
+                    i = len(held) - 1 - int(points[::-1].argmax())
+                    best.append((held[i][0], held[i][1], int(points[i])))
+                columns = [*zip(*best)] if best else [(), (), ()]
+                yield pa.RecordBatch.from_arrays([b.column("_query"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())], names=["_query", "key", "ord", "points"])
+
+        found = asked.mapInArrow(run, "_query string, key string, ord long, points int")
+        out = found if out is None else out.unionByName(found)
+    return spark.createDataFrame([], "_query string, key string, ord long, points int") if out is None else out
+
+
 def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold: float, scope_name: str = "global index") -> DataFrame:
-    """(raw, scope, RESULT): each value's best candidate by token-sort ratio within its scope; ties go to the lower ord, then key.
+    """(raw, scope, RESULT): each value's best candidate by token-sort ratio within its scope; ties go to the lower ord, then the larger key.
 
     Below the threshold there is no match, but the score and the reason stay. A value without candidates says so.
+    Values that equal a label (but for the order of words) meet it by a join; only the others are scored, against the
+    labels of their scope, or without one against the whole index in blocks.
     """
-    query = F.lower(strip("name"))
-    if not scope and index.limit(BOUND + 1).count() > BOUND:
-        raise ValueError(f"an index of more than {BOUND} labels needs a scope")
-    keyed = values.withColumn("_query", query)
+    keyed = values.withColumn("_query", F.lower(strip("name")))
     ids = [c for c in IDS if c in index.columns]
-    scored = keyed.join(index, scope) if scope else keyed.join(F.broadcast(index))
-    scored = scored.withColumn("score", token_sort_ratio("_query", "key"))
-    entry = F.struct("score", "key", "qid", "label", "source", *ids)
-    best = scored.groupBy("raw", *scope).agg(F.max_by(entry, F.struct(F.col("score"), -F.col("ord"), F.col("key"))).alias("m"))
-    out = keyed.join(best, ["raw", *scope], "left")
+    labels = index.select(*scope, "key", F.col("ord").cast("long").alias("ord"), sorted_tokens("key").alias("_b"))
+    asked = keyed.select("_query", *scope).where("_query is not null").distinct().withColumn("_a", sorted_tokens("_query"))
+    same = asked.join(labels.withColumnRenamed("_b", "_a"), ["_a", *scope]).select("_query", *scope, "key", "ord", F.lit(10_000).alias("points"))
+    rest = asked.join(same.select("_query", *scope).distinct(), ["_query", *scope], "left_anti")
+    scored = same.unionByName(_in_scope(rest, labels, scope) if scope else _in_blocks(rest, labels))
+    best = scored.groupBy("_query", *scope).agg(F.max(F.struct("points", (-F.col("ord")).alias("first"), "key")).alias("m"))
+    best = best.select("_query", *scope, F.col("m.key").alias("key"), (F.col("m.points") / 10_000.0).alias("score"))
+    best = best.join(index.drop("ord"), ["key", *scope]).select("_query", *scope, F.struct("score", "key", "qid", "label", "source", *ids).alias("m"))
+    out = keyed.join(best, ["_query", *scope], "left")
     ok = F.col("m.score") >= threshold
     kind = F.when(F.col("_query") == F.col("m.key"), "Exact match").otherwise(F.format_string("Fuzzy match (score=%.2f)", "m.score"))
     said = F.concat_ws(" | ", F.concat(kind, F.lit(" via "), F.col("m.source"), F.lit(f" [{scope_name}]")), F.concat(F.lit("'"), F.col("name"), F.lit("' -> '"), F.col("m.label"), F.lit("'")), F.when(F.col("note") != "", F.concat(F.lit("[normalised: "), F.col("note"), F.lit("]"))))
@@ -91,10 +157,6 @@ def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold:
     return out.select("raw", *scope, F.when(ok, F.col("m.qid")).alias("qid"), F.when(ok, F.col("m.label")).alias("match_label"), F.col("m.score").alias("score"), reason.alias("reason"), *(F.when(ok, F.col(f"m.{c}")).alias(c) for c in ids))
 
 
-#: Largest index that values without a scope are compared with, all of it: the global indexes hold countries and states.
-BOUND = 10_000
-
-
 def once(values: DataFrame, raw: str, *order: str) -> DataFrame:
     """One row a raw value: that of its first scope in order."""
     w = Window.partitionBy(raw).orderBy(*order)
@@ -134,8 +196,18 @@ def two_stage(values: DataFrame, index: DataFrame, labels: DataFrame, parts: Dat
     return first.where("qid is not null").unionByName(second, allowMissingColumns=True).unionByName(none, allowMissingColumns=True)
 
 
-def appended(df: DataFrame, column: str, results: DataFrame) -> DataFrame:
-    """`df` with the columns <column>_<result> of each row's value; values that weren't matched are 'Not processed'."""
-    named = results.select(F.col("raw").alias("_raw"), *(F.col(c).alias(f"{column}_{c}") for c in RESULT if c in results.columns))
-    out = df.join(named, F.col(column) == F.col("_raw"), "left").drop("_raw")
+def appended(df: DataFrame, column: str, results: DataFrame, scope: dict[str, str] | None = None) -> DataFrame:
+    """`df` with the columns <column>_<result> of each row's value; values that weren't matched are 'Not processed'.
+
+    `scope` (column of df -> scope column of the results) tells results of one value in several scopes apart; without
+    it a value's results are those of its first scope.
+    """
+    scope = scope or {}
+    if not scope and (others := [c for c in results.columns if c not in ("raw", *RESULT)]):
+        results = once(results, "raw", *others)
+    named = results.select(F.col("raw").alias("_raw"), *(F.col(c).alias(f"_{c}") for c in scope.values()), *(F.col(c).alias(f"{column}_{c}") for c in RESULT if c in results.columns))
+    on = F.col(column) == F.col("_raw")
+    for own, other in scope.items():
+        on = on & F.col(own).eqNullSafe(F.col(f"_{other}"))
+    out = df.join(named, on, "left").drop("_raw", *(f"_{c}" for c in scope.values()))
     return out.withColumn(f"{column}_reason", F.coalesce(f"{column}_reason", F.lit("Not processed")))

@@ -8,17 +8,21 @@ import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
+from urllib.parse import urljoin
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.text import na_to_null
 from orrery.operators.triples import COLUMNS, SCHEMA, XSD
 
 
-def csv(spark: SparkSession, path: str, sep: str = ",", na: bool = True, required: tuple[str, ...] = ()) -> DataFrame:
-    """A CSV table of text columns. Header names are stripped; `na`: missing-value tokens become null, else cells stay as they are ('' for empty ones)."""
-    df = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+def csv(spark: SparkSession, path: str, sep: str = ",", na: bool = True, required: tuple[str, ...] = (), line_breaks: bool = False) -> DataFrame:
+    """A CSV table of text columns. Header names are stripped; `na`: missing-value tokens become null, else cells stay as they are ('' for empty ones).
+
+    `line_breaks`: quoted cells may hold line breaks; a file is then one task, else large files are read in pieces.
+    """
+    df = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", line_breaks).csv(path)
     df = df.toDF(*(c.strip().lstrip("\ufeff") for c in df.columns))
     if lost := [c for c in required if c not in df.columns]:
         raise ValueError(f"columns missing in {path}: {', '.join(lost)}")
@@ -32,29 +36,63 @@ def limited(df: DataFrame, n: int | None, *order: str) -> DataFrame:
 
 
 _TERM = r"(?:<([^>]*)>|(_:[^\s]+))"
-_NT = rf"^\s*{_TERM}\s+<([^>]*)>\s+(?:{_TERM}|\"((?:[^\"\\]|\\.)*)\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*$"
+_NT = rf"^\s*{_TERM}\s+<([^>]*)>\s+(?:{_TERM}|\"((?:[^\"\\]|\\.)*)\"(?:@([A-Za-z0-9-]+)|\^\^<([^>]*)>)?)\s*\.\s*(?:#.*)?$"
+
+
+def unescaped(c: Column) -> Column:
+    """Text with its backslash escapes undone, each once: what stands between pairs of backslashes holds no other backslash than those that begin an escape."""
+    hexed = lambda x, n: F.decode(F.unhex(F.lpad(F.substring(x, 1, n), 8, "0")), "UTF-32")
+    simple = (("\\t", "\t"), ("\\b", "\b"), ("\\n", "\n"), ("\\r", "\r"), ("\\f", "\f"), ('\\"', '"'), ("\\'", "'"))
+
+    def coded(x: Column, mark: str, n: int) -> Column:
+        parts = F.split(x, re.escape(mark))
+        rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda y: F.concat(hexed(y, n), F.substr(y, F.lit(n + 1))))
+        return F.concat(parts[0], F.array_join(rest, ""))
+
+    def one(x: Column) -> Column:
+        for a, b in simple:
+            x = F.replace(x, F.lit(a), F.lit(b))
+        # a code may stand for a backslash, so neither result is looked at again
+        long = F.split(x, re.escape("\\U"))
+        rest = F.transform(F.slice(long, 2, F.greatest(F.size(long) - 1, F.lit(0))), lambda y: F.concat(hexed(y, 8), coded(F.substr(y, F.lit(9)), "\\u", 4)))
+        return F.concat(coded(long[0], "\\u", 4), F.array_join(rest, ""))
+
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(F.split(c, r"\\\\"), one), "\\")).otherwise(c)
 
 
 def ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """N-Triples lines as triples, read in parallel."""
+    """N-Triples lines as triples, read in parallel. A line that is neither a triple nor blank nor a comment is an error.
+
+    The files of a folder are one document: a blank node's label means one node in all of them.
+    """
     part = lambda i: F.nullif(F.regexp_extract("value", _NT, i), F.lit(""))
-    lines = spark.read.text(path).where(F.col("value").rlike(_NT))
-    text = F.regexp_extract("value", _NT, 6)
-    for a, b in (("\\\\n", "\n"), ("\\\\r", "\r"), ("\\\\t", "\t"), ('\\\\"', '"'), ("\\\\\\\\", "\\")):
-        text = F.regexp_replace(text, a, b.replace("\\", "\\\\"))
-    ref = F.coalesce(part(4), part(5))
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+    subject = F.when(F.col("value").rlike(_NT), F.coalesce(unescaped(part(1)), part(2))).otherwise(F.raise_error(F.concat(F.lit("not a triple: "), F.col("value"))))
+    ref = F.coalesce(unescaped(part(4)), part(5))
     kind = F.when(part(5).isNotNull(), "bnode").when(part(4).isNotNull(), "iri").otherwise("lit")
-    return lines.select(F.coalesce(part(1), part(2)).alias("s"), part(3).alias("p"), F.coalesce(ref, text).alias("o"), kind.alias("o_kind"), part(8).alias("o_dt"), part(7).alias("o_lang"))
+    return lines.select(subject.alias("s"), unescaped(part(3)).alias("p"), F.coalesce(ref, unescaped(F.regexp_extract("value", _NT, 6))).alias("o"), kind.alias("o_kind"), unescaped(part(8)).alias("o_dt"), part(7).alias("o_lang"))
 
 
-_TOKEN = re.compile(r'\s+|#[^\n]*|(?P<iri><[^>]*>)|(?P<long>"""(?:[^\\]|\\.)*?""")|(?P<str>"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\')|(?P<at>@[A-Za-z][\w-]*)|(?P<dt>\^\^)|(?P<num>[-+]?(?:\d+\.\d+|\d+)(?![\w:]))|(?P<name>_:[\w.-]*[\w-]|[\w-]*:(?:[\w%-]|\.(?=[\w%-])|\\.)*|\ba\b|true\b|false\b|PREFIX\b|BASE\b)|(?P<p>[.;,()\[\]])', re.S)
+_TOKEN = re.compile(r'\s+|#[^\n]*|(?P<iri><[^>]*>)|(?P<long>"""(?:[^\\]|\\.)*?""")|(?P<str>"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\')|(?P<at>@[A-Za-z][\w-]*)|(?P<dt>\^\^)|(?P<num>[-+]?(?:(?:\d+\.\d*|\.?\d+)[eE][-+]?\d+|\d*\.\d+|\d+)(?![\w:]))|(?P<name>_:[\w.-]*[\w-]|[\w-]*:(?:[\w%-]|\.(?=[\w%-])|\\.)*|\ba\b|true\b|false\b|PREFIX\b|BASE\b)|(?P<p>[.;,()\[\]])', re.S)
 _ESCAPES = {"n": "\n", "r": "\r", "t": "\t", '"': '"', "'": "'", "\\": "\\"}
 
 
-def parse_turtle(text: str) -> list[tuple]:
-    """Triples of a Turtle document: prefixes, predicate and object lists, literals, blank nodes and collections."""
-    tokens = [(m.lastgroup, m[0]) for m in _TOKEN.finditer(text) if m.lastgroup]
+def parse_turtle(text: str, document: str = "") -> list[tuple]:
+    """Triples of a Turtle document: base and prefixes, predicate and object lists, literals, blank nodes and collections.
+
+    Blank nodes are those of the document: `document` goes into their labels. What is no token is an error.
+    """
+    tokens, seen = [], 0
+    for m in _TOKEN.finditer(text):
+        if m.start() != seen:
+            break
+        seen = m.end()
+        if m.lastgroup:
+            tokens.append((m.lastgroup, m[0]))
+    if seen != len(text):
+        raise ValueError(f"not Turtle at {seen}: {text[seen:seen + 40]!r}")
     prefixes: dict[str, str] = {}
+    base = ""
     out: list[tuple] = []
     at = blank = 0
     rdf = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
@@ -62,21 +100,24 @@ def parse_turtle(text: str) -> list[tuple]:
     def fresh() -> tuple:
         nonlocal blank
         blank += 1
-        return f"_:n{blank}", "bnode", None, None
+        return f"_:{document}n{blank}", "bnode", None, None
 
     def unescape(s: str) -> str:
         return re.sub(r"\\(u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|.)", lambda m: chr(int(m[1][1:], 16)) if m[1][0] in "uU" and len(m[1]) > 1 else _ESCAPES.get(m[1], m[1]), s)
 
     def named(t: str) -> str:
         head, _, tail = t.partition(":")
-        return t if head == "_" else prefixes[head] + tail.replace("\\", "")
+        return f"_:{document}b{tail}" if head == "_" else prefixes[head] + tail.replace("\\", "")
+
+    def resolved(t: str) -> str:
+        return urljoin(base, unescape(t)) if base else unescape(t)
 
     def term() -> tuple:
         nonlocal at
         kind, t = tokens[at]
         at += 1
         if kind == "iri":
-            return t[1:-1], "iri", None, None
+            return resolved(t[1:-1]), "iri", None, None
         if kind in ("str", "long"):
             body = unescape(t[3:-3] if kind == "long" else t[1:-1])
             if at < len(tokens) and tokens[at][0] == "at":
@@ -87,7 +128,7 @@ def parse_turtle(text: str) -> list[tuple]:
                 return body, "lit", term()[0], None
             return body, "lit", None, None
         if kind == "num":
-            return t, "lit", XSD + ("decimal" if "." in t else "integer"), None
+            return t, "lit", XSD + ("double" if "e" in t.lower() else "decimal" if "." in t else "integer"), None
         if t in ("true", "false"):
             return t, "lit", f"{XSD}boolean", None
         if t == "a":
@@ -127,9 +168,10 @@ def parse_turtle(text: str) -> list[tuple]:
     while at < len(tokens):
         kind, t = tokens[at]
         if t.lower() in ("@prefix", "prefix"):
-            prefixes[tokens[at + 1][1].rstrip(":")] = tokens[at + 2][1][1:-1]
+            prefixes[tokens[at + 1][1].rstrip(":")] = resolved(tokens[at + 2][1][1:-1])
             at += 4 if t[0] == "@" else 3
         elif t.lower() in ("@base", "base"):
+            base = resolved(tokens[at + 1][1][1:-1])
             at += 3 if t[0] == "@" else 2
         else:
             facts(term())
@@ -138,17 +180,18 @@ def parse_turtle(text: str) -> list[tuple]:
 
 
 def turtle(spark: SparkSession, path: str) -> DataFrame:
-    """Turtle files as triples: an edge format, one file to a task."""
+    """Turtle files as triples: an edge format, one file to a task. Blank nodes of different files are different, so their labels hold a hash of the file's path."""
     kinds = [c.split()[0] for c in SCHEMA.split(", ")]
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
-            for t in b["value"]:
-                yield pd.DataFrame(parse_turtle(t), columns=kinds)
+            for t, name in zip(b["value"], b["document"]):
+                yield pd.DataFrame(parse_turtle(t, name), columns=kinds)
 
-    return spark.read.text(path, wholetext=True).mapInPandas(run, SCHEMA).select(*COLUMNS).dropDuplicates()
+    files = spark.read.text(path, wholetext=True).select("value", F.concat(F.lit("f"), F.substring(F.md5(F.col("_metadata.file_path").cast("binary")), 1, 16)).alias("document"))
+    return files.mapInPandas(run, SCHEMA).select(*COLUMNS).dropDuplicates()
 
 
 def markdown_table(spark: SparkSession, path: str, section: str, columns: tuple[str, ...] = ("class", "cell")) -> DataFrame:
@@ -170,14 +213,15 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
 
 def retried(call: Callable[[], list], retries: int = 3, delay: float = 2.0, again: tuple[type[Exception], ...] = (TimeoutError, ConnectionError), sleep: Callable[[float], None] = time.sleep) -> list:
     """The call's result; temporary failures are tried again after a fixed delay, and the last one is raised."""
-    for n in range(retries):
+    left = max(retries, 1)
+    while True:
+        left -= 1
         try:
             return call()
         except again:
-            if n == retries - 1:
+            if not left:
                 raise
-            sleep(delay)
-    raise RuntimeError("No attempts made")
+        sleep(delay)
 
 
 def git_info(folder: str) -> dict[str, str | bool | None]:
@@ -194,6 +238,11 @@ def git_info(folder: str) -> dict[str, str | bool | None]:
     return {"commit": said("rev-parse", "HEAD"), "branch": said("rev-parse", "--abbrev-ref", "HEAD"), "dirty": None if status is None else bool(status)}
 
 
+def file_uri(path: str) -> str:
+    """The file's URI: of its absolute path, with what a URI can't hold in per cent."""
+    return Path(path).resolve().as_uri()
+
+
 def file_info(path: str) -> tuple[bool, datetime | None]:
     p = Path(path)
     return (True, datetime.fromtimestamp(p.stat().st_mtime, timezone.utc)) if p.exists() else (False, None)
