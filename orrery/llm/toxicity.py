@@ -1,19 +1,23 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, from a block-max inverted index.
 
 Fit: a bounded sample of labelled rows (EXAMPLES) outside the held-out fold. Terms are ASCII-lower-cased runs of
-letters and digits, and the stems of longer ones. A term enters the vocabulary (at most TERMS) if Dunning's G2 ties it to the toxic label, where toxic
-examples only count if they differ in their first or last terms, and begin and end in many ways: so copies of one
-toxic text don't make its words toxic. Examples become
-unit TF-IDF vectors over the vocabulary, ordered by vector and by a hash of their text, in blocks of BLOCK; for each term the index
-keeps its postings and its largest weight in each block.
-
-Score: a document's upper bound in every block is a sum of block maxima; blocks are opened in order of that bound
-until none can beat the k-th best cosine, so the k nearest are exact. Their votes, weighted by squared cosine, shrunk
-towards the prior, are calibrated by isotonic regression on the examples' own leave-one-out votes. Neighbours and
-terms are kept as evidence. The index is bounded by EXAMPLES, so it is broadcast; documents are not shuffled.
-
-Documents without a term of the vocabulary (also empty and null texts) get the rate among such examples. Without any
-usable label every score is 0.
+letters and digits; all that two examples or more hold are in the vocabulary. A term's weight in a text is
+(1 + log tf) * idf * rf ** 2, where rf = log2(2 + a / max(1, c)) is the relevance frequency of Lan et al.: a toxic
+examples (as many as begin, and as end, in different terms, so that copies of one text don't count) and c others hold
+the term. Without it neighbours are those of a text's rare words (README). Equal and nearly equal examples (cosine
+NEAR or more to one of their neighbours) are one example with their mean label.
+
+The index: terms that few examples hold have postings; those that many hold have a weight for every example and, for
+each block of BLOCK examples, the largest one. Search: the postings of rare terms are summed for all examples; a block's
+bound is its best sum and the block maxima of the text's other terms; the blocks of the highest bounds are opened, then all
+others that may beat the k-th best cosine, so the k nearest are exact (cosines are rounded to 6 places). Their votes, weighted by squared cosine and shrunk towards the prior,
+are calibrated by isotonic regression on the examples' own votes without themselves. All neighbours are kept as evidence,
+and a text's terms of most weight. The index is bounded by EXAMPLES, so it is broadcast; documents are not shuffled.
+
+Null and empty texts and those without a known term get the rate among such examples. Without any usable label every
+score is 0. A doc_id with several labels is toxic if one is; rows that repeat a doc_id or lack one are scored each; ties go
+to the lower example; texts of any length are taken whole. Columns other than doc_id and text (and the labels' toxic)
+are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,72 +33,116 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import arrow_rows, hashed_sample, held_out, texts
 
-EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 10_000, 2_000, 64, 15
-#: Least G2 (a chance of one in ten million a term) and least number of toxic examples of a term; weight of the prior.
-LEAST_G2, LEAST_DF, PRIOR = 28.0, 5, 0.5
-#: Least share of a term's toxic examples that begin, and that end, in different words.
-SPREAD = 0.3
-#: Bytes of a word's stem.
-STEM = 6
+EXAMPLES, BLOCK, NEIGHBOURS = 4_096, 64, 15
+#: Least number of examples that hold a term of the vocabulary; share of them from which a term's weights are dense.
+LEAST_DF, DENSE = 2, 1 / 16
+#: Weight of the prior; cosine from which two examples are one; terms of evidence.
+PRIOR, NEAR, EVIDENCE = 0.5, 0.9, 10
+#: Blocks opened first; blocks above which all are summed at once.
+OPENED, MANY = 4, 12
 FOLD, THRESHOLD = 4, 0.3
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
+#: Terms and their counts, by term.
+Vector = tuple[tuple[int, ...], tuple[int, ...]]
+Unit = tuple[np.ndarray, np.ndarray]
+
 
 def terms(text: str | None) -> list[bytes]:
-    """Words and, marked, the first STEM bytes of the longer ones."""
-    w = text.encode().translate(_FOLD).split() if text else []
-    return w + [b"^" + x[:STEM] for x in w if len(x) > STEM]
+    return text.encode().translate(_FOLD).split() if text else []
 
 
 @dataclass
+class Terms:
+    """The vocabulary and its weights."""
+
+    number: dict[bytes, int]
+    weight: np.ndarray
+
+    def vector(self, text: str | None) -> Vector:
+        """The vocabulary's terms in a text."""
+        known = self.number
+        found = {i: n for w, n in Counter(terms(text)).items() if (i := known.get(w)) is not None}
+        order = sorted(found)
+        return tuple(order), tuple(map(found.__getitem__, order))
+
+    def unit(self, vector: Vector) -> Unit:
+        t = np.array(vector[0])
+        w = (1 + np.log(np.array(vector[1]))) * self.weight[t]
+        return t, w / np.sqrt(w @ w)
+
+
 class Index:
-    """Unit vectors of the examples, by term and block."""
-
-    vocabulary: dict[bytes, int]
-    idf: np.ndarray
-    starts: np.ndarray  # of a term's postings
-    examples: np.ndarray
-    values: np.ndarray
-    largest: np.ndarray  # term x block
+    """Unit vectors of examples, by term and block."""
+
+    def __init__(self, known: Terms, vectors: list[Vector]):
+        self.size = len(vectors)
+        self.blocks = -(-self.size // BLOCK)
+        units = [known.unit(v) for v in vectors]
+        t = np.concatenate([a for a, _ in units]) if units else np.zeros(0, int)
+        e, w = np.repeat(np.arange(self.size), [len(a) for a, _ in units]), np.concatenate([b for _, b in units]) if units else np.zeros(0)
+        df = np.bincount(t, minlength=len(known.weight))
+        common = np.flatnonzero(df > DENSE * self.size)
+        self.row = np.full(len(df), -1)
+        self.row[common] = np.arange(len(common))
+        dense = self.row[t] >= 0
+        self.dense = np.zeros((len(common), self.blocks * BLOCK), np.float32)
+        self.dense[self.row[t[dense]], e[dense]] = w[dense]
+        self.largest = self.dense.reshape(len(common), self.blocks, BLOCK).max(2) if common.size and self.blocks else np.zeros((len(common), self.blocks), np.float32)
+        order = np.flatnonzero(~dense)
+        order = order[np.lexsort((e[order], t[order]))]
+        self.starts = np.searchsorted(t[order], np.arange(len(df) + 1))
+        self.examples, self.values = e[order].astype(np.int32), w[order]
+
+    def sums(self, t: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Dot products of all examples with the weights of rare terms, by block."""
+        a, n = self.starts[t], self.starts[t + 1] - self.starts[t]
+        at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.examples[at], self.values[at] * np.repeat(w, n), self.blocks * BLOCK).reshape(self.blocks, BLOCK)
+
+    def nearest(self, unit: Unit, k: int) -> list[tuple[float, int]]:
+        """The k largest cosines above 0 as (cosine, example); ties go to the lower example."""
+        t, w = unit
+        row = self.row[t]
+        common = row >= 0
+        rows, heavy = row[common], w[common].astype(np.float32)
+        sums = self.sums(t[~common], w[~common])
+        bound = sums.max(1) + heavy @ self.largest[rows]
+        order = np.argsort(-bound, kind="stable")
+
+        def opened(blocks: np.ndarray) -> np.ndarray:
+            if len(blocks) > MANY:
+                return sums[blocks] + (heavy @ self.dense[rows]).reshape(-1, BLOCK)[blocks]
+            at = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            return sums[blocks] + (heavy @ self.dense[rows[:, None], at]).reshape(-1, BLOCK)
+
+        first = order[:OPENED]
+        cosine = np.round(opened(first), 6)
+        kth = np.partition(cosine, -k, axis=None)[-k] if cosine.size >= k else 0.0
+        # sums are rounded: a bound that equals the k-th cosine may still hold a lower example
+        rest = order[OPENED:]
+        rest = rest[bound[rest] >= kth - 2e-6]
+        if len(rest):
+            first, cosine = np.concatenate([first, rest]), np.concatenate([cosine, np.round(opened(rest), 6)])
+        number, cosine = (first[:, None] * BLOCK + np.arange(BLOCK)).ravel(), cosine.ravel()
+        if len(cosine) > k:
+            high = cosine >= np.partition(cosine, -k)[-k]
+            number, cosine = number[high], cosine[high]
+        best = np.lexsort((number, -cosine))[:k]
+        return [(float(c), int(i)) for c, i in zip(cosine[best], number[best]) if c > 0]
+
+
+@dataclass
+class Model:
+    known: Terms
+    index: Index
     doc_ids: np.ndarray
-    toxic: np.ndarray
+    toxic: np.ndarray  # mean label of each example
     empty: float  # rate of examples without a term
     prior: float
     knots: tuple[np.ndarray, np.ndarray]  # calibration
 
-    def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        """(term, count) of the vocabulary's terms in a text, by term."""
-        known = self.vocabulary
-        return tuple(sorted(Counter([known[w] for w in terms(text) if w in known]).items()))
-
-    def unit(self, vector: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array([a for a, _ in vector])
-        w = (1 + np.log([b for _, b in vector])) * self.idf[t]
-        return t, w / np.sqrt((w * w).sum())
-
-    def nearest(self, vector: tuple[tuple[int, int], ...], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
-        """The k largest cosines above 0 as (cosine, example); ties go to the lower example."""
-        t, w = self.unit(vector)
-        bound = w @ self.largest[t]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            low, most = int(block) * BLOCK, bound[block]
-            # sums differ in their last bits: a bound that equals the k-th cosine may still hold a lower example
-            if most <= 0 or len(best) == k and most < best[-1][0] - 1e-9:
-                break
-            if len(best) == k and most <= best[-1][0] + 1e-9 and low > best[-1][1]:
-                continue
-            score = np.zeros(BLOCK)
-            for term, weight in zip(t, w):
-                a, b = self.starts[term], self.starts[term + 1]
-                i, j = np.searchsorted(self.examples[a:b], (low, low + BLOCK)) + a
-                if j > i:
-                    score[self.examples[i:j] - low] += weight * self.values[i:j]
-            score = np.round(score, 9)
-            best = sorted(best + [(float(score[i]), int(low + i)) for i in np.flatnonzero(score)], key=lambda x: (-x[0], x[1]))[:k]
-        return best
-
     def vote(self, near: list[tuple[float, int]]) -> float:
         weight = np.array([c * c for c, _ in near])
         return float((weight @ self.toxic[[i for _, i in near]] + PRIOR * self.prior) / (weight.sum() + PRIOR)) if near else self.empty
@@ -136,9 +184,8 @@ def examples(docs: DataFrame, labels: DataFrame, bound: int, fold: int) -> DataF
     return texts(docs).join(F.broadcast(hashed_sample(known, "doc_id", bound)), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = FOLD) -> Index | None:
-    """The index; None without labelled rows."""
-    sample = examples(docs, labels, bound, fold)
+def vocabulary(sample: DataFrame) -> tuple[Terms, float] | None:
+    """The terms with their weights and the share of toxic examples; None without examples."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
@@ -150,79 +197,118 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = F
         yield from arrow_rows(((*k, n) for k, n in found.items()), pa.schema([("term", pa.binary()), ("toxic", pa.int32()), ("head", pa.binary()), ("tail", pa.binary()), ("n", pa.int64())]))
 
     counted = sample.select("text", "toxic").mapInArrow(count, "term binary, toxic int, head binary, tail binary, n long")
-    by = counted.groupBy("term").agg(F.count_distinct(F.when(F.col("toxic") == 1, F.struct("head", "tail"))).alias("k1"), *(F.count_distinct(F.when(F.col("toxic") == 1, F.col(c))).alias(c) for c in ("head", "tail")), *(F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)))
-    sizes = by.where(F.octet_length("term") == 0).select("n0", "n1").first()
-    if sizes is None:
+    ends = [F.count_distinct(F.when(F.col("toxic") == 1, F.col(c))).alias(c) for c in ("head", "tail")]
+    by = counted.groupBy("term").agg(*ends, *(F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)))
+    by = by.where((F.octet_length("term") == 0) | (F.col("n0") + F.col("n1") >= LEAST_DF))
+    # the terms of a bounded sample
+    rows = by.select("term", F.least("head", "tail").alias("a"), "n0", (F.col("n0") + F.col("n1")).alias("df"), "n1").orderBy("term").toArrow().to_pydict()
+    if not rows["term"]:
         return None
-    n0, n1 = sizes
-    a, b = F.col("k1").cast("double"), F.col("n0").cast("double")
-    cell = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-    total = float(n0 + n1)
-    g2 = 2 * (cell(a, (a + b) * n1 / total) + cell(b, (a + b) * n0 / total) + cell(n1 - a, (total - a - b) * n1 / total) + cell(n0 - b, (total - a - b) * n0 / total))
-    chosen = by.where((F.octet_length("term") > 0) & (F.least("head", "tail") >= F.greatest(F.lit(LEAST_DF), F.lit(SPREAD) * a)) & (a * n0 > b * n1)).withColumn("g2", g2).where(F.col("g2") >= LEAST_G2)
-    chosen = chosen.orderBy(F.desc("g2"), "term").limit(TERMS).select("term", F.expr("n0 + n1")).collect()
-    vocabulary = {bytes(t): i for i, (t, _) in enumerate(chosen)}
-    idf = np.array([np.log((total + 1) / (n + 0.5)) + 1e-6 for _, n in chosen])
-    index = Index(vocabulary, idf, np.zeros(1, int), *(np.zeros(0),) * 2, np.zeros((0, 0)), *(np.zeros(0),) * 2, 0.0, n1 / total, (np.zeros(0), np.zeros(0)))
-    sent = docs.sparkSession.sparkContext.broadcast(index)
+    at = 1 if rows["term"][0] == b"" else 0
+    if not at:
+        return None
+    total, toxic = rows["df"][0], rows["n1"][0]
+    a, c, df = (np.array(rows[x][1:], float) for x in ("a", "n0", "df"))
+    weight = (np.log((total + 1) / (df + 0.5)) + 1e-6) * np.log2(2 + a / np.maximum(c, 1)) ** 2
+    return Terms({w: i for i, w in enumerate(rows["term"][1:])}, weight), toxic / total
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
 
+def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = FOLD) -> Model | None:
+    """The model; None without labelled rows."""
+    spark = docs.sparkSession
+    sample = examples(docs, labels, bound, fold)
+    if (found := vocabulary(sample)) is None:
+        return None
+    known, prior = found
+    sent = spark.sparkContext.broadcast(known)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        rows = ((xxh64_intdigest(t) >> 1, d, y, [i for i, _ in v], [n for _, n in v]) for b in batches for d, t, y in zip(*(b.column(i).to_pylist() for i in range(3))) for v in [m.vector(t)])
-        yield from arrow_rows(rows, pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("toxic", pa.int32()), ("t", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]))
-
-    # at most `bound` rows of at most TERMS numbers
-    rows = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, "h long, doc_id long, toxic int, t array<int>, n array<int>")
-    none = rows.where("size(t) = 0").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    held = sorted(rows.where("size(t) > 0").collect(), key=lambda r: (tuple(r.t), tuple(r.n), r.h, r.toxic))
-    return build(index, [(r.doc_id, r.toxic, tuple(zip(r.t, r.n))) for r in held], tuple(none))
-
-
-def build(index: Index, held: list[tuple[int, int, tuple[tuple[int, int], ...]]], none: tuple[int, int]) -> Index:
-    """Postings, block maxima and calibration of (doc_id, toxic, vector) examples; none: number and toxic ones of those without a term."""
-    index.doc_ids, index.toxic = np.array([d for d, _, _ in held], np.int64), np.array([y for _, y, _ in held], float)
-    index.empty = (none[1] + index.prior) / (none[0] + 1)
-    units = [index.unit(v) for _, _, v in held]
-    t = np.concatenate([a for a, _ in units]) if held else np.zeros(0, int)
-    e, w = np.repeat(np.arange(len(held)), [len(a) for a, _ in units]), np.concatenate([b for _, b in units]) if held else np.zeros(0)
-    order = np.lexsort((e, t))
-    t, index.examples, index.values = t[order], e[order], w[order]
-    index.starts = np.searchsorted(t, np.arange(len(index.idf) + 1))
-    index.largest = np.zeros((len(index.idf), -(-len(held) // BLOCK)))
-    np.maximum.at(index.largest, (t, index.examples // BLOCK), index.values)
-    # without the example itself: it is among the k + 1 nearest, or k others tie with it
-    near = {v: index.nearest(v, NEIGHBOURS + 1) for v in {v for _, _, v in held}}
-    votes = np.array([index.vote([x for x in near[v] if x[1] != i][:NEIGHBOURS]) for i, (_, _, v) in enumerate(held)])
-    index.knots = isotonic(votes, index.toxic)
-    return index
-
-
-_OUT = "doc_id long, score double, terms array<string>, neighbours array<struct<doc_id: long, toxic: int, cosine: double>>"
-
-
-def score(docs: DataFrame, index: Index | None) -> DataFrame:
+        rows = ((d, y, *map(list, v)) for b in batches for d, t, y in zip(*(b.column(i).to_pylist() for i in range(3))) for v in [m.vector(t)])
+        yield from arrow_rows(rows, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("t", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]), 500)
+
+    # at most `bound` rows
+    rows = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, t array<int>, n array<int>").collect()
+    none = [r.toxic for r in rows if not r.t]
+    whole: dict[Vector, list[tuple[int, int]]] = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.toxic)):
+        if r.t:
+            whole.setdefault((tuple(r.t), tuple(r.n)), []).append((r.doc_id, r.toxic))
+    model = Model(known, Index(known, []), np.zeros(0, np.int64), np.zeros(0), (sum(none) + prior) / (len(none) + 1), prior, (np.zeros(0), np.zeros(0)))
+    if not whole:
+        return model
+    held = sorted(whole.items())
+    # nearly equal examples: the lowest of them stands for all
+    index = Index(known, [v for v, _ in held])
+    root = [*range(len(held))]
+    for i, near in own_neighbours(spark, known, index, [v for v, _ in held], 3):
+        for c, j in near:
+            if c >= NEAR:
+                a, b = _find(root, i), _find(root, j)
+                root[max(a, b)] = min(a, b)
+    groups: dict[int, list[tuple[int, int]]] = {}
+    for i, (_, ys) in enumerate(held):
+        groups.setdefault(_find(root, i), []).extend(ys)
+    kept = [held[i][0] for i in groups]
+    model.index = Index(known, kept)
+    model.doc_ids = np.array([min(ys)[0] for ys in groups.values()], np.int64)
+    model.toxic = np.array([sum(y for _, y in ys) / len(ys) for ys in groups.values()])
+    votes = np.zeros(len(kept))
+    for i, near in own_neighbours(spark, known, model.index, kept, NEIGHBOURS + 1):
+        # without the example itself: it is among the k + 1 nearest, or k others tie with it
+        votes[i] = model.vote([x for x in near if x[1] != i][:NEIGHBOURS])
+    model.knots = isotonic(votes, model.toxic)
+    return model
+
+
+def _find(root: list[int], i: int) -> int:
+    while root[i] != i:
+        root[i] = root[root[i]]
+        i = root[i]
+    return i
+
+
+def own_neighbours(spark, known: Terms, index: Index, held: list[Vector], k: int) -> list[tuple[int, list[tuple[float, int]]]]:
+    """(example, its k nearest examples) of every example, by tasks."""
+    sent = spark.sparkContext.broadcast((known, index, held))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, index, held = sent.value
+        rows = ((i, *map(list, zip(*index.nearest(known.unit(held[i]), k)))) for b in batches for i in b.column(0).to_pylist())
+        yield from arrow_rows(rows, pa.schema([("i", pa.int64()), ("cosine", pa.list_(pa.float64())), ("j", pa.list_(pa.int64()))]))
+
+    found = spark.range(0, len(held), 1, max(1, min(64, len(held) // 64))).mapInArrow(run, "i long, cosine array<double>, j array<long>")
+    return sorted((r.i, [*zip(r.cosine, r.j)]) for r in found.collect())
+
+
+_OUT = "doc_id long, score double, terms array<string>, neighbours array<struct<doc_id: long, toxic: double, cosine: double>>"
+
+
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score, terms, neighbours) of every whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(index)
-    kinds = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("terms", pa.list_(pa.string())), ("neighbours", pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])))])
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    kinds = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("terms", pa.list_(pa.string())), ("neighbours", pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.float64()), ("cosine", pa.float64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, memo = sent.value, {}
-        names = [w.decode("utf-8", "replace") for w in m.vocabulary] if m else []
+        m = sent.value
+        names = [w.decode("utf-8", "replace") for w in m.known.number] if m else []
+        last: tuple = (None, None)
 
         def of(text):
+            nonlocal last
             if m is None:
                 return 0.0, [], []
-            v = m.vector(text)
-            if not v:
+            if text == last[0]:
+                return last[1]
+            v = m.known.vector(text)
+            if not v[0]:
                 return m.empty, [], []
-            if v not in memo:
-                if len(memo) > 50_000:
-                    memo.clear()
-                near = m.nearest(v)
-                memo[v] = m.calibrated(m.vote(near)), [names[t] for t, _ in v], [{"doc_id": int(m.doc_ids[i]), "toxic": int(m.toxic[i]), "cosine": c} for c, i in near[:5]]
-            return memo[v]
+            t, w = unit = m.known.unit(v)
+            near = m.index.nearest(unit, NEIGHBOURS)
+            top = np.lexsort((t, -w))[:EVIDENCE]
+            out = m.calibrated(m.vote(near)), [names[i] for i in t[top]], [{"doc_id": int(m.doc_ids[i]), "toxic": float(m.toxic[i]), "cosine": c} for c, i in near]
+            last = text, out
+            return out
 
         yield from arrow_rows(((d, *of(t)) for b in batches for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())), kinds, 5_000)
 
