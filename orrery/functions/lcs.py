@@ -75,5 +75,5 @@ class Block:
 
 def points(common: np.ndarray, total: np.ndarray) -> np.ndarray:
     """2 LCS / (m + n) in ten-thousandths, rounded half up; two empty texts are equal."""
-    total = np.asarray(total, np.int64)
+    common, total = np.asarray(common, np.int64), np.asarray(total, np.int64)
     return np.where(total == 0, 10_000, (40_000 * common + total) // np.maximum(2 * total, 1))

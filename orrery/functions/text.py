@@ -50,13 +50,13 @@ def blank_count(c: Column | str) -> Column:
 def lex_integer(c: Column | str) -> Column:
     """The cell as a whole number (comma as point, cut towards 0), null if it isn't a number."""
     s = F.replace(strip(c), F.lit(","), F.lit("."))
-    return F.when(~is_empty(c) & s.rlike(_NUMBER), s.try_cast("double").try_cast("bigint"))
+    return F.when(s.rlike(_NUMBER), s.try_cast("double").try_cast("bigint"))
 
 
 def lex_decimal(c: Column | str) -> Column:
     """The first number anywhere in the cell, comma as point, as it is written; null if there is none."""
-    found = F.regexp_extract(strip(c), r"[-+]?\d+(?:[.,]\d+)?", 0)
-    return F.when(~is_empty(c) & (found != ""), F.replace(found, F.lit(","), F.lit(".")))
+    found = F.regexp_extract(col(c), r"[-+]?\d+(?:[.,]\d+)?", 0)
+    return F.nullif(F.replace(found, F.lit(","), F.lit(".")), F.lit(""))
 
 
 def wkt_point(x: Column | str, y: Column | str) -> Column:
@@ -68,8 +68,9 @@ def wkt_point(x: Column | str, y: Column | str) -> Column:
 
 def band(metres: Column | str, located: Column, high: str = "high", medium: str = "medium", low: str = "low", dubious: str = "dubious") -> Column:
     """Certainty from accuracy: 0 high, below 500 medium, from 500 low; medium if missing, dubious without a place."""
-    n = lex_decimal(metres).try_cast("decimal(38,10)")
-    return F.when(~located, dubious).when(n.isNull(), medium).when(n == 0, high).when(n < 500, medium).otherwise(low)
+    # as a list of one, so that the cell is parsed once for all cases
+    level = lambda n: F.when(n.isNull(), medium).when(n == 0, high).when(n < 500, medium).otherwise(low)
+    return F.when(~located, dubious).otherwise(F.get(F.transform(F.array(lex_decimal(metres).try_cast("decimal(38,10)")), level), F.lit(0)))
 
 
 def hash8(c: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Cuts the lineage of an iteration by a table in the shared folder; where none is named, the plan is cached, and lost executors mean that it is computed again."""
     base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -29,17 +29,17 @@ def closure(edges: DataFrame) -> DataFrame:
     Semi-naive: each round extends only the pairs that the last one found, writes only what is new, and stops when
     nothing is. The depth is the least one; there is no limit to it.
     """
-    edges = _stored(edges.select("child", "parent").where("child is not null and parent is not null").distinct())
+    edges = stored(edges.select("child", "parent").where("child is not null and parent is not null").distinct())
     front = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
     parts, depth = [front], 1
     while True:
         depth += 1
         found = reduce(DataFrame.unionByName, parts)
         step = front.join(edges, front["ancestor"] == edges["child"]).select("node", F.col("parent").alias("ancestor")).distinct()
-        front = _stored(step.join(found, ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
+        front = stored(step.join(found, ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
         if front.isEmpty():
             return found
-        parts = [*parts, front] if len(parts) < PARTS else [_stored(found.unionByName(front))]
+        parts = [*parts, front] if len(parts) < PARTS else [stored(found.unionByName(front))]
 
 
 def nearest(edges: DataFrame, prefixes: list[str]) -> DataFrame:
@@ -54,10 +54,10 @@ def chain(edges: DataFrame, prefixes: list[str], most: int = 20) -> DataFrame:
     for p in prefixes:
         good = good | F.col("parent").startswith(p)
     step = edges.groupBy("child").agg(F.min(F.struct((~good).alias("other"), "parent")).alias("m")).select("child", F.col("m.parent").alias("parent"))
-    step = _stored(step)
+    step = stored(step)
     nodes = step.select(F.col("child").alias("node"), F.array("child").alias("path"), F.col("child").alias("at"))
     for _ in range(most):
-        nodes = _stored(nodes.join(step, nodes["at"] == step["child"], "left").select("node", F.when(F.col("parent").isNotNull() & ~F.array_contains("path", F.col("parent")), F.concat("path", F.array("parent"))).otherwise(F.col("path")).alias("path"), F.when(~F.array_contains("path", F.col("parent")), F.col("parent")).alias("at")))
+        nodes = stored(nodes.join(step, nodes["at"] == step["child"], "left").select("node", F.when(F.col("parent").isNotNull() & ~F.array_contains("path", F.col("parent")), F.concat("path", F.array("parent"))).otherwise(F.col("path")).alias("path"), F.when(~F.array_contains("path", F.col("parent")), F.col("parent")).alias("at")))
         if nodes.where("at is not null").isEmpty():
             break
     return nodes.select("node", "path")

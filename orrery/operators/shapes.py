@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.operators.graph import closure
+from orrery.operators.graph import closure, stored
 from orrery.operators.triples import OWL, RDF, RDFS, SCHEMA, XSD
 
 CONSTRAINTS = "shape string, path string, kind string, value string, severity string"
@@ -55,7 +55,7 @@ def inferred(data: DataFrame, ontology: DataFrame, mode: str = "rdfs") -> DataFr
 
 def validate(graph: str, data: DataFrame, constraints: DataFrame, ontology: DataFrame, inference: str = "rdfs") -> DataFrame:
     """The violations of a graph, one row each: object of a wrong class, literal of a wrong datatype, too few or too many values."""
-    types = inferred(data, ontology, inference)
+    types = stored(inferred(data, ontology, inference))
     c = constraints.where("kind <> 'targetClass'")
     rule = lambda kind: c.where(F.col("kind") == kind)
     targets = lambda kind: rule(kind).join(types, F.col("shape") == F.col("class")).select(F.col("s").alias("focus"), "path", "value", "severity")

@@ -81,6 +81,19 @@ def union(*graphs: DataFrame) -> DataFrame:
     return out.dropDuplicates()
 
 
+class Graph:
+    """Facts of tables that become triples only where they are asked for: a pattern with a predicate reads the tables that state it and nothing else."""
+
+    def __init__(self, *parts: tuple[DataFrame, list[tuple[str, Column]]]):
+        self.parts = parts
+
+    def of(self, *predicates: str) -> DataFrame:
+        """The triples with one of the predicates, or all."""
+        found = [(df, [fact for p, fact in facts if not predicates or p in predicates]) for df, facts in self.parts]
+        made = [emitted(df, facts) for df, facts in found if facts]
+        return made[0] if len(made) == 1 else union(*made)
+
+
 def typed(node: Column, kind: str, label: Column, preferred: bool = True, lang: str = "de") -> list[Column]:
     out = [iri(node, f"{RDF}type", kind), lit(F.when(node.isNotNull(), node), f"{RDFS}label", label, lang)]
     return out + [lit(node, f"{SKOS}prefLabel", label, lang)] if preferred else out

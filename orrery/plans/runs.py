@@ -6,13 +6,14 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.operators.graph import root
 from orrery.operators.triples import PROV, RDF, RDFS, SCHEMA, XSD, Names
-from orrery.sources.read import file_info
+from orrery.sources.read import file_info, file_uri
 from orrery.sources.write import duration
 
 #: Stages of each enrichment mode, in order; merge follows both others.
@@ -73,27 +74,44 @@ def upstream(prov: DataFrame, file_name: str) -> tuple[str | None, str | None]:
     return (top["activity"] if top else None), entity
 
 
-def provenance(spark: SparkSession, names: Names, started: datetime, ended: datetime, source: str, outputs: list[str], rows: int, triples: int, earlier: tuple[str | None, str | None] = (None, None), git: dict | None = None) -> DataFrame:
-    """The run as triples: activity, software agent, outputs, what it used and derives from; counts are those before these triples."""
+@dataclass
+class Output:
+    """What a run makes: the end of its IRI, a label, a path."""
+
+    name: str
+    label: str
+    path: str
+
+
+def provenance(spark: SparkSession, names: Names, started: datetime, ended: datetime, source: str, outputs: list[Output], rows: int, triples: int, earlier: tuple[str | None, str | None] = (None, None), git: dict | None = None, script: str = "pipeline.py", ontology: str | None = None, persons: list[str] | None = None) -> DataFrame:
+    """The run as triples: activity, script as agent and plan, persons, inputs, outputs and what they derive from; counts are those before these triples.
+
+    `earlier`: root activity and output entity of the run that made the source, which is then used beside its file.
+    """
     stamp = lambda t: t.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    run = f"{names.data}pipeline_run_{stamp(started).replace(':', '-')}"
-    agent, used = f"{names.data}software_agent", earlier[1] or source
+    when = stamp(started).replace(":", "-")
+    run, agent = f"{names.data}pipeline_run_{when}", f"{names.data}{Path(script).name.replace('.', '_')}"
     ref = lambda s, p, o: (s, p, o, "iri", None, None)
-    val = lambda s, p, o, dt: (s, p, o, "lit", f"{XSD}{dt}", None)
+    val = lambda s, p, o, dt=None, lang=None: (s, p, o, "lit", dt and f"{XSD}{dt}", lang)
     facts = [
+        ref(agent, f"{RDF}type", f"{PROV}SoftwareAgent"),
+        ref(agent, f"{RDF}type", f"{PROV}Plan"),
+        val(agent, f"{RDFS}label", Path(script).name),
+        ref(agent, f"{PROV}atLocation", file_uri(script)),
         ref(run, f"{RDF}type", f"{PROV}Activity"),
+        val(run, f"{RDFS}label", f"Pipeline run {when}", lang="en"),
         val(run, f"{PROV}startedAtTime", stamp(started), "dateTime"),
         val(run, f"{PROV}endedAtTime", stamp(ended), "dateTime"),
-        ref(agent, f"{RDF}type", f"{PROV}SoftwareAgent"),
-        ref(run, f"{PROV}wasAssociatedWith", agent),
-        ref(run, f"{PROV}used", used),
-        val(run, f"{names.term}rowCount", str(rows), "integer"),
-        val(run, f"{names.term}dataTripleCount", str(triples), "integer"),
+        *(ref(run, f"{PROV}wasAssociatedWith", x) for x in [*(persons or []), agent]),
+        *(ref(run, f"{PROV}used", x) for x in (file_uri(source), ontology and file_uri(ontology), earlier[1]) if x),
+        val(run, f"{names.data}rowCount", str(rows), "integer"),
+        val(run, f"{names.data}dataTripleCount", str(triples), "integer"),
     ]
     if earlier[0]:
         facts.append(ref(run, f"{PROV}wasInformedBy", earlier[0]))
     for o in outputs:
-        facts += [ref(o, f"{RDF}type", f"{PROV}Entity"), ref(o, f"{PROV}wasGeneratedBy", run), ref(o, f"{PROV}wasDerivedFrom", used)]
+        node = f"{names.data}{o.name}"
+        facts += [ref(node, f"{RDF}type", f"{PROV}Entity"), val(node, f"{RDFS}label", o.label, lang="en"), ref(node, f"{PROV}atLocation", file_uri(o.path)), ref(node, f"{PROV}wasGeneratedBy", run), ref(node, f"{PROV}wasDerivedFrom", earlier[1] or file_uri(source))]
     if git and git.get("commit"):
         state = f"{names.data}git_{git['commit']}"
         facts += [ref(state, f"{RDF}type", f"{PROV}Entity"), ref(run, f"{PROV}used", state)]

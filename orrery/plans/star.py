@@ -241,32 +241,36 @@ def _node(prefix: str, c: Column | str) -> Column:
     return X.minted(D, prefix, c)
 
 
-def star_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_graph(spark: SparkSession, sf_dir: str) -> triples.Graph:
     """Regions, nations, customers and suppliers as a graph. Facts about places come from their own small tables, before any join with sites."""
+    own = lambda s, p, o: (p, iri(s, p, o))
+    said = lambda s, p, o, *rest, **more: (p, lit(s, p, o, *rest, **more))
     n = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     nation, region = _node("nation", "n_name"), _node("region", "r_name")
     ext = F.concat(F.lit(AUTHORITY), F.col("n_nationkey").cast("string"))
-    places = triples.emitted(n, [iri(nation, f"{RDF}type", f"{T}Nation"), lit(nation, f"{RDFS}label", F.col("n_name"), "de"), iri(nation, f"{T}inRegion", region), iri(nation, f"{T}hasExternalIdentifier", ext), iri(region, f"{RDF}type", f"{T}Region"), lit(region, f"{RDFS}label", F.col("r_name"), "de")])
+    places = [own(nation, f"{RDF}type", f"{T}Nation"), said(nation, f"{RDFS}label", F.col("n_name"), "de"), own(nation, f"{T}inRegion", region), own(nation, f"{T}hasExternalIdentifier", ext), own(region, f"{RDF}type", f"{T}Region"), said(region, f"{RDFS}label", F.col("r_name"), "de")]
     names = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    c = read(spark, sf_dir, "customer").join(F.broadcast(names), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = read(spark, sf_dir, "customer").join(names, F.col("c_nationkey") == F.col("n_nationkey"))
     site = F.concat(F.lit(f"{D}site_"), F.col("c_custkey").cast("string"))
     kind = _node("kind", "c_mktsegment")
-    sites = triples.emitted(
-        c,
-        [
-            iri(site, f"{RDF}type", f"{T}Site"),
-            lit(site, f"{T}hasId", F.col("c_custkey").cast("string"), dt=f"{XSD}integer"),
-            lit(site, f"{RDFS}label", F.col("c_name"), "de"),
-            iri(site, f"{T}inNation", nation),
-            iri(site, f"{T}hasKind", kind),
-            iri(kind, f"{RDF}type", f"{T}Kind"),
-            lit(kind, f"{RDFS}label", F.col("c_mktsegment"), "de"),
-            lit(F.when(F.col("c_acctbal") < 0, site), f"{T}certaintyDesc", "uncertain", "en"),
-        ],
-    )
-    s = read(spark, sf_dir, "supplier").join(F.broadcast(names), F.col("s_nationkey") == F.col("n_nationkey"))
+    sites = [
+        own(site, f"{RDF}type", f"{T}Site"),
+        said(site, f"{T}hasId", F.col("c_custkey").cast("string"), dt=f"{XSD}integer"),
+        said(site, f"{RDFS}label", F.col("c_name"), "de"),
+        own(site, f"{T}inNation", nation),
+        own(site, f"{T}hasKind", kind),
+        own(kind, f"{RDF}type", f"{T}Kind"),
+        said(kind, f"{RDFS}label", F.col("c_mktsegment"), "de"),
+        said(F.when(F.col("c_acctbal") < 0, site), f"{T}certaintyDesc", "uncertain", "en"),
+    ]
+    s = read(spark, sf_dir, "supplier").join(names, F.col("s_nationkey") == F.col("n_nationkey"))
     other = F.concat(F.lit(f"{D}supplier_"), F.col("s_suppkey").cast("string"))
-    return triples.union(places, sites, triples.emitted(s, [iri(other, f"{RDF}type", f"{T}Supplier"), lit(other, f"{RDFS}label", F.col("s_name"), "de"), iri(other, f"{T}inNation", nation)]))
+    others = [own(other, f"{RDF}type", f"{T}Supplier"), said(other, f"{RDFS}label", F.col("s_name"), "de"), own(other, f"{T}inNation", nation)]
+    return triples.Graph((n, places), (c, sites), (s, others))
+
+
+def star_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star_graph(spark, sf_dir).of()
 
 
 def _sql_node(prefix: str, c: str) -> str:
@@ -347,20 +351,20 @@ def _p(name: str, ns: str = T) -> str:
 
 @query(f"SELECT {_SITE} AS site, CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer")
 def q_sites(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     return patterns.property_table(t, f"{T}Site", {"id": _p("hasId"), "name": f"{RDFS}label"}).withColumnRenamed("s", "site").orderBy(F.col("id").cast("bigint"))
 
 
 @query(f"SELECT {_SITE} AS site, c_name AS name FROM customer WHERE c_mktsegment = 'BUILDING'")
 def q_kind_exact(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     kind = patterns.match(t, f"{RDFS}label", "kind", None, (F.col("o") == "BUILDING") & (F.col("o_lang") == "de"))
     return patterns.joined(patterns.match(t, _p("hasKind"), "site", "kind"), kind, patterns.match(t, f"{RDFS}label", "site", "name")).select("site", "name")
 
 
 @query(f"SELECT {_SITE} AS site, c_name AS name, CASE WHEN c_acctbal < 0 THEN 'uncertain' END AS certainty FROM customer WHERE starts_with(c_mktsegment, 'BUILD')")
 def q_optional(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     kind = patterns.match(t, f"{RDFS}label", "kind", None, F.col("o").startswith("BUILD"))
     found = patterns.joined(patterns.match(t, _p("hasKind"), "site", "kind"), kind, patterns.match(t, f"{RDFS}label", "site", "name"))
     return patterns.optional(found, patterns.match(t, _p("certaintyDesc"), "site", "certainty")).select("site", "name", "certainty")
@@ -368,7 +372,7 @@ def q_optional(spark, sf_dir):
 
 @query(f"SELECT {_SITE} AS site, c_name AS name, n_name AS nation FROM {_C} JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'")
 def q_chain(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     region = patterns.match(t, f"{RDFS}label", "region", None, F.col("o") == "EUROPE")
     places = patterns.joined(patterns.match(t, _p("inRegion"), "n", "region"), region, patterns.match(t, f"{RDFS}label", "n", "nation"))
     return patterns.joined(patterns.match(t, _p("inNation"), "site", "n"), places, patterns.of_class(t, f"{T}Site", "site"), patterns.match(t, f"{RDFS}label", "site", "name")).select("site", "name", "nation").orderBy("nation", "name")
@@ -376,7 +380,7 @@ def q_chain(spark, sf_dir):
 
 @query(f"SELECT {_SITE} AS site, n_name AS nation, '{AUTHORITY}' || n_nationkey AS id FROM {_C}")
 def q_ext_prefix(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     ids = patterns.match(t, _p("hasExternalIdentifier"), "n", "id", F.col("o").startswith(AUTHORITY))
     return patterns.joined(patterns.match(t, _p("inNation"), "site", "n"), patterns.of_class(t, f"{T}Site", "site"), ids, patterns.match(t, f"{RDFS}label", "n", "nation")).select("site", "nation", "id")
 
@@ -384,26 +388,26 @@ def q_ext_prefix(spark, sf_dir):
 @query(f"SELECT {_SITE} AS site, c_custkey AS id FROM customer WHERE c_custkey > 100")
 def q_range(spark, sf_dir):
     number = F.col("o").try_cast("bigint")
-    found = patterns.match(star_triples(spark, sf_dir), _p("hasId"), "site", "o", (F.col("o_dt") == f"{XSD}integer") & (number > 100))
+    found = patterns.match(star_graph(spark, sf_dir), _p("hasId"), "site", "o", (F.col("o_dt") == f"{XSD}integer") & (number > 100))
     return found.select("site", F.col("o").cast("bigint").alias("id")).orderBy("id")
 
 
 @query(f"SELECT {_SITE} AS site FROM {_C} WHERE n_nationkey = 3")
 def q_by_identifier(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     place = patterns.match(t, _p("hasExternalIdentifier"), "n", None, F.col("o") == f"{AUTHORITY}3")
     return patterns.joined(patterns.match(t, _p("inNation"), "site", "n"), place, patterns.of_class(t, f"{T}Site", "site")).select("site")
 
 
 @query(f"SELECT s, o, 'inNation' AS tag FROM ({TRIPLES}) WHERE p = '{T}inNation' UNION ALL SELECT s, o, 'inRegion' FROM ({TRIPLES}) WHERE p = '{T}inRegion' UNION ALL SELECT s, o, 'hasKind' FROM ({TRIPLES}) WHERE p = '{T}hasKind'")
 def q_union_tag(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
-    return t.where(F.col("p").isin(*(_p(x) for x in ("inNation", "inRegion", "hasKind")))).select("s", "o", F.substring_index("p", "#", -1).alias("tag"))
+    t = star_graph(spark, sf_dir)
+    return t.of(*(_p(x) for x in ("inNation", "inRegion", "hasKind"))).select("s", "o", F.substring_index("p", "#", -1).alias("tag"))
 
 
 @query(f"SELECT n_name AS nation, c_mktsegment AS kind, count(*) AS n FROM {_C} GROUP BY 1, 2")
 def q_crosstab(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     found = patterns.joined(patterns.match(t, _p("inNation"), "site", "a"), patterns.match(t, _p("hasKind"), "site", "b"), patterns.match(t, f"{RDFS}label", "a", "nation"), patterns.match(t, f"{RDFS}label", "b", "kind"))
     return found.groupBy("nation", "kind").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "nation", "kind")
 
@@ -415,7 +419,7 @@ def q_contains(spark, sf_dir):
 
 @query(f"SELECT {_SITE} AS site FROM customer WHERE c_acctbal >= 0")
 def q_minus(spark, sf_dir):
-    t = star_triples(spark, sf_dir)
+    t = star_graph(spark, sf_dir)
     return patterns.minus(patterns.of_class(t, f"{T}Site", "site"), patterns.match(t, _p("certaintyDesc"), "site", None))
 
 
@@ -452,8 +456,8 @@ def root_activity(spark, sf_dir):
     c = read(spark, sf_dir, "conversations")
     name = lambda t: F.concat(F.col("conv_id").cast("string"), F.lit("/"), t.cast("string"))
     acts = c.select(name(F.col("turn")).alias("activity"), F.lpad(F.col("conv_id").cast("string"), 9, "0").alias("started"))
-    first = c.agg(F.min("turn").alias("first"))
-    informed = c.join(F.broadcast(first)).where("turn > first").select(name(F.col("turn")).alias("s"))
+    first = c.agg(F.min("turn").alias("first")).first()["first"]
+    informed = c.where(F.col("turn") > F.lit(first)).select(name(F.col("turn")).alias("s"))
     return graph.root(acts, informed)
 
 
@@ -472,7 +476,7 @@ _CONSTRAINTS = [(f"{T}Site", _p("inNation"), "class", f"{T}Nation", "Warning"),
 
 
 def _violations(spark, sf_dir) -> DataFrame:
-    return shapes.validate("data", star_triples(spark, sf_dir), spark.createDataFrame(_CONSTRAINTS, shapes.CONSTRAINTS), spark.createDataFrame(_SCHEMA, triples.SCHEMA), "subclass")
+    return shapes.validate("data", graph.stored(star_triples(spark, sf_dir)), spark.createDataFrame(_CONSTRAINTS, shapes.CONSTRAINTS), spark.createDataFrame(_SCHEMA, triples.SCHEMA), "subclass")
 
 
 _VIOLATIONS = f"""(
@@ -518,7 +522,7 @@ def top_results(spark, sf_dir):
     UNION ALL SELECT 'nation', 'node_link_per_site', count(*), count(*), 'PASS' FROM customer""")
 def completeness(spark, sf_dir):
     n = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-    c = read(spark, sf_dir, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).drop("n_nationkey")
+    c = read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).drop("n_nationkey")
     c = c.select(*(F.col(x).cast("string").alias(x) for x in c.columns))
     e = [("c_name", "literal_on_site", f"{RDFS}label"), ("c_custkey", "literal_on_site", _p("nowhere")), ("c_mktsegment", "skip", ""), ("c_nationkey", "ext_id_on_admin", f"nation|{AUTHORITY}"), ("nation", "node_link_per_site", _p("inNation"))]
     expected = spark.createDataFrame(e, reconcile.EXPECTATIONS)
@@ -552,7 +556,7 @@ def doc_drift(spark, sf_dir):
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name)""")
 def coverage_rollup(spark, sf_dir):
     n = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
-    c = read(spark, sf_dir, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return tables.coverage(c, "nation", F.col("c_acctbal") >= 0, "r_name", {"geonames": F.col("c_custkey") % 2 == 0})
 
 

@@ -110,7 +110,9 @@ def parse_turtle(text: str, document: str = "") -> list[tuple]:
         return f"_:{document}b{tail}" if head == "_" else prefixes[head] + tail.replace("\\", "")
 
     def resolved(t: str) -> str:
-        return urljoin(base, unescape(t)) if base else unescape(t)
+        t = unescape(t)
+        # joining drops an empty fragment, with which namespaces end
+        return urljoin(base, t) + "#" * (t.endswith("#") and not urljoin(base, t).endswith("#")) if base else t
 
     def term() -> tuple:
         nonlocal at

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 import re
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,6 +46,22 @@ def ntriples(triples: DataFrame, path: str) -> None:
     ntriples_lines(triples).write.text(path)
 
 
+def shared(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the driver and all executors share; a local session without one gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(base or tempfile.mkdtemp(prefix='orrery-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def turtle(triples: DataFrame, path: str) -> None:
+    """A folder of Turtle parts, a stanza a subject with its facts in order. A blank node means something in one file only, so graphs with blank nodes go to `turtle_file` or N-Triples."""
+    line = F.split("value", " ", 3)
+    facts = ntriples_lines(triples).select(line[0].alias("s"), F.concat(line[1], F.lit(" "), F.regexp_replace(line[2], r" \.$", "")).alias("fact"))
+    stanzas = facts.groupBy("s").agg(F.array_join(F.array_sort(F.collect_set("fact")), " ;\n    ").alias("facts"))
+    stanzas.select(F.concat("s", F.lit(" "), "facts", F.lit(" .\n")).alias("value")).write.text(path)
+
+
 def turtle_file(triples: DataFrame, path: str, prefixes: dict[str, str] | None = None) -> None:
     """One Turtle file of stanzas by subject, streamed in order; for graphs that people read."""
     prefixes = prefixes or {}

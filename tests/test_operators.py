@@ -219,7 +219,7 @@ def test_escapes_and_blank_nodes(spark, tmp_path):
     rows = read.turtle(spark, str(tmp_path / "two")).collect()
     assert len({r.s for r in rows if r.o_kind == "lit" and r.s.startswith("_:")}) == 2 and len({r.o for r in rows if r.o_kind == "bnode"}) == 4
     assert {(r.o, r.o_dt) for r in rows if r.s == "http://h/x/r"} == {("1e5", f"{XSD}double"), (".5", f"{XSD}decimal"), ("2", f"{XSD}integer")}
-    assert {r.p for r in rows if r.s == "http://h/x/y#s"} == {"http://h/x/y#p"}
+    assert {r.p for r in rows if r.s == "http://h/x/y#s"} == {"http://h/x/y#p"}, rows
     with pytest.raises(ValueError):
         read.parse_turtle("<a> <b> ยง .")
 
@@ -268,10 +268,11 @@ def test_provenance_and_stream(spark, tmp_path):
     from datetime import datetime, timezone
 
     now = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
-    p = runs.provenance(spark, NAMES, now, now, "file:///in/s.csv", ["urn:o"], 5, 9, git={"commit": "c0", "dirty": False})
+    p = runs.provenance(spark, NAMES, now, now, "/in/s.csv", [runs.Output("o", "out", "/out/o.ttl")], 5, 9, git={"commit": "c0", "dirty": False})
     f = facts(p)
     run = f"{D}pipeline_run_2024-01-02T03-04-05Z"
-    assert (run, f"{T}dataTripleCount", "9") in f and (f"{D}git_c0", f"{T}dirty", "false") in f
+    assert (run, f"{D}dataTripleCount", "9") in f and (f"{D}git_c0", f"{T}dirty", "false") in f
+    assert (f"{D}o", f"{triples.PROV}wasDerivedFrom", "file:///in/s.csv") in f
     assert runs.upstream(p, "s.csv")[0] == run
     src = str(tmp_path / "in")
     spark.createDataFrame([(1, "a", now), (1, "a", now), (2, "b", now)], "id long, n string, ts timestamp").write.parquet(src)
