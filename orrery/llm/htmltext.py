@@ -8,12 +8,16 @@ characters and tags of its links (and the page's link share); a node's density s
 container with the largest sum is taken. The threshold is the least density on the path from it to the body: an
 ancestor takes its place if it holds another block as dense as that. All blocks of the subtree are kept, in page order.
 
-Null or empty pages, and pages without text, give ''. Rows are mapped one by one: no shuffle, memory of one page.
+Null or empty pages, and pages without text, give ''. Rows that repeat or lack a page_id are extracted each; of nodes with
+equal sums and characters the first in reverse page order is taken. A page of any length and depth takes time in
+proportion to its length. Columns other than page_id, url and html are not read; an empty table gives an empty result.
+Rows are mapped one by one: no shuffle, memory of one page.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 from math import e, log
@@ -35,14 +39,18 @@ SCOPES = frozenset("ul ol dl table div article section body html menu select".sp
 #: Elements and class, id or role words of what is not main text.
 DROP = frozenset("nav header footer aside form script style noscript template iframe button select option input textarea object embed svg canvas dialog menu head title audio video map".split())
 DROP_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert popup modal overlay menu nav navbar navigation breadcrumb breadcrumbs sidebar side aside rail widget header masthead footer foot copyright comment comments discussion disqus reply replies respond share sharing social newsletter subscribe subscription signup login related recommended recommendations trending pagination pager toolbar tooltip skip search complementary contentinfo".split())
+#: Words of a class, id or role that say what is around or beside something; such a name tells nothing.
+HARMLESS = frozenset("has with no non without free wrap wrapper layout by".split())
 #: An element that holds one of these is not dropped by its words.
 LANDMARKS = frozenset("main article h1".split())
 #: Never dropped by their words: what holds the page.
 KEPT = frozenset("html body main article".split())
 CONTAINERS = frozenset("body div article section main td center blockquote details".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
+#: Characters within which a tag's quotes must close; beyond it the tag ends at the next >.
+LONGEST_TAG = 65_536
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -68,7 +76,10 @@ def is_clutter(name: str, attributes: str) -> tuple[bool, bool]:
         kind, value = kind.lower(), a or b or c
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and "display:none" in value.lower().replace(" ", ""):
             return True, False
-        doubtful |= kind in ("class", "id", "role") and not DROP_WORDS.isdisjoint(_WORDS.findall(_CAMEL.sub(r"\1 \2", value).lower()))
+        if kind in ("class", "id", "role"):
+            for name_ in value.split():
+                words = _WORDS.findall(_CAMEL.sub(r"\1 \2", name_).lower())
+                doubtful |= not DROP_WORDS.isdisjoint(words) and HARMLESS.isdisjoint(words)
     return False, doubtful
 
 
@@ -101,67 +112,88 @@ def settle(root: Node) -> None:
         node.dropped = node.dropped or node.doubtful and not holds and not (free == around and 2 * n > plain[root][0])
 
 
+class Path:
+    """The open nodes from the body on, with the places of those that tags look for."""
+
+    def __init__(self, body: Node):
+        self.nodes, self.named, self.blocks, self.scopes = [body], {}, [0], [0]
+
+    def open(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.named.setdefault(node.name, []).append(at)
+        if node.name in BLOCK:
+            self.blocks.append(at)
+        if node.name in SCOPES:
+            self.scopes.append(at)
+
+    def cut(self, at: int) -> None:
+        """Closes the nodes from place `at` on."""
+        while len(self.nodes) > at:
+            self.named[self.nodes.pop().name].pop()
+        for places in (self.blocks, self.scopes):
+            while places[-1] >= at:
+                places.pop()
+
+    def last(self, name: str) -> int:
+        """The place of the last open node of a name; 0 if there is none."""
+        return (self.named.get(name) or (0,))[-1]
+
+    def first_above(self, names: tuple[str, ...], at: int) -> int:
+        """The first place after `at` of an open node with one of the names; 0 if there is none."""
+        found = [places[i] for n in names if (places := self.named.get(n)) and (i := bisect_right(places, at)) < len(places)]
+        return min(found, default=0)
+
+
 def parse(html: str) -> Node:
     """The tree below `html`; text parts are strings in `parts`."""
     root = Node("html", None)
-    body = at = Node("body", root)
+    body = Node("body", root)
     root.parts.append(body)
+    path = Path(body)
     pos, end = 0, len(html)
     while pos < end:
         lt = html.find("<", pos)
         if lt < 0:
             lt = end
         if lt > pos:
-            at.parts.append(html[pos:lt])
+            path.nodes[-1].parts.append(html[pos:lt])
             pos = lt
             if lt == end:
                 break
-        m = _TOKEN.match(html, lt)
-        if m and not m[0].endswith(">") and m[2]:
-            m = _LOOSE.match(html, lt) if ">" in html[lt:] else m
+        if html.startswith(("<!", "<?"), lt):
+            cdata = html.startswith("<![CDATA[", lt)
+            mark = "-->" if html.startswith("<!--", lt) else "]]>" if cdata else ">"
+            close = html.find(mark, lt + (4 if mark == "-->" else 2))
+            if cdata:
+                path.nodes[-1].parts.append(html[lt + 9 : close if close >= 0 else end])
+            pos = close + len(mark) if close >= 0 else end
+            continue
+        m = _TAG.match(html, lt, min(end, lt + LONGEST_TAG)) or _LOOSE.match(html, lt)
         if not m:
-            at.parts.append("<")
+            path.nodes[-1].parts.append("<")
             pos = lt + 1
             continue
         pos = m.end()
-        if not m[2]:
-            if m[0].startswith("<![CDATA["):
-                at.parts.append(m[0][9:].removesuffix("]]>"))
-            continue
         if not m[0].endswith(">"):
             break  # a tag that the page's end cuts off
         name = m[2].lower()
         if m[1]:
-            node = at
-            while node is not body and node.name != name:
-                if name not in BLOCK and node.name in BLOCK:  # an inline end tag doesn't close blocks
-                    node = body
-                    break
-                node = node.parent
-            if node is not body:
-                at = node.parent
+            at = path.last(name)
+            # an inline end tag doesn't close blocks
+            if at and (name in BLOCK or at > path.blocks[-1]):
+                path.cut(at)
             elif name == "p":
-                at.parts.append(Node("p", at))
+                path.nodes[-1].parts.append(Node("p", path.nodes[-1]))
             continue
         if name in ("html", "body"):
             continue
-        if name in CLOSES_P:
-            node = at
-            while node is not body and node.name != "p" and node.name not in SCOPES:
-                node = node.parent
-            if node.name == "p":
-                at = node.parent
-        if name in IMPLIED:
-            node, ends = at, IMPLIED[name]
-            found = None
-            while node is not body and (node.name not in SCOPES or node.name in ends):
-                if node.name in ends:
-                    found = node
-                node = node.parent
-            if found:
-                at = found.parent
-        child = Node(name, at, *is_clutter(name, m[3]))
-        at.parts.append(child)
+        if name in CLOSES_P and path.last("p") > path.scopes[-1]:
+            path.cut(path.last("p"))
+        if name in IMPLIED and (at := path.first_above(IMPLIED[name], path.scopes[-1])):
+            path.cut(at)
+        child = Node(name, path.nodes[-1], *is_clutter(name, m[3]))
+        path.nodes[-1].parts.append(child)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, pos)
             stop = close.start() if close else end
@@ -170,7 +202,7 @@ def parse(html: str) -> Node:
             shut = html.find(">", stop)
             pos = shut + 1 if close and shut >= 0 else end
         elif name not in VOID and not m[3].endswith("/"):
-            at = child
+            path.open(child)
     settle(root)
     return root
 
