@@ -5,10 +5,13 @@ shingles belongs to the smallest scale s with n <= 3/4 s; windows of s shingles
 all of a copy. Such a window has Jaccard similarity of at least 3/8 to the template if the copy is exact, and 0.28
 if a quarter of its shingles are lost. With BANDS bands of one row a window misses its template with a probability
 of (1 - J) ** BANDS at most: under 2e-5 and 4e-4. Windows whose band meets a template's are merged into regions of whole
-texts, and a region is reported if the share of the template's shingles that it holds reaches `containment`.
+texts. Within a region a copy is the shortest run of words that holds the share `containment` of the template's distinct shingles,
+with what follows and precedes it without a shingle occurring more often than in the template; the next copy begins behind it.
 
-Templates are a bounded list that is sent out; texts are mapped, not shuffled. Null and empty texts match nothing;
-repeated shingles of a template count once; rows that repeat are reported each.
+Templates are a bounded list that is sent out; texts are mapped, not shuffled. Null and empty texts match nothing, nor do
+templates of fewer words than a shingle; rows that repeat a doc_id or lack one are scanned each; a text of any length is scanned
+whole. Of two templates that a passage matches both are reported. Columns other than doc_id and text are not read; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from orrery.llm.common import arrow_rows, texts
+from orrery.llm.common import arrow_rows, slices, texts
 from orrery.llm.jaccard import MEMO, mixed
 
 WIDTH, BANDS, LEAST = 2, 36, 8
@@ -37,6 +40,13 @@ TEMPLATES = {
     "Apache-2.0 notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
     "MIT permission": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
     "GPL-3.0 notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "ISC": 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    "BSD-2-Clause": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "LGPL-3.0 notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "AGPL-3.0 notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    "EPL-2.0 notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
     "BSD-3-Clause conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "MPL-2.0 notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
@@ -59,7 +69,9 @@ class Scanner:
     def __init__(self, templates: dict[str, str], containment: float):
         self.hashes, self.containment = _Hashes(), containment
         self.names = [*templates]
-        self.sets = [np.unique(self.shingles(t)) for t in templates.values()]
+        counted = [np.unique(self.shingles(t), return_counts=True) for t in templates.values()]
+        self.sets = [a for a, _ in counted]
+        self.often = [dict(zip(a.tolist(), n.tolist())) for a, n in counted]
         rng = np.random.default_rng(4)
         self.keys = rng.integers(1, 1 << 63, BANDS, dtype=np.uint64) | np.uint64(1)
         self.scales: dict[int, list[int]] = {}
@@ -133,12 +145,42 @@ class Scanner:
                 doc = np.searchsorted(ends, hits, "right")
                 # hits that stand apart by more than the template's length belong to different copies
                 for part in np.split(hits, np.flatnonzero((np.diff(hits) > size) | (np.diff(doc) > 0)) + 1):
-                    if len(part):
-                        share = len(np.unique(s[part])) / size
-                        if share >= self.containment:
-                            d = int(np.searchsorted(ends, part[0], "right"))
-                            base = int(ends[d] - len(each[d]))
-                            yield d, self.names[k], int(part[0]) - base, int(part[-1]) - base + WIDTH, share, windows
+                    for a, b in self.copies(s[part], k):
+                        share = len(np.unique(s[part[a:b]])) / size
+                        d = int(np.searchsorted(ends, part[a], "right"))
+                        base = int(ends[d] - len(each[d]))
+                        yield d, self.names[k], int(part[a]) - base, int(part[b - 1]) - base + WIDTH, share, windows
+
+    def copies(self, hits: np.ndarray, k: int) -> Iterator[tuple[int, int]]:
+        """Runs (first, end) of hits that each hold the asked share of template k's distinct shingles."""
+        need, often = self.containment * len(self.sets[k]), self.often[k]
+        hits = hits.tolist()
+        seen: dict[int, int] = {}
+        first, begin = 0, 0
+        at = 0
+        while at < len(hits):
+            seen[hits[at]] = seen.get(hits[at], 0) + 1
+            at += 1
+            if len(seen) < need:
+                continue
+            # the shortest run that ends here
+            while True:
+                x = hits[first]
+                if seen[x] == 1 and len(seen) - 1 < need:
+                    break
+                seen[x] -= 1
+                if not seen[x]:
+                    del seen[x]
+                first += 1
+            while first > begin and seen.get(hits[first - 1], 0) < often[hits[first - 1]]:
+                first -= 1
+                seen[hits[first]] = seen.get(hits[first], 0) + 1
+            while at < len(hits) and seen.get(hits[at], 0) < often[hits[at]]:
+                seen[hits[at]] = seen.get(hits[at], 0) + 1
+                at += 1
+            yield first, at
+            first = begin = at
+            seen = {}
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
@@ -151,8 +193,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
 
         def rows():
             for b in batches:
-                for at in range(0, b.num_rows, 200):
-                    part = b.slice(at, 200)
+                for part in slices(b, 1, 200):
                     keys = part.column(0).to_pylist()
                     yield from ((keys[d], *rest) for d, *rest in scanner.scan(part.column(1).to_pylist()))
 
