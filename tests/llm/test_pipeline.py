@@ -63,3 +63,22 @@ def test_stages_keep_columns_and_take_nothing(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns and out.count() == 0
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    """Missing and repeated ids, missing cells, empty and long texts and columns of other names pass every stage."""
+    rng = random.Random(4)
+    say = lambda n: " ".join("".join(rng.choices(["er", "an", "the", "on"], k=3)) for _ in range(n))
+    long = say(60_000)
+    rows = [(i, say(50), "en", "s", 1, "k") for i in range(40)] + [(None, say(50), None, None, None, None), (None, None, "de", "s", 0, None), (50, "", "en", None, 0, "x"), (51, long, "en", "s", 1, "x"), (7, say(30), "fr", "s", 1, "x"), (7, say(30), "fr", "s", 1, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    spark.createDataFrame([(i, 1, 0) for i in range(30)] + [(None, 1, 1), (3, None, None), (4, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, None), (None, "not there at all in any text"), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = [tuple(r) for r in stage(spark, docs, str(tmp_path)).collect()]
+        assert len(got) >= (len(rows) - 2 if name == "quality classifier" else len(rows)) and {x[0] for x in got} >= {None, 50}, name
+    pieces = corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()
+    total = {}
+    for r in pieces:
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+    assert total[50] == 1 and total[51] == len(ids_of(long)) and total[None] == len(ids_of(rows[40][1])) + 1
