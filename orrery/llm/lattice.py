@@ -25,9 +25,11 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import cached_property
 from math import exp, log
 
 import numpy as np
@@ -54,6 +56,7 @@ class Pieces:
     children: np.ndarray
     piece: np.ndarray  # of each node, or -1
     logs: np.ndarray
+    trie: str  # names the trie, which sets of scores share
 
     def begins(self) -> np.ndarray:
         return np.array([p[:1] == b" " for p in self.names] + [False])
@@ -61,7 +64,7 @@ class Pieces:
     def counted(self, n: np.ndarray) -> Pieces:
         """With probabilities in proportion to `n`, which has a column for each set of scores."""
         first = self.begins()
-        return Pieces(self.names, self.keys, self.children, self.piece, np.log(n) - np.log(np.where(first[:, None], n[first].sum(0), n[~first].sum(0))))
+        return replace(self, logs=np.log(n) - np.log(np.where(first[:, None], n[first].sum(0), n[~first].sum(0))))
 
 
 def pieces(vocabulary: str) -> Pieces:
@@ -90,20 +93,36 @@ def trie(weights: dict[bytes, float]) -> Pieces:
     piece = np.full(len(edges) + 1, -1, np.int32)
     piece[ends] = np.arange(len(ends))
     n = np.array([*weights.values(), max(weights.values())])
-    made = Pieces([*weights], np.fromiter(edges, np.int64, len(edges)), np.fromiter(edges.values(), np.int32, len(edges)), piece, n)
+    made = Pieces([*weights], np.fromiter(edges, np.int64, len(edges)), np.fromiter(edges.values(), np.int32, len(edges)), piece, n, uuid.uuid4().hex)
     return made.counted(n[:, None])
 
 
+#: The child of every node by byte, of the trie that a worker used last: it serves all tasks and rounds.
+_TRIES: dict[str, np.ndarray] = {}
+
+
 class Lattice:
     """The recursion over words (each with its leading space)."""
 
     def __init__(self, given: Pieces):
-        self.piece, self.logs = given.piece, given.logs
-        self.next = np.full(256 * len(given.piece), -1, np.int32)
-        self.next[given.keys] = given.children
-        self.known = [dict(zip(given.names, x.tolist())) for x in given.logs.T]
-        self.number = {p: i for i, p in enumerate(given.names)}
-        self.longest = max(map(len, given.names))
+        self.given, self.piece, self.logs = given, given.piece, given.logs
+        if given.trie not in _TRIES:
+            _TRIES.clear()
+            _TRIES[given.trie] = np.full(256 * len(given.piece), -1, np.int32)
+            _TRIES[given.trie][given.keys] = given.children
+        self.next = _TRIES[given.trie]
+
+    @cached_property
+    def known(self) -> list[dict[bytes, float]]:
+        return [dict(zip(self.given.names, x.tolist())) for x in self.logs.T]
+
+    @cached_property
+    def number(self) -> dict[bytes, int]:
+        return {p: i for i, p in enumerate(self.given.names)}
+
+    @cached_property
+    def longest(self) -> int:
+        return max(map(len, self.given.names))
 
     def one(self, word: bytes, g: int) -> tuple[list[float], list[list[tuple[float, int, bytes]]]]:
         """By the scores of column g, log of the summed probability of the ways to each position of `word`, and the arcs into each."""
