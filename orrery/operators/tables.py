@@ -77,6 +77,12 @@ def placed(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     return df.select(*(f"`{c}`" for c in dict.fromkeys(order)))
 
 
+def regrouped(df: DataFrame, key: str, levels: list[str], suffixes: list[str]) -> DataFrame:
+    """The key first, then each level's column with its own (<level>_<suffix>), then all other columns, each once."""
+    order = [key, *(c for level in levels for c in (level, *(f"{level}_{x}" for x in suffixes)))]
+    return df.select(*(f"`{c}`" for c in dict.fromkeys([c for c in order if c in df.columns] + df.columns)))
+
+
 def filled_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(column, filled, total) in one scan."""
     columns = columns or df.columns

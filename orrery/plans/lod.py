@@ -260,6 +260,33 @@ def run_provenance(spark, sf_dir):
     return runs.provenance(spark, NAMES, _AT, _AT, "/opt/in.csv", outputs, table(spark, sf_dir, "customer").count(), star.star_triples(spark, sf_dir).count(), ("urn:run-before", "urn:made-before"), script="/opt/a b/build.py", ontology="/opt/o.ttl", persons=["urn:person"])
 
 
+_STAGES = [runs.Stage("literature", print, ("/w/sites.csv",), ("/w/lit.csv",)), runs.Stage("geo", print, ("/w/ref.csv",), ("/w/mapped.csv",)), runs.Stage("merge", print, ("/w/lit.csv", "/w/mapped.csv"), ("/w/out.csv",))]
+_RESULTS = {"literature": ("ok", 1.0), "geo": ("skipped", 0.0), "merge": ("ok", 2.0)}
+
+
+def _manifest_sql() -> str:
+    d, prov, run = NAMES.data, triples.PROV, f"{NAMES.data}enrichment_run_2024-03-01T10-20-30Z"
+    label = lambda s, x, lang=None: (s, f"{RDFS}label", x, "lit", None, lang)
+    ref = lambda s, p, o: (s, p if "/" in p else f"{prov}{p}", o, "iri", None, None)
+    kind = lambda s, *of: [ref(s, f"{RDF}type", f"{prov}{x}") for x in of]
+    facts = [*kind(run, "Activity"), label(run, "Enrichment run 2024-03-01T10-20-30Z", "en"), ref(run, "used", f"{d}sites_csv"), ref(run, "used", f"{d}ref_csv")]
+    facts += [(run, f"{prov}{p}", "2024-03-01T10:20:30Z", "lit", f"{XSD}dateTime", None) for p in ("startedAtTime", "endedAtTime")]
+    for name, note, used in (("literature", "", ["sites"]), ("geo", " (skipped)", ["mapped"]), ("merge", "", ["lit", "mapped"])):
+        node, agent = f"{run}_{name}", f"{d}{name}_py"
+        facts += [*kind(node, "Activity"), label(node, f"Stage {name}{note}", "en"), ref(node, "wasInformedBy", run), ref(node, "wasAssociatedWith", agent), *(ref(node, "used", f"{d}{x}_csv") for x in used)]
+        facts += [*kind(agent, "SoftwareAgent", "Plan"), label(agent, f"{name}.py"), ref(agent, "atLocation", f"file:///w/{name}.py")]
+    for x in ("sites", "ref", "lit", "mapped", "out"):
+        facts += [*kind(f"{d}{x}_csv", "Entity"), label(f"{d}{x}_csv", f"{x}.csv"), ref(f"{d}{x}_csv", "atLocation", f"file:///w/{x}.csv")]
+    facts += [ref(f"{d}lit_csv", "wasGeneratedBy", f"{run}_literature"), ref(f"{d}lit_csv", "wasDerivedFrom", f"{d}sites_csv"), ref(f"{d}out_csv", "wasGeneratedBy", f"{run}_merge"), *(ref(f"{d}out_csv", "wasDerivedFrom", f"{d}{x}_csv") for x in ("lit", "mapped"))]
+    q = lambda x: "NULL" if x is None else f"'{x}'"
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(q, f)) + ')' for f in facts)}) AS t(s, p, o, o_kind, o_dt, o_lang)"
+
+
+@query(_manifest_sql())
+def run_manifest(spark, sf_dir):
+    return runs.manifest(spark, NAMES, _STAGES, _RESULTS, _AT, _AT, {s.name: f"/w/{s.name}.py" for s in _STAGES})
+
+
 # -- sources and sinks --------------------------------------------------------------------------------------------
 
 _ODD = [("C:\\new", None), ('say "x"\\', "de"), ("a\tb\nc\r", None), ("\\u0041 ü", None)]

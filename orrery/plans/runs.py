@@ -120,6 +120,35 @@ def provenance(spark: SparkSession, names: Names, started: datetime, ended: date
     return spark.createDataFrame(facts, SCHEMA)
 
 
+def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: dict[str, tuple[str, float]], started: datetime, ended: datetime, scripts: dict[str, str]) -> DataFrame:
+    """The provenance of a run of stages: an activity for the run and one for each stage that it informed.
+
+    A stage that ran used its inputs and generated its outputs, which derive from them; a skipped one used the outputs
+    that are there from an earlier run. `scripts`: the path of each stage's program.
+    """
+    stamp = lambda t: t.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    when = stamp(started).replace(":", "-")
+    run = f"{names.data}enrichment_run_{when}"
+    ref = lambda s, p, o: (s, p, o, "iri", None, None)
+    val = lambda s, p, o, dt=None, lang=None: (s, p, o, "lit", dt and f"{XSD}{dt}", lang)
+    entity = lambda path: f"{names.data}{Path(path).name.replace('.', '_')}"
+    facts = [ref(run, f"{RDF}type", f"{PROV}Activity"), val(run, f"{RDFS}label", f"Enrichment run {when}", lang="en"), val(run, f"{PROV}startedAtTime", stamp(started), "dateTime"), val(run, f"{PROV}endedAtTime", stamp(ended), "dateTime")]
+    made = {o for s in stages for o in s.outputs}
+    for stage in stages:
+        status = results.get(stage.name, ("not reached", 0.0))[0]
+        node, agent = f"{run}_{stage.name}", entity(scripts[stage.name])
+        note = "" if status == "ok" else f" ({status})"
+        facts += [ref(node, f"{RDF}type", f"{PROV}Activity"), val(node, f"{RDFS}label", f"Stage {stage.name}{note}", lang="en"), ref(node, f"{PROV}wasInformedBy", run), ref(node, f"{PROV}wasAssociatedWith", agent)]
+        facts += [ref(agent, f"{RDF}type", f"{PROV}SoftwareAgent"), ref(agent, f"{RDF}type", f"{PROV}Plan"), val(agent, f"{RDFS}label", Path(scripts[stage.name]).name), ref(agent, f"{PROV}atLocation", file_uri(scripts[stage.name]))]
+        facts += [ref(node, f"{PROV}used", entity(i)) for i in (stage.outputs if status == "skipped" else stage.inputs)]
+        facts += [ref(run, f"{PROV}used", entity(i)) for i in stage.inputs if i not in made]
+        for x in (*stage.inputs, *stage.outputs):
+            facts += [ref(entity(x), f"{RDF}type", f"{PROV}Entity"), val(entity(x), f"{RDFS}label", Path(x).name), ref(entity(x), f"{PROV}atLocation", file_uri(x))]
+        if status == "ok":
+            facts += [x for o in stage.outputs for x in (ref(entity(o), f"{PROV}wasGeneratedBy", node), *(ref(entity(o), f"{PROV}wasDerivedFrom", entity(i)) for i in stage.inputs))]
+    return spark.createDataFrame([*dict.fromkeys(facts)], SCHEMA)
+
+
 def extract(graph: DataFrame, subjects: list[str]) -> DataFrame:
     """The triples of a few subjects."""
     return graph.where(F.col("s").isin(*subjects))

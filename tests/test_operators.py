@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import lcs
+from orrery.functions import text as text_functions
 from orrery.operators import graph, matching, patterns, reconcile, shapes, tables, triples
 from orrery.operators.triples import OWL, RDF, RDFS, SCHEMA, XSD, Names
 from orrery.plans import runs
@@ -264,6 +265,44 @@ def test_runs(tmp_path):
     assert read.retried(call, sleep=lambda s: None) == [1]
 
 
+def test_regrouped(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5, 6)], "KREIS_QID int, x int, LAND int, FID int, KREIS int, LAND_TGN int")
+    assert tables.regrouped(df, "FID", ["LAND", "KREIS", "GEMEINDE"], ["QID", "TGN"]).columns == ["FID", "LAND", "LAND_TGN", "KREIS", "KREIS_QID", "x"]
+
+
+def test_small_sources_and_sinks(spark, tmp_path):
+    df = spark.range(5).select(F.col("id").cast("string").alias("id"), F.lit("a|b").alias("x"))
+    assert [r.id for r in read.limited(df, 2, "id").collect()] == ["0", "1"] and read.limited(df, None) is df
+    assert read.file_uri("/a b/ü.csv") == "file:///a%20b/%C3%BC.csv" and read.file_info(str(tmp_path / "no")) == (False, None)
+    assert read.git_info(str(tmp_path)) == {"commit": None, "branch": None, "dirty": None}
+    text, ok = write.report("T", [("one", True, df.limit(1)), ("two", False, df.limit(0))], str(tmp_path / "r.md"))
+    assert not ok and "- two: FAIL" in text and "| 0 | a\\|b |" in text and (tmp_path / "r.md").read_text(encoding="utf-8") == text
+    assert runs.ending(ok, True) == 1 and runs.ending(ok, False) == runs.ending(True, True) == 0
+    assert write.stanza("e:a", [("a", "e:T"), ("e:p", write.turtle_text('x "y"\n'))]) == 'e:a\n    a e:T ;\n    e:p "x \\"y\\"\\n" .\n'
+    classes = spark.createDataFrame([("http://o#B", "abstract"), ("http://o#A", None)], "class string, stereotype string")
+    edges = spark.createDataFrame([("http://o#B", "http://o#A")], "child string, parent string")
+    links = spark.createDataFrame([("http://o#A", "http://o#has", "http://o#B")], "domain string, property string, range string")
+    assert write.class_diagram(classes, edges, links).split("\n") == ["classDiagram", "    class A", "    class B { <<abstract>> }", "    A <|-- B", "    A --> B : has", ""]
+    log = write.logger("orrery-test", str(tmp_path / "log"))
+    log.info("said")
+    assert (tmp_path / "log").read_text(encoding="utf-8").endswith("INFO said\n")
+    stamp = spark.sql("select timestamp '2024-01-02 03:04:05' as t").select(text_functions.iso_stamp("t")).first()[0]
+    assert stamp == "2024-01-02T03:04:05Z"
+    t = spark.createDataFrame([("a", "p", "o", "iri", None, None), ("b", "p", "o", "iri", None, None)], SCHEMA)
+    assert [r.s for r in runs.extract(t, ["b"]).collect()] == ["b"]
+
+
+def test_windowed_counts(spark, tmp_path):
+    from datetime import datetime, timedelta, timezone
+
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("a", start + timedelta(minutes=m)) for m in (0, 1, 6, 60)], "k string, ts timestamp").write.parquet(src)
+    counts = builders.windowed_counts(spark.readStream.schema("k string, ts timestamp").parquet(src), "ts", "k")
+    builders.drained(counts, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "out")).collect())[-2:] == [1, 2]
+
+
 def test_provenance_and_stream(spark, tmp_path):
     from datetime import datetime, timezone
 
