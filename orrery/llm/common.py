@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -66,10 +67,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes written tables that nothing reads any more."""
+    """Deletes written tables that nothing reads any more, and lets the driver notice which shuffles nothing can read any more: until its next collection of garbage their files stay."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def slices(batch: pa.RecordBatch, column: int, rows: int, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:

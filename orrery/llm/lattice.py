@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import arrow_rows, held_out, lower_words, texts, trim, written
+from orrery.llm.common import arrow_rows, discard, held_out, lower_words, texts, trim, written
 
 COMMON, ROUNDS, FOLD, GROUPS = 200_000, 3, 7, 6
 #: Words that a task counts before it passes the counts on; words of a batch; bytes from which a word goes through the recursion alone.
@@ -354,6 +354,7 @@ def score(docs: DataFrame, vocabulary: Pieces, fold: int = FOLD) -> DataFrame:
         trim()
 
     scored = written(counts.select("word", "by").mapInArrow(words, "word binary, n long, " + ", ".join(f"{c} float" for c in columns)), "scored")
+    discard(counts)
     # the least count that at most COMMON words reach; counts differ in a number of ways that grows as a root of the input
     least, seen = 1, 0
     for n, here in scored.where("n > 0").groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("here")).orderBy(F.desc("n")).collect():
