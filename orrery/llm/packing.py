@@ -8,6 +8,9 @@ cell and still spread over partitions. Within each partition neighbours are pack
 doc_ids are shuffled, once.
 
 Null texts are empty, and an empty document is its end id alone. Documents are cut freely; each id lies in one piece.
+Rows that repeat a doc_id or lack one are packed each; documents in one place of the curve follow each other by the hash,
+then by doc_id. A text of any length is encoded whole; strings of special tokens in a text are ordinary text. Columns
+other than doc_id and text are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
