@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontam, htmltext, jaccard, kneser, lattice, licenses, matroska, packing, toxicity, warc
+from orrery.llm import decontam, htmltext, jaccard, kneser, lattice, licenses, linededup, matroska, packing, toxicity, warc
 from orrery.llm.common import table
 
 
@@ -58,7 +58,12 @@ def op10_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination)}
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination, op13_line_dedup)}
 
 #: DuckDB's form of those queries that SQL expresses; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
@@ -71,5 +76,13 @@ ORACLES: dict[str, str] = {
                    1 + list_sum(list_transform(range(1, 6), lambda j: CAST(substr(b, CAST(5 * k + j AS BIGINT), 1) AS BIGINT) * CAST(2 ** (5 - j) AS BIGINT)))::BIGINT, 1)), '') AS payload_digest,
                CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to, TRUE AS intact
-        FROM bits"""
+        FROM bits""",
+    "op13_line_dedup": """
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
+        k AS (SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS key FROM l),
+        shared AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id < last) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE last IS NULL OR doc_id >= last), '')) AS kept_sha256
+        FROM k LEFT JOIN shared USING (key) GROUP BY doc_id""",
 }
