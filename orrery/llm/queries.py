@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import decontam, htmltext, jaccard, kneser, lattice, licenses, linededup, matroska, packing, toxicity, warc
+from orrery.llm import crosstoken, decontam, htmltext, jaccard, kneser, lattice, licenses, linededup, matroska, packing, toxicity, warc
 from orrery.llm.common import table
 
 
@@ -58,12 +58,16 @@ def op10_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.alignments(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination, op13_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination, op12_token_alignment, op13_line_dedup)}
 
 #: DuckDB's form of those queries that SQL expresses; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
