@@ -235,39 +235,50 @@ def _pairs(batch: int, pairs: np.ndarray, times: np.ndarray, n_stripes: int) ->
 
 
 class Block:
-    """The dense counts of one stripe: a row for each of its B ids, a column for each A id."""
+    """The dense counts of one stripe: a row for each of its B ids, a column for each A id. Cells in use are listed, so that no pass is over empty ones."""
 
     def __init__(self, shape: tuple[int, int], n_stripes: int):
         self.n_stripes = n_stripes
         self.counts = np.zeros((-(-shape[0] // n_stripes), shape[1]), np.int64)
-        self.rows: set[int] = set()
-        self.best: np.ndarray | None = None
+        self.used, self.more, self.best = np.zeros(0, np.int64), [], None
 
     def clear(self) -> None:
-        for row in self.rows:
-            self.counts[row] = 0
-        self.rows, self.best = set(), None
+        self.counts.reshape(-1)[self.cells()] = 0
+        self.used, self.best = np.zeros(0, np.int64), None
 
     def places(self, pairs: bytes) -> tuple[np.ndarray, np.ndarray]:
-        b, a = np.frombuffer(pairs, "<u4").reshape(2, -1)
+        b, a = np.frombuffer(pairs, "<u4").astype(np.int64).reshape(2, -1)
         return b // self.n_stripes, a
 
     def add(self, pairs: bytes, times: bytes) -> None:
         b, a = self.places(pairs)
         np.add.at(self.counts, (b, a), np.frombuffer(times, "<i8"))
-        self.rows.update(np.unique(b).tolist())
+        self.more.append(b * self.counts.shape[1] + a)
+        if len(self.more) >= 256:
+            self.cells()
+
+    def cells(self) -> np.ndarray:
+        """Numbers of the cells in use, ordered."""
+        if self.more:
+            self.used, self.more = np.unique(np.concatenate([self.used, *self.more])), []
+        return self.used
 
     def held(self, stripe: int) -> tuple[bytes, bytes]:
         """Pairs that occur, with their counts."""
-        rows = np.array(sorted(self.rows), np.int64)
-        at, a = np.nonzero(self.counts[rows]) if len(rows) else (rows, rows)
-        b = rows[at]
-        return ((b * self.n_stripes + stripe).astype("<u4").tobytes() + a.astype("<u4").tobytes()), self.counts[b, a].astype("<i8").tobytes()
+        b, a = np.divmod(self.cells(), self.counts.shape[1])
+        return (b * self.n_stripes + stripe).astype("<u4").tobytes() + a.astype("<u4").tobytes(), self.counts[b, a].astype("<i8").tobytes()
+
+    def maxima(self) -> np.ndarray:
+        """The largest count of each row."""
+        best = np.zeros(len(self.counts), np.int64)
+        b, a = np.divmod(self.cells(), self.counts.shape[1])
+        np.maximum.at(best, b, self.counts[b, a])
+        return best
 
     def score(self, links: bytes, times: bytes, texts_: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each text with links here: its place, how many links are best, the sum of their counts."""
         if self.best is None:
-            self.best = self.counts.max(axis=1)
+            self.best = self.maxima()
         b, a = self.places(links)
         count, n = self.counts[b, a], np.frombuffer(times, "<u4").astype(np.int64)
         text = np.frombuffer(texts_, "<u2")
