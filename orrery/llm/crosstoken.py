@@ -37,9 +37,11 @@ from orrery.llm.packing import encoder
 #: Bytes of text in a batch, of a dense block, and of the links that one task streams.
 BATCH_BYTES, STRIPE_BYTES, PART_BYTES = 4 << 20, 100 << 20, 64 << 20
 #: Characters of a window of a long text, and units that a worker keeps between batches.
-WINDOW, MEMO = 4 << 20, 300_000
+WINDOW, MEMO = 4 << 20, 200_000
 #: Bits of an id of A within a pair's number.
 A_BITS = 20
+#: White space before a space.
+_ODD = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
 _CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
 
 _DOCS = "batch long, place int, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string"
@@ -73,34 +75,40 @@ class Aligner:
         self.n_a, self.n_b, self.n_groups, self.links = array("q"), array("q"), array("q"), array("q")
 
     def add(self, units: list[str]) -> None:
-        """Encodes units that are not known yet; without bytes that agree a unit has no group and -1 tokens."""
-        ids_b = self.b.encode(units, num_threads=1)
-        for unit, b in zip(units, ids_b):
-            a = self.a.encode_ordinary(" " + unit)
-            self.known[unit] = len(self.shown)
-            whole = (" " + unit).encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-                self._put(-1, -1, [], "")
-                continue
-            a, b = np.array(a), np.array(b)
-            ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-            _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-            cut = ["|".join((",".join(map(str, a[i:j])), ",".join(map(str, b[k:m])))) for i, j, k, m in zip([0, *(at_a[:-1] + 1)], at_a + 1, [0, *(at_b[:-1] + 1)], at_b + 1)]
-            self._put(len(a), len(b), (b[at_b] << A_BITS | a[at_a]).tolist(), ";".join(cut))
-
-    def _put(self, n_a: int, n_b: int, links: list[int], shown: str) -> None:
-        self.n_a.append(n_a)
-        self.n_b.append(n_b)
-        self.n_groups.append(len(links))
-        self.links.extend(links)
-        self.shown.append(shown)
-
-    def numbers(self, parts: list[str]) -> list[int]:
-        try:
-            return list(map(self.known.__getitem__, parts))
-        except KeyError:
-            self.add([p for p in dict.fromkeys(parts) if p not in self.known])
-            return list(map(self.known.__getitem__, parts))
+        """Encodes units that are not known yet. Those that end in white space or hold B's sign for a space go alone, the others in one string."""
+        alone = [u for u in units if not u or u[-1].isspace() or "▁" in u]
+        if not self._together([u for u in units if u and not u[-1].isspace() and "▁" not in u]):
+            alone = units
+        for u in alone:
+            if not self._together([u]):  # no token of the two spells it
+                self._put([u], np.array([-1]), np.array([-1]), np.array([0]), [], [""])
+
+    def _together(self, units: list[str]) -> bool:
+        """Adds units, which lie behind each other in one string, if both tokenizers spell it."""
+        if not units:
+            return True
+        whole = "".join(" " + u for u in units)
+        a, b = self.a.encode_ordinary(whole), self.b.encode(whole[1:], num_threads=1)
+        spelt = whole.encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != spelt or b"".join(map(self.bytes_b.__getitem__, b)) != spelt:
+            return False
+        a, b = np.array(a), np.array(b)
+        ends = np.cumsum([1 + len(u.encode()) for u in units])
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        common, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        n_a, n_b, n_groups = (np.bincount(np.searchsorted(ends, x), minlength=len(units)) for x in (ends_a, ends_b, common))
+        name_a, name_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        stop_a, stop_b = (at_a + 1).tolist(), (at_b + 1).tolist()
+        cut = [",".join(name_a[i:j]) + "|" + ",".join(name_b[k:m]) for i, j, k, m in zip([0, *stop_a], stop_a, [0, *stop_b], stop_b)]
+        stops = np.cumsum(n_groups).tolist()
+        self._put(units, n_a, n_b, n_groups, (b[at_b].astype(np.int64) << A_BITS | a[at_a]).tolist(), [";".join(cut[i:j]) for i, j in zip([0, *stops], stops)])
+        return True
+
+    def _put(self, units: list[str], n_a: np.ndarray, n_b: np.ndarray, n_groups: np.ndarray, links: list[int], shown: list[str]) -> None:
+        self.known.update(zip(units, range(len(self.shown), len(self.shown) + len(units))))
+        for held, new in ((self.n_a, n_a), (self.n_b, n_b), (self.n_groups, n_groups), (self.links, links)):
+            held.extend(map(int, new))
+        self.shown += shown
 
 
 def windows(text: str, window: int = WINDOW) -> Iterator[list[str]]:
@@ -114,7 +122,7 @@ def windows(text: str, window: int = WINDOW) -> Iterator[list[str]]:
         part = text[at:end]
         parts = part.split(" ")
         # a part that is empty or ends in white space is no unit of its own
-        if "" in parts or any(p[-1].isspace() for p in parts):
+        if part[0] == " " or part[-1].isspace() or any(end in part for end in _ODD):
             parts = [u[1:] for u in _CUT.split(" " + part)]
         yield parts
         at = end + 1
@@ -144,24 +152,8 @@ def align(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
             for part in slices(batch, 1, 1 << 16, BATCH_BYTES):
                 if len(al.shown) > MEMO:
                     al.clear()
-                numbers, sizes, shown = [], [], []
-                for text in part.column(1).to_pylist():
-                    n, digest, bad = 0, sha256(), False
-                    begun = len(numbers)
-                    if text:
-                        for units in windows(text, WINDOW):
-                            ids = al.numbers(units)
-                            numbers.extend(ids)
-                            if not bad:
-                                digest.update((";" if n else "").encode() + ";".join(map(al.shown.__getitem__, ids)).encode())
-                                bad = any(not al.n_groups[i] for i in set(ids))
-                            n += len(ids)
-                        if bad:
-                            del numbers[begun:]
-                            n = 0
-                    sizes.append(n)
-                    shown.append(digest.hexdigest() if n else "")
-                rows, links, pairs = _batch(al, np.array(numbers, np.int64), np.array(sizes, np.int64), n_stripes)
+                numbers, sizes, shown = _encoded(al, part.column(1).to_pylist())
+                rows, links, pairs = _batch(al, numbers, sizes, n_stripes)
                 yield _docs(batch_id, part.column(0), rows, shown)
                 yield _links(batch_id, links)
                 mine = _added(np.concatenate([mine[0], pairs[0]]), np.concatenate([mine[1], pairs[1]]))
@@ -175,6 +167,36 @@ def align(docs: DataFrame, vocabulary: str, model: str) -> DataFrame:
     return texts(docs).mapInArrow(run, f"{_DOCS}, {_LINKS}")
 
 
+def _encoded(al: Aligner, texts_: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The units of all texts, how many each has (none if a unit has no tokens), and the digests of their groups."""
+    ids: list[list[np.ndarray]] = [[] for _ in texts_]
+    digests, bad, held, size = [sha256() for _ in texts_], set(), [], 0
+
+    def settle() -> None:
+        if new := set().union(*(units for _, units in held)) - al.known.keys():
+            al.add(list(new))
+        for i, units in held:
+            of = list(map(al.known.__getitem__, units))
+            digests[i].update(((";" if ids[i] else "") + ";".join(map(al.shown.__getitem__, of))).encode())
+            ids[i].append(np.array(of, np.int64))
+            if 0 in map(al.n_groups.__getitem__, of):
+                bad.add(i)
+
+    for i, text in enumerate(texts_):
+        for units in windows(text, WINDOW) if text else ():
+            held.append((i, units))
+            size += len(text)
+            if size > WINDOW:
+                settle()
+                held, size = [], 0
+    settle()
+    for i in bad:
+        ids[i] = []
+    sizes = np.array([sum(map(len, x)) for x in ids], np.int64)
+    flat = [x for own in ids for x in own]
+    return np.concatenate(flat) if flat else np.zeros(0, np.int64), sizes, [d.hexdigest() if n else "" for d, n in zip(digests, sizes.tolist())]
+
+
 def _added(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each distinct pair with its sum."""
     own, at = np.unique(pairs, return_inverse=True)
