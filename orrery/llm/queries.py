@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import crosstoken, decontam, htmltext, jaccard, kneser, lattice, licenses, linededup, matroska, packing, toxicity, warc
+from orrery.llm import crosstoken, decontam, htmltext, jaccard, kneser, lattice, licenses, linededup, matroska, negatives, packing, toxicity, warc
 from orrery.llm.common import table
 
 
@@ -58,6 +58,15 @@ def op10_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def relabelled(embeddings: DataFrame) -> DataFrame:
+    """Every seventh row under a wrong label, which a mined negative then may hold."""
+    return embeddings.withColumn("label", F.expr("if(vec_id % 7 = 0, (cast(label as bigint) + 1) % 10, label)"))
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.quantized(relabelled(table(spark, sf_dir, "embeddings"))))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crosstoken.alignments(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
@@ -67,7 +76,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination, op12_token_alignment, op13_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hilbert_packing, op2_matroska, op3_html_text_density, op4_license_minhash, op5_lattice_likelihood, op6_warc_dictionary, op7_toxicity_neighbours, op8_jaccard_components, op9_kneser_ney_quality, op10_edit_decontamination, op11_hard_negatives, op12_token_alignment, op13_line_dedup)}
 
 #: DuckDB's form of those queries that SQL expresses; tests hold the others against brute force.
 ORACLES: dict[str, str] = {
@@ -81,6 +90,14 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> first THEN first END AS refers_to, TRUE AS intact
         FROM bits""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
     "op13_line_dedup": """
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
