@@ -23,23 +23,29 @@ def stored(df: DataFrame) -> DataFrame:
 PARTS = 8
 
 
-def closure(edges: DataFrame) -> DataFrame:
+def closure(edges: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(node, ancestor, depth): everything that one or more (child, parent) edges reach; a node only reaches itself on a cycle.
 
-    Semi-naive: each round extends only the pairs that the last one found, writes only what is new, and stops when
-    nothing is. The depth is the least one; there is no limit to it.
+    With `wanted` (one column of nodes) only from those. Paths double: after round k all pairs up to 2^k edges apart are known, and a
+    table of jumps holds the pairs that walks of exactly 2^k edges join, so that the rounds are the logarithm of the depth.
+    A round that finds nothing new ends it, as a longer shortest path would have a part of any shorter length. Each round writes
+    only what is new. The depth is the least one; there is no limit to it.
     """
-    edges = stored(edges.select("child", "parent").where("child is not null and parent is not null").distinct())
-    front = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    parts, depth = [front], 1
+    jumps = stored(edges.select(F.col("child").alias("low"), F.col("parent").alias("high")).where("low is not null and high is not null").distinct())
+    front = jumps.select(F.col("low").alias("node"), F.col("high").alias("ancestor"), F.lit(1).alias("depth"))
+    if wanted is not None:
+        front = front.join(wanted.toDF("node").distinct(), "node", "left_semi")
+    parts, length = [front], 1
     while True:
-        depth += 1
         found = reduce(DataFrame.unionByName, parts)
-        step = front.join(edges, front["ancestor"] == edges["child"]).select("node", F.col("parent").alias("ancestor")).distinct()
-        front = stored(step.join(found, ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
+        step = found.join(jumps, found["ancestor"] == jumps["low"]).groupBy("node", F.col("high").alias("ancestor")).agg((F.min("depth") + length).alias("depth"))
+        front = stored(step.join(found, ["node", "ancestor"], "left_anti"))
         if front.isEmpty():
             return found
         parts = [*parts, front] if len(parts) < PARTS else [stored(found.unionByName(front))]
+        length *= 2
+        on = jumps.select(F.col("low").alias("mid"), F.col("high").alias("top"))
+        jumps = stored(jumps.join(on, jumps["high"] == on["mid"]).select("low", F.col("top").alias("high")).distinct())
 
 
 def nearest(edges: DataFrame, prefixes: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from orrery.functions import lcs
 from orrery.functions.text import is_empty, sorted_tokens, strip, token_sort_ratio, variants
-from orrery.operators.graph import closure
+from orrery.operators.graph import closure, stored
 
 IDS = ("geonames", "tgn", "idai", "osm_relation")
 #: What a match gives, in the order of the output columns.
@@ -175,9 +175,11 @@ def transitive_match(values: DataFrame, labels: DataFrame, parts: DataFrame, sco
 
     `parts` has (item, parent). Ties between items go to the smallest.
     """
-    below = closure(parts.select(F.col("item").alias("child"), "parent")).select(F.col("node").alias("item"), F.col("ancestor").alias(scope))
     tried = values.select("raw", scope, "name", "note", F.posexplode(variants("name", suffixes)).alias("variant_no", "variant"))
-    hits = tried.join(labels.select("item", "label"), F.lower("variant") == F.lower("label")).join(below, ["item", scope])
+    named = stored(tried.join(labels.select("item", "label"), F.lower("variant") == F.lower("label")))
+    # only what bears one of the labels is followed upwards
+    above = closure(parts.select(F.col("item").alias("child"), "parent"), named.select("item"))
+    hits = named.join(above.select(F.col("node").alias("item"), F.col("ancestor").alias(scope)), ["item", scope])
     w = Window.partitionBy("raw", scope).orderBy("variant_no", "item", "label")
     first = hits.withColumn("_n", F.row_number().over(w)).where("_n = 1")
     own = F.col("variant") == F.col("name")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orrery.operators.entailment import entailed
 from orrery.operators.graph import closure, stored
 from orrery.operators.triples import OWL, RDF, RDFS, SCHEMA, XSD
 
@@ -39,22 +40,24 @@ def generated(ontology: DataFrame, namespace: str, required: list[tuple[str, str
 
 
 def inferred(data: DataFrame, ontology: DataFrame, mode: str = "rdfs") -> DataFrame:
-    """Types with their superclasses ('subclass'), and with those of domains and ranges ('rdfs'); 'none' leaves them."""
-    types = data.where(F.col("p") == f"{RDF}type").select("s", F.col("o").alias("class"))
-    if mode == "none":
-        return types.distinct()
+    """(s, class): the types that a graph states ('none'), with their superclasses ('subclass'), or all that RDF Schema entails ('rdfs')."""
     if mode == "rdfs":
-        for end, node in (("domain", "s"), ("range", "o")):
-            rule = ontology.where(F.col("p") == f"{RDFS}{end}").select(F.col("s").alias("p"), F.col("o").alias("class"))
-            own = data if end == "domain" else data.where("o_kind <> 'lit'")
-            types = types.unionByName(own.join(rule, "p").select(F.col(node).alias("s"), "class"))
-    types = types.distinct()
+        data = entailed(data, ontology)
+    types = data.where(F.col("p") == f"{RDF}type").select("s", F.col("o").alias("class")).distinct()
+    if mode != "subclass":
+        return types
     up = closure(ontology.where(F.col("p") == f"{RDFS}subClassOf").select(F.col("s").alias("child"), F.col("o").alias("parent")))
     return types.unionByName(types.join(up, types["class"] == up["node"]).select("s", F.col("ancestor").alias("class"))).distinct()
 
 
 def validate(graph: str, data: DataFrame, constraints: DataFrame, ontology: DataFrame, inference: str = "rdfs") -> DataFrame:
-    """The violations of a graph, one row each: object of a wrong class, literal of a wrong datatype, too few or too many values."""
+    """The violations of a graph, one row each: object of a wrong class, literal of a wrong datatype, too few or too many values.
+
+    With inference "rdfs" the graph that is validated is the one that RDF Schema entails from data and ontology, with the
+    values that super-properties take; else the data as they are.
+    """
+    if inference == "rdfs":
+        data, inference = entailed(data, ontology), "none"
     types = stored(inferred(data, ontology, inference))
     c = constraints.where("kind <> 'targetClass'")
     rule = lambda kind: c.where(F.col("kind") == kind)

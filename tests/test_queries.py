@@ -6,9 +6,9 @@ import os
 import duckdb
 import pytest
 
-from orrery.plans import lod, star
+from orrery.plans import knowledge, lod, star
 
-assert lod.site_facts.__name__ in star.QUERIES
+assert {lod.site_facts.__name__, knowledge.rdfs_types.__name__} <= set(star.QUERIES)
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
