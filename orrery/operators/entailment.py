@@ -29,10 +29,6 @@ TYPE, SUB_CLASS, SUB_PROPERTY, DOMAIN, RANGE = f"{RDF}type", f"{RDFS}subClassOf"
 SENT = 200_000
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(SENT + 1).count() <= SENT else df
-
-
 def rules(triples: DataFrame) -> DataFrame:
     """(rule, key, role, to): what a triple with `key` in its predicate ('p') or object ('o') role entails."""
     stated = triples.where(F.col("p").isin(SUB_CLASS, SUB_PROPERTY, DOMAIN, RANGE) & (F.col("o_kind") == "iri") & ~F.col("s").startswith("_:"))
@@ -40,8 +36,9 @@ def rules(triples: DataFrame) -> DataFrame:
     return stated.select(rule.alias("rule"), F.col("s").alias("key"), F.col("o").alias("to")).where("key <> to or rule in ('domain', 'range')").distinct()
 
 
-def applied(triples: DataFrame, by: DataFrame) -> DataFrame:
-    """What one application of the rules entails, each triple once."""
+def applied(triples: DataFrame, by: DataFrame, few: bool = False) -> DataFrame:
+    """What one application of the rules entails; `few` rules are broadcast."""
+    sent = F.broadcast if few else lambda df: df
     own = [F.col(c) for c in COLUMNS]
     none = F.lit(None).cast("string")
 
@@ -49,7 +46,7 @@ def applied(triples: DataFrame, by: DataFrame) -> DataFrame:
         return [c.alias(name) for c, name in zip((s, p, o, kind, *(rest or (none, none))), COLUMNS)]
 
     said = by.where("rule <> 'class'")
-    by_predicate = triples.join(_sent(said), triples["p"] == said["key"]).where("rule <> 'range' or o_kind <> 'lit'")
+    by_predicate = triples.join(sent(said), triples["p"] == said["key"]).where("rule <> 'range' or o_kind <> 'lit'")
     is_property = F.col("rule") == "property"
     by_predicate = by_predicate.select(
         *made(
@@ -60,26 +57,29 @@ def applied(triples: DataFrame, by: DataFrame) -> DataFrame:
     # a type or sub-class goes up the classes, a sub-property up the properties
     up = by.where("rule in ('class', 'property')")
     climbs = triples.where(F.col("p").isin(TYPE, SUB_CLASS, SUB_PROPERTY) & (F.col("o_kind") != "lit")).withColumn("kind", F.when(F.col("p") == SUB_PROPERTY, "property").otherwise("class"))
-    climbed = climbs.join(_sent(up), (climbs["o"] == up["key"]) & (climbs["kind"] == up["rule"])).select(*made(own[0], own[1], F.col("to"), F.lit("iri")))
-    return by_predicate.unionByName(climbed).distinct()
+    climbed = climbs.join(sent(up), (climbs["o"] == up["key"]) & (climbs["kind"] == up["rule"])).select(*made(own[0], own[1], F.col("to"), F.lit("iri")))
+    return by_predicate.unionByName(climbed)
 
 
 def entailed(*graphs: DataFrame) -> DataFrame:
     """The triples of all graphs and everything that the rules make of them, each once."""
     given = stored(reduce(DataFrame.unionByName, graphs).select(*COLUMNS).distinct())
     known, new, held = given, given, None
-    fresh_rules = rules(given)
+    fresh = stored(rules(given))
+    n_fresh = n_rules = fresh.count()
     while True:
-        every = fresh_rules if held is None else stored(held.unionByName(fresh_rules).distinct())
-        step = applied(new, every)
-        if held is not None and not fresh_rules.isEmpty():
-            step = step.unionByName(applied(known, fresh_rules))
+        every, few = fresh if held is None else held.unionByName(fresh), n_rules <= SENT
+        step = applied(new, every, few)
+        if held is not None and n_fresh:
+            step = step.unionByName(applied(known, fresh, few))
         # only these predicates can be stated by a rule, so only their triples can be known already
         stated = every.where("rule = 'property'").select(F.col("to").alias("p")).union(step.sparkSession.createDataFrame([(TYPE,), (SUB_CLASS,), (SUB_PROPERTY,)], "p string")).distinct()
-        there = known.join(_sent(stated), "p", "left_semi").select(*COLUMNS)
+        there = known.join(F.broadcast(stated) if few else stated, "p", "left_semi").select(*COLUMNS)
         same = reduce(lambda a, b: a & b, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in COLUMNS))
         new = stored(step.distinct().alias("a").join(there.alias("b"), same, "left_anti").select(*COLUMNS))
         if new.isEmpty():
             return known
         known, held = known.unionByName(new), every
-        fresh_rules = stored(rules(new).join(held, ["rule", "key", "to"], "left_anti").select("rule", "key", "to"))
+        fresh = stored(rules(new).join(held, ["rule", "key", "to"], "left_anti").select("rule", "key", "to"))
+        n_fresh = fresh.count()
+        n_rules += n_fresh

@@ -62,7 +62,7 @@ def test_rules_that_are_entailed(spark):
     assert found == plain(data + onto) and iri("rex", E.TYPE, "Animal") in found and iri("stone", E.TYPE, "Solid") in found
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_random_graphs(spark, seed):
     rng = random.Random(seed)
     of = lambda k, n: f"{k}{rng.randrange(n)}"
@@ -74,9 +74,9 @@ def test_random_graphs(spark, seed):
 
 def test_deep_hierarchy_in_few_rounds(spark, monkeypatch):
     rounds = []
-    monkeypatch.setattr(E, "applied", lambda t, r, keep=E.applied: rounds.append(1) or keep(t, r))
-    onto = [iri(f"C{i}", E.SUB_CLASS, f"C{i + 1}") for i in range(40)]
-    assert len(got(spark, onto)) == 41 * 40 // 2 and len(rounds) <= 14
+    monkeypatch.setattr(E, "applied", lambda *a, keep=E.applied: rounds.append(1) or keep(*a))
+    onto = [iri(f"C{i}", E.SUB_CLASS, f"C{i + 1}") for i in range(20)]
+    assert len(got(spark, onto)) == 21 * 20 // 2 and len(rounds) <= 12
 
 
 def test_empty(spark):
