@@ -51,27 +51,44 @@ def lengths(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
+#: Classes that letters fall into for bounds.
+CLASSES = 32
+
+
+def histogram(texts: list[str]) -> np.ndarray:
+    """How many letters of each class every text has."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32) % CLASSES
+    return np.bincount(np.repeat(np.arange(len(texts)), size) * CLASSES + codes, minlength=len(texts) * CLASSES).reshape(-1, CLASSES)
+
+
 class Block:
     """A list of texts that single texts are compared with."""
 
     def __init__(self, texts: list[str]):
         self.texts = texts
-        self.long = [i for i, t in enumerate(texts) if len(t) > WORD]
+        self.long = np.array([len(t) > WORD for t in texts], bool)
         self.bits = letters([t if len(t) <= WORD else "" for t in texts], WORD, -1)
         self.masks: dict[str, np.ndarray] = {}
+        self.classes = histogram(texts)
 
-    def lengths(self, text: str) -> np.ndarray:
-        open_ = np.full(len(self.texts), np.iinfo(np.uint64).max)
+    def lengths(self, text: str, at: np.ndarray) -> np.ndarray:
+        """LCS lengths of a text and the block's texts at the places `at`."""
+        open_ = np.full(len(at), np.iinfo(np.uint64).max)
         for c in text:
             mask = self.masks.get(c)
             if mask is None:
                 mask = self.masks[c] = np.packbits(self.bits == ord(c), axis=1, bitorder="little").view(np.uint64).ravel()
-            open_ = _read(open_, mask)
+            open_ = _read(open_, mask[at])
         out = WORD - np.bitwise_count(open_).astype(np.int64)
-        for i in self.long:
-            out[i] = length(self.texts[i], text)
+        for i in np.flatnonzero(self.long[at]):
+            out[i] = length(self.texts[at[i]], text)
         return out
 
+    def bounds(self, classes: np.ndarray) -> np.ndarray:
+        """What the LCS of each text and one with these classes can't exceed: a common subsequence takes no more letters of a class than either has."""
+        return np.minimum(self.classes, classes).sum(axis=1)
+
 
 def points(common: np.ndarray, total: np.ndarray) -> np.ndarray:
     """2 LCS / (m + n) in ten-thousandths, rounded half up; two empty texts are equal."""

@@ -1,13 +1,13 @@
 """Entity resolution: label indexes, aliases and overrides, scoped fuzzy matching, and the containment fallback.
 
 Every distinct value is matched once, within its scope's candidates only (an equi-join), and joined back. Ratios are
-taken batch by batch in Arrow; some functions count an index first, to see whether it is small enough to send out.
+taken in Arrow, a group of values against a block of labels at a time; an index is stored and counted first, to see whether
+it is small enough to send out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -73,70 +73,107 @@ def overridden(values: DataFrame, overrides: DataFrame) -> DataFrame:
     return hit.select("raw", "qid", F.col("label").alias("match_label"), F.lit(1.0).alias("score"), reason.alias("reason"), *ids)
 
 
-#: Labels that go out to the tasks at once.
-BLOCK = 10_000
-#: Labels up to this number are broadcast to the values of their scopes; more are joined as AQE finds fit.
-SMALL_INDEX = 100_000
+#: Labels of a block, values that meet it at once, and labels that are broadcast at most.
+BLOCK, VALUES, SMALL_INDEX = 1024, 32, 100_000
+_HIT = "key string, ord long, points int, compared long"
 
 
-def _spread(values: DataFrame) -> DataFrame:
-    """Dealt out evenly, so that a large scope is scored by many tasks."""
-    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return values.repartition(n, *values.columns)
+def _numbered(df: DataFrame, by: list[str], most: int, name: str, key: str) -> DataFrame:
+    """`df` with a part number, such that about `most` rows share `by` and the number."""
+    sizes = df.groupBy(*by).agg(F.ceil(F.count("*") / most).alias("_parts"))
+    return df.join(sizes, by).withColumn(name, F.pmod(F.xxhash64(key), F.col("_parts")).cast("int")).drop("_parts")
 
 
-def _in_scope(asked: DataFrame, labels: DataFrame, scope: list[str]) -> DataFrame:
-    """(_query, scope, key, ord, points) of every value with every label of its scope: an equi-join, scored batch by batch."""
+def label_blocks(labels: DataFrame, scope: list[str]) -> DataFrame:
+    """(scope, size, part, labels): the labels (key, ord, _b) of each scope and length, in blocks of about BLOCK; a scope that fits a block is one, of size -1."""
+    n = labels.groupBy(*scope).agg(F.count("*").alias("_n"))
+    sized = labels.join(n, scope).withColumn("size", F.when(F.col("_n") <= BLOCK, -1).otherwise(F.char_length("_b"))).drop("_n")
+    return _numbered(sized, [*scope, "size"], BLOCK, "part", "key").groupBy(*scope, "size", "part").agg(F.collect_list(F.struct("ord", "key", "_b")).alias("labels"))
+
+
+def _compared(asked: DataFrame, blocks: DataFrame, scope: list[str], few: bool) -> DataFrame:
+    """(scope, _query, _HIT): for values (_query, _a, least) and blocks of one length, the best label of each block that reaches `least`.
+
+    A block's labels are compared in the order of their bounds by letter classes, until the next bound is below the best.
+    """
+    by = [*scope, "size"]
     kinds = {f.name: f.dataType.simpleString() for f in asked.schema.fields}
-    out = f"_query string, {''.join(f'{c} {kinds[c]}, ' for c in scope)}key string, ord long, points int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 20_000):
-                part = b.slice(at, 20_000)
-                x, y = (part.column(c).to_pylist() for c in ("_a", "_b"))
-                total = np.fromiter((len(i) + len(j) for i, j in zip(x, y)), np.int64, len(x))
-                own = [*(part.column(c) for c in ("_query", *scope, "key", "ord")), pa.array(lcs.points(lcs.lengths(x, y), total), pa.int32())]
-                yield pa.RecordBatch.from_arrays(own, names=["_query", *scope, "key", "ord", "points"])
-
-    few = labels.limit(SMALL_INDEX + 1).count() <= SMALL_INDEX
-    pairs = _spread(asked).join(F.broadcast(labels) if few else labels, scope).select("_query", *scope, "key", "ord", "_a", "_b")
-    return pairs.mapInArrow(run, out)
-
-
-def _in_blocks(asked: DataFrame, labels: DataFrame) -> DataFrame:
-    """(_query, key, ord, points): each value's best label of each block of BLOCK labels. Blocks are fetched and sent out one after another."""
-    spark, asked = asked.sparkSession, _spread(asked)
-    out = None
-    rows = labels.select("key", "ord", "_b").toLocalIterator(prefetchPartitions=False)
-    while block := [tuple(r) for r in islice(rows, BLOCK)]:
-        sent = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            # the best is the last: more points, then the lower ord, then the larger key
-            held = sorted(sent.value, key=lambda r: (-r[1], r[0]))
-            against = lcs.Block([r[2] for r in held])
-            sizes = np.array([len(r[2]) for r in held])
-            for b in batches:
-                best = []
-                for a in b.column("_a").to_pylist():
-                    points = lcs.points(against.lengths(a), sizes + len(a))
-                    i = len(held) - 1 - int(points[::-1].argmax())
-                    best.append((held[i][0], held[i][1], int(points[i])))
-                columns = [*zip(*best)] if best else [(), (), ()]
-                yield pa.RecordBatch.from_arrays([b.column("_query"), pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())], names=["_query", "key", "ord", "points"])
-
-        found = asked.mapInArrow(run, "_query string, key string, ord long, points int")
-        out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], "_query string, key string, ord long, points int") if out is None else out
+        for batch in batches:
+            out: list[tuple] = []
+            for values, labels, *own in zip(*(batch.column(c).to_pylist() for c in ("values", "labels", *scope))):
+                block = lcs.Block([r["_b"] for r in labels])
+                size = np.array([len(t) for t in block.texts])
+                classes = lcs.histogram([v["_a"] for v in values])
+                for v, h in zip(values, classes):
+                    total = size + len(v["_a"])
+                    bound = lcs.points(block.bounds(h), total)
+                    order = np.argsort(-bound, kind="stable")
+                    best, done, step = (v["least"], None), 0, 16
+                    while done < len(order) and bound[order[done]] >= best[0]:
+                        at = order[done : done + step]
+                        at = at[bound[at] >= best[0]]
+                        points = lcs.points(block.lengths(v["_a"], at), total[at])
+                        for i in at[points == points.max()].tolist() if points.max() >= best[0] else ():
+                            rank = (-labels[i]["ord"], labels[i]["key"])
+                            if points.max() > best[0] or best[1] is None or rank > best[1]:
+                                best = (int(points.max()), rank)
+                        done += len(at)
+                        step *= 2
+                    out.append((*own, v["_query"], best[1] and best[1][1], best[1] and -best[1][0], best[0], done))
+            if out:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in out], schema=to)
+
+    names = [*scope, "_query", "key", "ord", "points", "compared"]
+    to = pa.schema([(c, _ARROW.get(kinds[c], pa.string())) for c in scope] + [("_query", pa.string()), ("key", pa.string()), ("ord", pa.int64()), ("points", pa.int32()), ("compared", pa.int64())])
+    groups = _numbered(asked, by, VALUES, "_group", "_query").groupBy(*by, "_group").agg(F.collect_list(F.struct("_query", "_a", "least")).alias("values"))
+    if few:
+        groups, blocks = groups.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "_group"), F.broadcast(blocks)
+    met = groups.join(blocks, by).select(*scope, "values", "labels")
+    return met.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in scope), "_query string", _HIT]))
+
+
+_ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "smallint": pa.int16()}
+
+
+def _reach(a: Column, b: Column) -> Column:
+    """The points that texts of these lengths can't exceed."""
+    total, common = a + b, F.least(a, b)
+    return F.when(total == 0, 10_000).otherwise(F.floor((40_000 * common + total) / (2 * total)))
+
+
+def searched(asked: DataFrame, labels: DataFrame, scope: list[str]) -> DataFrame:
+    """(scope, _query, key, ord, points, compared): candidates for each value's best label of its scope, the best among them, and how many labels were compared.
+
+    Labels lie in blocks of one scope and length. A value first meets the blocks of the length that is nearest to its own; the
+    best of them says which other lengths can still hold as good a label, and only those blocks are met, with that score
+    to reach. Nothing is pruned that could be the best, whatever the threshold; equal scores are kept apart by ord and key.
+    """
+    blocks = stored(label_blocks(labels.select(*scope, "key", "ord", "_b"), scope))
+    sizes = blocks.groupBy(*scope).agg(F.array_sort(F.collect_set("size")).alias("sizes"), F.sum(F.size("labels")).alias("n"))
+    there = sizes.agg(F.sum("n").alias("n"), F.max(F.size("sizes")).alias("sizes")).first()
+    few = (there["n"] or 0) <= SMALL_INDEX
+    own = F.char_length("_a")
+    near = F.array_min(F.transform("sizes", lambda s: F.struct(F.abs(s - own).alias("off"), s.alias("size"))))
+    known = asked.join(F.broadcast(sizes) if few else sizes, scope).withColumn("home", near["size"])
+    columns = [*scope, "size", "_query", "_a", "least"]
+    at_home = lambda df: _compared(df.withColumns({"size": F.col("home"), "least": F.lit(0)}).select(*columns), blocks, scope, few)
+    if (there["sizes"] or 0) <= 1:
+        return at_home(known)
+    known = stored(known)
+    first = stored(at_home(known))
+    least = first.groupBy(*scope, "_query").agg(F.max("points").cast("int").alias("least"))
+    open_ = known.join(least, [*scope, "_query"]).withColumn("size", F.explode(F.filter("sizes", lambda s: (s != F.col("home")) & (_reach(s, own) >= F.col("least")))))
+    return first.unionByName(_compared(open_.select(*columns), blocks, scope, few))
 
 
 def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold: float, scope_name: str = "global index") -> DataFrame:
     """(raw, scope, RESULT): each value's best candidate by token-sort ratio within its scope; ties go to the lower ord, then the larger key.
 
     Below the threshold there is no match, but the score and the reason stay. A value without candidates says so.
-    Values that equal a label (but for the order of words) meet it by a join; only the others are scored, against the
-    labels of their scope, or without one against the whole index in blocks.
+    Values that equal a label (but for the order of words) meet it by a join; only the others are searched for, among the
+    labels of their scope, or without one in the whole index.
     """
     keyed = values.withColumn("_query", F.lower(strip("name")))
     ids = [c for c in IDS if c in index.columns]
@@ -144,7 +181,11 @@ def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold:
     asked = keyed.select("_query", *scope).where("_query is not null").distinct().withColumn("_a", sorted_tokens("_query"))
     same = asked.join(labels.withColumnRenamed("_b", "_a"), ["_a", *scope]).select("_query", *scope, "key", "ord", F.lit(10_000).alias("points"))
     rest = asked.join(same.select("_query", *scope).distinct(), ["_query", *scope], "left_anti")
-    scored = same.unionByName(_in_scope(rest, labels, scope) if scope else _in_blocks(rest, labels))
+    # without a scope all values and labels have the same one
+    one = scope or ["_all"]
+    all_ = (lambda df: df) if scope else (lambda df: df.withColumn("_all", F.lit(0)))
+    found = searched(all_(rest), all_(labels), one).where("key is not null")
+    scored = same.unionByName(found.select("_query", *scope, "key", "ord", "points"))
     best = scored.groupBy("_query", *scope).agg(F.max(F.struct("points", (-F.col("ord")).alias("first"), "key")).alias("m"))
     best = best.select("_query", *scope, F.col("m.key").alias("key"), (F.col("m.points") / 10_000.0).alias("score"))
     best = best.join(index.drop("ord"), ["key", *scope]).select("_query", *scope, F.struct("score", "key", "qid", "label", "source", *ids).alias("m"))
