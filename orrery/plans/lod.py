@@ -331,6 +331,17 @@ def turtle_round_trip(spark, sf_dir):
     return read.turtle(spark, path)
 
 
+_PREFIXES = {"d": star.D, "t": star.T, "rdf": RDF, "rdfs": RDFS, "xsd": XSD}
+
+
+@query(f"SELECT * FROM ({TRIPLES}) UNION ALL SELECT * FROM (VALUES {_ODD_SQL}) AS v(s, p, o, o_kind, o_dt, o_lang)")
+def turtle_prefixed(spark, sf_dir):
+    """Written in parts with prefixes, read again by statements."""
+    path = write.shared(spark, "ttl")
+    write.turtle(star.star_triples(spark, sf_dir).unionByName(_odd(spark)), path, _PREFIXES)
+    return read.turtle(spark, path)
+
+
 # -- constraints and indexes --------------------------------------------------------------------------------------
 
 _NS = "urn:o#"

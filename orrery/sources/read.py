@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.functions.text import na_to_null
+from orrery.operators.graph import stored
 from orrery.operators.triples import COLUMNS, SCHEMA, XSD
 
 
@@ -73,25 +74,31 @@ def ntriples(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(subject.alias("s"), unescaped(part(3)).alias("p"), F.coalesce(ref, unescaped(F.regexp_extract("value", _NT, 6))).alias("o"), kind.alias("o_kind"), unescaped(part(8)).alias("o_dt"), part(7).alias("o_lang"))
 
 
-_TOKEN = re.compile(r'\s+|#[^\n]*|(?P<iri><[^>]*>)|(?P<long>"""(?:[^\\]|\\.)*?""")|(?P<str>"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\')|(?P<at>@[A-Za-z][\w-]*)|(?P<dt>\^\^)|(?P<num>[-+]?(?:(?:\d+\.\d*|\.?\d+)[eE][-+]?\d+|\d*\.\d+|\d+)(?![\w:]))|(?P<name>_:[\w.-]*[\w-]|[\w-]*:(?:[\w%-]|\.(?=[\w%-])|\\.)*|\ba\b|true\b|false\b|PREFIX\b|BASE\b)|(?P<p>[.;,()\[\]])', re.S)
+_TOKEN = re.compile(r'\s+|#[^\n]*|(?P<iri><[^>]*>)|(?P<long>"""(?:[^\\]|\\.)*?"""|\'\'\'(?:[^\\]|\\.)*?\'\'\')|(?P<str>"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\')|(?P<at>@[A-Za-z][\w-]*)|(?P<dt>\^\^)|(?P<num>[-+]?(?:(?:\d+\.\d*|\.?\d+)[eE][-+]?\d+|\d*\.\d+|\d+)(?![\w:]))|(?P<name>_:[\w.-]*[\w-]|[\w-]*:(?:[\w%-]|\.(?=[\w%-])|\\.)*|\ba\b|true\b|false\b|PREFIX\b|BASE\b)|(?P<p>[.;,()\[\]])', re.S)
 _ESCAPES = {"n": "\n", "r": "\r", "t": "\t", '"': '"', "'": "'", "\\": "\\"}
 
 
-def parse_turtle(text: str, document: str = "") -> list[tuple]:
+def parse_turtle(text: str, document: str = "", known: dict[str, str] | None = None, own: str = "") -> list[tuple]:
     """Triples of a Turtle document: base and prefixes, predicate and object lists, literals, blank nodes and collections.
 
-    Blank nodes are those of the document: `document` goes into their labels. What is no token is an error.
+    Blank nodes are those of the document: `document` goes into their labels, and `own` into those of nodes without a label. What is no token
+    is an error. `known` has prefixes that hold from the start, and gets those that the text declares; the text is then a piece
+    of a document, and a full stop without a statement, as behind a comment, says nothing.
     """
-    tokens, seen = [], 0
+    tokens, seen, quoted = [], 0, -1
     for m in _TOKEN.finditer(text):
         if m.start() != seen:
             break
+        if m.lastgroup in ("str", "long"):
+            if quoted == seen:
+                break  # two strings without a space: quotation marks of a longer string
+            quoted = m.end()
         seen = m.end()
         if m.lastgroup:
             tokens.append((m.lastgroup, m[0]))
     if seen != len(text):
         raise ValueError(f"not Turtle at {seen}: {text[seen:seen + 40]!r}")
-    prefixes: dict[str, str] = {}
+    prefixes: dict[str, str] = {} if known is None else known
     base = ""
     out: list[tuple] = []
     at = blank = 0
@@ -100,7 +107,7 @@ def parse_turtle(text: str, document: str = "") -> list[tuple]:
     def fresh() -> tuple:
         nonlocal blank
         blank += 1
-        return f"_:{document}n{blank}", "bnode", None, None
+        return f"_:{document}{own}n{blank}", "bnode", None, None
 
     def unescape(s: str) -> str:
         return re.sub(r"\\(u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|.)", lambda m: chr(int(m[1][1:], 16)) if m[1][0] in "uU" and len(m[1]) > 1 else _ESCAPES.get(m[1], m[1]), s)
@@ -175,25 +182,99 @@ def parse_turtle(text: str, document: str = "") -> list[tuple]:
         elif t.lower() in ("@base", "base"):
             base = resolved(tokens[at + 1][1][1:-1])
             at += 3 if t[0] == "@" else 2
+        elif t == "." and known is not None:
+            at += 1
         else:
             facts(term())
             at += 1
     return out
 
 
+class _Any(dict):
+    """Prefixes of which any may be used."""
+
+    def __missing__(self, name: str) -> str:
+        return ""
+
+
+#: Where Turtle is cut: a full stop at the end of a line.
+_STOP = ".\n"
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(document, piece, value): Turtle text cut at each full stop that ends a line, wherever that is; large files are read by many tasks."""
+    lines = spark.read.option("lineSep", _STOP).text(path).withColumn("document", _document())
+    return lines.select("document", F.concat(F.lit("p"), F.monotonically_increasing_id().cast("string")).alias("piece"), "value").where(F.col("value").rlike(r"\S"))
+
+
+def _document() -> Column:
+    return F.concat(F.lit("f"), F.substring(F.md5(F.col("_metadata.file_path").cast("binary")), 1, 16))
+
+
+def _statements(text: str) -> str:
+    """A piece with its full stop again, also behind a comment."""
+    return f"{text}\n."
+
+
+def turtle_heads(spark: SparkSession, path: str) -> DataFrame:
+    """(document, whole, prefixes) of files with prefixes, or with pieces that are no statements of their own.
+
+    A cut within a string or a comment leaves a piece that isn't whole. A file with one, with a base, or with two IRIs for one
+    prefix is to be read in one go: `whole` is false.
+    """
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            out = []
+            for document, value in zip(b["document"], b["value"]):
+                said = _Any()
+                try:
+                    parse_turtle(_statements(value), known=said)
+                    whole = not re.search(r"(?i)@base\b|\bBASE\s*<", value)
+                except (ValueError, IndexError):
+                    whole = False
+                if said or not whole:
+                    out.append((document, whole, dict(said)))
+            yield pd.DataFrame(out, columns=["document", "whole", "prefixes"])
+
+    found = _pieces(spark, path).select("document", "value").mapInPandas(run, "document string, whole boolean, prefixes map<string, string>")
+    named = found.select("document", "whole", F.explode_outer("prefixes").alias("name", "iri")).groupBy("document", "name").agg(F.min("whole").alias("whole"), F.min("iri").alias("iri"), F.count_distinct("iri").alias("n"))
+    every = F.map_from_entries(F.filter(F.collect_list(F.struct("name", "iri")), lambda e: e["name"].isNotNull()))
+    return named.groupBy("document").agg((F.min("whole") & (F.max("n") <= 1)).alias("whole"), every.alias("prefixes"))
+
+
 def turtle(spark: SparkSession, path: str) -> DataFrame:
-    """Turtle files as triples: an edge format, one file to a task. Blank nodes of different files are different, so their labels hold a hash of the file's path."""
+    """Turtle files as triples, read by statements: a first pass collects each file's prefixes, a second parses its pieces wherever they lie.
+
+    Files whose statements can't be told apart by full stops at line ends (strings that hold one, a base, prefixes that
+    change) are parsed one to a task. Blank nodes of different files are different, so their labels hold a hash of the
+    file's path. What isn't Turtle is an error. The heads, a row a file at most, are stored, as both ways read them.
+    """
     kinds = [c.split()[0] for c in SCHEMA.split(", ")]
+    heads = stored(turtle_heads(spark, path))
 
     def run(batches):
         import pandas as pd
 
+        for b in batches:
+            rows = []
+            for document, piece, value, prefixes in zip(b["document"], b["piece"], b["value"], b["prefixes"]):
+                rows += parse_turtle(_statements(value), document, dict(prefixes or {}), piece)
+            yield pd.DataFrame(rows, columns=kinds)
+
+    def run_whole(batches):
+        import pandas as pd
+
         for b in batches:
             for t, name in zip(b["value"], b["document"]):
                 yield pd.DataFrame(parse_turtle(t, name), columns=kinds)
 
-    files = spark.read.text(path, wholetext=True).select("value", F.concat(F.lit("f"), F.substring(F.md5(F.col("_metadata.file_path").cast("binary")), 1, 16)).alias("document"))
-    return files.mapInPandas(run, SCHEMA).select(*COLUMNS).dropDuplicates()
+    split = _pieces(spark, path).join(heads, "document", "left").where("coalesce(whole, true)")
+    files = spark.read.text(path, wholetext=True).select("value", _document().alias("document")).join(heads.where("not whole"), "document", "left_semi")
+    found = split.select("document", "piece", "value", "prefixes").mapInPandas(run, SCHEMA).unionByName(files.select("document", "value").mapInPandas(run_whole, SCHEMA))
+    return found.select(*COLUMNS).dropDuplicates()
 
 
 def markdown_table(spark: SparkSession, path: str, section: str, columns: tuple[str, ...] = ("class", "cell")) -> DataFrame:

@@ -54,12 +54,47 @@ def shared(spark: SparkSession, name: str) -> str:
     return f"{(base or tempfile.mkdtemp(prefix='orrery-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def turtle(triples: DataFrame, path: str) -> None:
-    """A folder of Turtle parts, a stanza a subject with its facts in order. A blank node means something in one file only, so graphs with blank nodes go to `turtle_file` or N-Triples."""
+#: Local names that are written behind a prefix; other IRIs stay whole.
+_LOCAL = r"[A-Za-z0-9_][A-Za-z0-9_-]*"
+
+
+def _short(term: Column, prefixes: dict[str, str]) -> Column:
+    """An IRI in angle brackets by the first prefix that fits."""
+    out = term
+    for name, ns in reversed(prefixes.items()):
+        local = F.substr(term, F.lit(len(ns) + 2), F.length(term) - len(ns) - 2)
+        out = F.when(term.startswith(f"<{ns}") & local.rlike(f"^{_LOCAL}$"), F.concat(F.lit(f"{name}:"), local)).otherwise(out)
+    return out
+
+
+def turtle(triples: DataFrame, path: str, prefixes: dict[str, str] | None = None) -> None:
+    """A folder of Turtle parts, each a document of its own: its prefixes, then a stanza a subject with its facts in order.
+
+    Parts are written by Spark's text sink side by side, and by its committer appear together or not at all. A blank node
+    means something in one file only, so graphs with blank nodes go to `turtle_file` or N-Triples.
+    """
+    prefixes = prefixes or {}
     line = F.split("value", " ", 3)
-    facts = ntriples_lines(triples).select(line[0].alias("s"), F.concat(line[1], F.lit(" "), F.regexp_replace(line[2], r" \.$", "")).alias("fact"))
-    stanzas = facts.groupBy("s").agg(F.array_join(F.array_sort(F.collect_set("fact")), " ;\n    ").alias("facts"))
-    stanzas.select(F.concat("s", F.lit(" "), "facts", F.lit(" .\n")).alias("value")).write.text(path)
+    text = F.regexp_replace(line[2], r" \.$", "")
+    if prefixes:
+        typed = F.regexp_extract(text, r"(?s)^(\".*\"\^\^)(<[^>]*>)$", 1)
+        text = F.when(text.startswith("<"), _short(text, prefixes)).when(typed != "", F.concat(typed, _short(F.regexp_extract(text, r"(?s)^(\".*\"\^\^)(<[^>]*>)$", 2), prefixes))).otherwise(text)
+    facts = ntriples_lines(triples).select(_short(line[0], prefixes).alias("s"), F.concat(_short(line[1], prefixes), F.lit(" "), text).alias("fact"))
+    stanzas = facts.groupBy("s").agg(F.array_join(F.array_sort(F.collect_set("fact")), " ;\n    ").alias("facts")).select(F.concat("s", F.lit(" "), "facts", F.lit(" .\n")).alias("value"))
+    head = "".join(f"@prefix {name}: <{ns}> .\n" for name, ns in prefixes.items())
+
+    def headed(batches):
+        import pyarrow as pa
+
+        first = True
+        for batch in batches:
+            if batch.num_rows:
+                if first and head:
+                    yield pa.RecordBatch.from_pydict({"value": [head]})
+                first = False
+                yield batch
+
+    (stanzas.mapInArrow(headed, "value string") if head else stanzas).write.text(path)
 
 
 def turtle_file(triples: DataFrame, path: str, prefixes: dict[str, str] | None = None) -> None:
