@@ -47,11 +47,12 @@ LANDMARKS = frozenset("main article h1".split())
 KEPT = frozenset("html body main article".split())
 CONTAINERS = frozenset("body div article section main td center blockquote details".split())
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
-#: Characters within which a tag's quotes must close; beyond it the tag ends at the next >.
-LONGEST_TAG = 65_536
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_NAME = re.compile(r"[\s/]*+([^\s/>=]*+)")
+_EQUALS = re.compile(r"\s*+=\s*+")
+_BARE = re.compile(r"[^\s>]*+")
+#: Attributes that tell clutter.
+TELLING = frozenset("class id role aria-hidden hidden style".split())
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 
@@ -65,15 +66,43 @@ class Node:
         self.density = self.total = 0.0
 
 
-def is_clutter(name: str, attributes: str) -> tuple[bool, bool]:
+def tag_end(html: str, at: int, last: dict[str, int]) -> tuple[int, list[tuple[str, str]]]:
+    """Where a tag's > is, from behind its name, and its telling attributes; -1 if the page ends within the tag.
+
+    One step an attribute, by what may stand there: a name, an equals sign, a quoted or a bare value. `last` has the last place of
+    each quotation mark of the page; a value whose mark never comes again ends with the tag, at the next >.
+    """
+    told = []
+    while True:
+        m = _NAME.match(html, at)
+        at, name, value = m.end(), m[1], ""
+        if equals := _EQUALS.match(html, at):
+            at = equals.end()
+            mark = html[at : at + 1]
+            if mark in last:
+                if last[mark] == at:
+                    return html.find(">", at), told
+                end = html.index(mark, at + 1)
+                value, at = html[at + 1 : end], end + 1
+            else:
+                bare = _BARE.match(html, at)
+                value, at = bare[0], bare.end()
+        if name and (name := name.lower()) in TELLING:
+            told.append((name, value))
+        if at == len(html):
+            return -1, told
+        if html[at] == ">":
+            return at, told
+
+
+def is_clutter(name: str, attributes: list[tuple[str, str]]) -> tuple[bool, bool]:
     """Whether an element is clutter by its kind or hidden, and whether it may be clutter by its words."""
     if name in DROP:
         return True, False
     if not attributes or name in KEPT:
         return False, False
     doubtful = False
-    for kind, a, b, c in _ATTRIBUTE.findall(attributes):
-        kind, value = kind.lower(), a or b or c
+    for kind, value in attributes:
         if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and "display:none" in value.lower().replace(" ", ""):
             return True, False
         if kind in ("class", "id", "role"):
@@ -152,6 +181,7 @@ def parse(html: str) -> Node:
     root.parts.append(body)
     path = Path(body)
     pos, end = 0, len(html)
+    last = {mark: html.rfind(mark) for mark in "\"'"}
     while pos < end:
         lt = html.find("<", pos)
         if lt < 0:
@@ -169,14 +199,15 @@ def parse(html: str) -> Node:
                 path.nodes[-1].parts.append(html[lt + 9 : close if close >= 0 else end])
             pos = close + len(mark) if close >= 0 else end
             continue
-        m = _TAG.match(html, lt, min(end, lt + LONGEST_TAG)) or _LOOSE.match(html, lt)
+        m = _OPEN.match(html, lt)
         if not m:
             path.nodes[-1].parts.append("<")
             pos = lt + 1
             continue
-        pos = m.end()
-        if not m[0].endswith(">"):
+        close, told = tag_end(html, m.end(), last)
+        if close < 0:
             break  # a tag that the page's end cuts off
+        pos = close + 1
         name = m[2].lower()
         if m[1]:
             at = path.last(name)
@@ -192,7 +223,7 @@ def parse(html: str) -> Node:
             path.cut(path.last("p"))
         if name in IMPLIED and (at := path.first_above(IMPLIED[name], path.scopes[-1])):
             path.cut(at)
-        child = Node(name, path.nodes[-1], *is_clutter(name, m[3]))
+        child = Node(name, path.nodes[-1], *is_clutter(name, told))
         path.nodes[-1].parts.append(child)
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, pos)
@@ -201,7 +232,7 @@ def parse(html: str) -> Node:
                 child.parts.append(html[pos:stop])
             shut = html.find(">", stop)
             pos = shut + 1 if close and shut >= 0 else end
-        elif name not in VOID and not m[3].endswith("/"):
+        elif name not in VOID and html[close - 1] != "/":
             path.open(child)
     settle(root)
     return root
@@ -267,7 +298,7 @@ def blocks(node: Node) -> list[str]:
     line: list[str] = []
 
     def flush():
-        text = " ".join(unescape("".join(line)).split())
+        text = " ".join("".join(line).split())
         if text:
             out.append(text)
         line.clear()
@@ -281,7 +312,8 @@ def blocks(node: Node) -> list[str]:
             p = n.parts[i]
             i += 1
             if isinstance(p, str):
-                line.append(p)
+                # a character reference ends with its text: no tag or comment lies within one
+                line.append(unescape(p))
             elif not p.dropped:
                 if p.name in VOID:
                     if p.name in ("br", "hr"):
