@@ -261,7 +261,7 @@ def run_provenance(spark, sf_dir):
 
 
 _STAGES = [runs.Stage("literature", print, ("/w/sites.csv",), ("/w/lit.csv",)), runs.Stage("geo", print, ("/w/ref.csv",), ("/w/mapped.csv",)), runs.Stage("merge", print, ("/w/lit.csv", "/w/mapped.csv"), ("/w/out.csv",))]
-_RESULTS = {"literature": ("ok", 1.0), "geo": ("skipped", 0.0), "merge": ("ok", 2.0)}
+_RESULTS = {"literature": runs.Result("ok", 1.0), "geo": runs.Result("skipped", 0.0), "merge": runs.Result("ok", 2.0)}
 
 
 def _manifest_sql() -> str:
@@ -389,12 +389,16 @@ def index_candidates(spark, sf_dir):
 
 
 @query("""
-    WITH known AS (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS k FROM customer WHERE c_acctbal > 8000)
-    SELECT s_name AS raw, CASE WHEN CAST(s_nationkey AS VARCHAR) IN (SELECT k FROM known) THEN CAST(s_nationkey AS VARCHAR) ELSE r_name END AS scope FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+    WITH known AS (SELECT DISTINCT c_nationkey || '/' || c_mktsegment AS k FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_nationkey % 3 = 0),
+    v AS (SELECT s_name AS raw, s_nationkey || '/' || CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'MACHINERY' END AS narrow, r_name AS wider FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+    SELECT raw, CASE WHEN narrow IN (SELECT k FROM known) THEN narrow ELSE wider END AS scope FROM v""")
 def widened(spark, sf_dir):
+    """Suppliers of a nation and kind, searched for in the region where no customer of the index has both."""
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    values = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("raw"), F.col("s_nationkey").cast("string").alias("scope"), F.col("r_name").alias("wider"))
-    index = table(spark, sf_dir, "customer").where("c_acctbal > 8000").select(F.col("c_nationkey").cast("string").alias("scope"))
+    key = lambda nation, kind: F.concat(F.col(nation).cast("string"), F.lit("/"), kind)
+    kind = F.when(F.col("s_suppkey") % 2 == 0, "BUILDING").otherwise("MACHINERY")
+    values = table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("raw"), key("s_nationkey", kind).alias("scope"), F.col("r_name").alias("wider"))
+    index = table(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING' or c_nationkey % 3 = 0").select(key("c_nationkey", F.col("c_mktsegment")).alias("scope"))
     return matching.widened(values, index, "scope", "wider").select("raw", "scope")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from pathlib import Path
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,16 @@ class Stage:
     run: Callable[[], object]
     inputs: tuple[str, ...] = ()
     outputs: tuple[str, ...] = ()
+    parameters: dict = field(default_factory=dict)
+
+
+class Result(NamedTuple):
+    status: str
+    seconds: float
+    error: Exception | None = None
+
+
+log = logging.getLogger(__name__)
 
 
 def preflight(stages: list[Stage], mode: str) -> list[str]:
@@ -37,27 +49,29 @@ def preflight(stages: list[Stage], mode: str) -> list[str]:
     return [p for p in dict.fromkeys(needed) if not file_info(p)[0]]
 
 
-def execute(stages: list[Stage], mode: str = "full") -> dict[str, tuple[str, float]]:
-    """Stage -> (ok, skipped or failed, seconds); a failure ends the run, a failed preflight raises before it."""
+def execute(stages: list[Stage], mode: str = "full") -> dict[str, Result]:
+    """Stage -> Result (ok, skipped or failed); a failure, whose exception is kept and logged, ends the run, a failed preflight raises before it."""
     if lost := preflight(stages, mode):
         raise FileNotFoundError(", ".join(lost))
-    out: dict[str, tuple[str, float]] = {}
+    out: dict[str, Result] = {}
     for s in stages:
         if s.name not in MODES[mode]:
-            out[s.name] = ("skipped", 0.0)
+            out[s.name] = Result("skipped", 0.0)
             continue
         began = time.monotonic()
         try:
             s.run()
-        except Exception:  # noqa: BLE001  a stage's failure is a result
-            out[s.name] = ("failed", time.monotonic() - began)
+        except Exception as error:  # noqa: BLE001  a stage's failure is a result
+            log.exception("stage %s failed", s.name)
+            out[s.name] = Result("failed", time.monotonic() - began, error)
             break
-        out[s.name] = ("ok", time.monotonic() - began)
+        out[s.name] = Result("ok", time.monotonic() - began)
     return out
 
 
-def summary(results: dict[str, tuple[str, float]]) -> str:
-    return "\n".join(f"{n}: {'PASS' if s != 'failed' else 'FAIL'} ({s}, {duration(t)})" for n, (s, t) in results.items())
+def summary(results: dict[str, Result]) -> str:
+    said = lambda r: f"{'FAIL' if r.status in ('failed', 'not reached') else 'PASS'} ({r.status}, {duration(r.seconds)})" + (f": {r.error!r}" if r.error else "")
+    return "\n".join(f"{n}: {said(r)}" for n, r in results.items())
 
 
 def ending(passed: bool, strict: bool) -> int:
@@ -120,7 +134,7 @@ def provenance(spark: SparkSession, names: Names, started: datetime, ended: date
     return spark.createDataFrame(facts, SCHEMA)
 
 
-def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: dict[str, tuple[str, float]], started: datetime, ended: datetime, scripts: dict[str, str]) -> DataFrame:
+def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: dict[str, Result], started: datetime, ended: datetime, scripts: dict[str, str]) -> DataFrame:
     """The provenance of a run of stages: an activity for the run and one for each stage that it informed.
 
     A stage that ran used its inputs and generated its outputs, which derive from them; a skipped one used the outputs
@@ -135,7 +149,7 @@ def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: di
     facts = [ref(run, f"{RDF}type", f"{PROV}Activity"), val(run, f"{RDFS}label", f"Enrichment run {when}", lang="en"), val(run, f"{PROV}startedAtTime", stamp(started), "dateTime"), val(run, f"{PROV}endedAtTime", stamp(ended), "dateTime")]
     made = {o for s in stages for o in s.outputs}
     for stage in stages:
-        status = results.get(stage.name, ("not reached", 0.0))[0]
+        status = results.get(stage.name, Result("not reached", 0.0)).status
         node, agent = f"{run}_{stage.name}", entity(scripts[stage.name])
         note = "" if status == "ok" else f" ({status})"
         facts += [ref(node, f"{RDF}type", f"{PROV}Activity"), val(node, f"{RDFS}label", f"Stage {stage.name}{note}", lang="en"), ref(node, f"{PROV}wasInformedBy", run), ref(node, f"{PROV}wasAssociatedWith", agent)]

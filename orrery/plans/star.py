@@ -224,14 +224,24 @@ def transitive_fallback(spark, sf_dir):
 
 
 @query(f"""
-    WITH best AS ({_best(_SCOPED, _CUSTOMERS, "scope", 0.7)})
-    SELECT v.raw, v.scope, b.qid, CASE WHEN b.qid IS NULL THEN 'none' ELSE 'stage 1' END AS stage FROM {_SCOPED} v LEFT JOIN best b ON v.raw = b.raw AND v.scope = b.scope""")
+    WITH best AS ({_best(_SCOPED, _CUSTOMERS, "scope", 0.7)}),
+    v AS (SELECT raw, scope FROM {_SCOPED} UNION ALL SELECT raw || ' bei ' || n_name, scope FROM {_SCOPED} s JOIN nation ON scope = n_nationkey),
+    tried AS ({_best("(SELECT raw || ' bei ' || n_name AS raw, scope FROM " + _SCOPED + " s JOIN nation ON scope = n_nationkey)", _CUSTOMERS, "scope", 0.7)}),
+    first AS (SELECT raw, scope, qid FROM best WHERE qid IS NOT NULL UNION ALL SELECT raw, scope, qid FROM tried WHERE qid IS NOT NULL),
+    parts AS (SELECT raw, scope, 'S' || min(CAST(s_suppkey AS VARCHAR)) AS qid FROM (SELECT raw, scope, regexp_replace(raw, ' bei .*$', '') AS short FROM v) JOIN supplier ON s_name = short AND s_nationkey = scope GROUP BY 1, 2)
+    SELECT v.raw, v.scope, coalesce(f.qid, p.qid) AS qid, CASE WHEN f.qid IS NOT NULL THEN 'stage 1' WHEN p.qid IS NOT NULL THEN 'stage 2' ELSE 'none' END AS stage
+    FROM v LEFT JOIN first f ON v.raw = f.raw AND v.scope = f.scope LEFT JOIN parts p ON v.raw = p.raw AND v.scope = p.scope""")
 def two_stage_fallback(spark, sf_dir):
+    """Suppliers' names, plain and with the place that they lie at, first among the customers of their nation, then by label anywhere below it."""
     values, index = (t.withColumn("scope", F.col("scope").cast("string")) for t in _scoped(spark, sf_dir))
-    labels = spark.createDataFrame([("Q0", "nowhere")], "item string, label string")
-    parts = read(spark, sf_dir, "nation").select(F.lit("Q0").alias("item"), F.col("n_nationkey").cast("string").alias("parent"))
-    found = matching.two_stage(values, index, labels, parts, "scope", 0.7, "Altstadt")
-    return found.select("raw", F.col("scope").cast("int").alias("scope"), "qid", F.when(F.col("qid").isNull(), "none").otherwise("stage 1").alias("stage"))
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("scope"), "n_name")
+    at = values.join(n, "scope").withColumn("raw", F.concat("raw", F.lit(" bei "), "n_name")).withColumn("name", F.col("raw")).select(*values.columns)
+    s = read(spark, sf_dir, "supplier")
+    item, half = F.concat(F.lit("S"), F.col("s_suppkey").cast("string")), F.concat(F.lit("half"), (F.col("s_suppkey") % 2).cast("string"), F.lit("/"), F.col("s_nationkey").cast("string"))
+    parts = s.select(item.alias("item"), half.alias("parent")).unionByName(s.select(half.alias("item"), F.col("s_nationkey").cast("string").alias("parent")).distinct())
+    found = matching.two_stage(values.unionByName(at), index, s.select(item.alias("item"), F.col("s_name").alias("label")), parts, "scope", 0.7, "Altstadt")
+    stage = F.when(F.col("qid").isNull(), "none").when(F.col("qid").startswith("S"), "stage 2").otherwise("stage 1")
+    return found.select("raw", F.col("scope").cast("int").alias("scope"), "qid", stage.alias("stage"))
 
 
 # -- triples ------------------------------------------------------------------------------------------------------

@@ -47,3 +47,10 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_both_branches_occur(spark):
+    stages = {r["stage"] for r in star.QUERIES["two_stage_fallback"](spark, SF).select("stage").distinct().collect()}
+    assert {"stage 1", "stage 2"} <= stages
+    scopes = [r["scope"] for r in star.QUERIES["widened"](spark, SF).collect()]
+    assert any("/" in s for s in scopes) and not all("/" in s for s in scopes)
