@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.operators.triples import RDF, RDFS, SKOS, Graph, Names
+from orrery.sources.graphstore import GraphStore
 
 
-def match(triples: DataFrame | Graph, p: str | list[str] | None, s: str = "s", o: str | None = "o", where: Column | None = None, more: dict[str, str] | None = None) -> DataFrame:
+def match(triples: DataFrame | Graph | GraphStore, p: str | list[str] | None, s: str = "s", o: str | None = "o", where: Column | None = None, more: dict[str, str] | None = None) -> DataFrame:
     """One pattern as a table of its variables: the subject as `s`, the object as `o` (None: not wanted); `more` names further columns."""
-    if isinstance(triples, Graph):
+    if isinstance(triples, (Graph, GraphStore)):
         triples = triples.of(*([p] if isinstance(p, str) else p or []))
     elif p is not None:
         triples = triples.where(F.col("p").isin(*p) if isinstance(p, list) else F.col("p") == p)
@@ -35,13 +36,13 @@ def minus(first: DataFrame, other: DataFrame) -> DataFrame:
     return first.join(other, [c for c in other.columns if c in first.columns], "left_anti")
 
 
-def of_class(triples: DataFrame | Graph, kind: str, s: str = "s") -> DataFrame:
+def of_class(triples: DataFrame | Graph | GraphStore, kind: str, s: str = "s") -> DataFrame:
     return match(triples, f"{RDF}type", s, None, F.col("o") == kind)
 
 
-def property_table(triples: DataFrame | Graph, kind: str, properties: dict[str, str]) -> DataFrame:
+def property_table(triples: DataFrame | Graph | GraphStore, kind: str, properties: dict[str, str]) -> DataFrame:
     """One row a subject of a class with a column a property (the least value): chains of self-joins become one aggregation."""
-    if isinstance(triples, Graph):
+    if isinstance(triples, (Graph, GraphStore)):
         triples = triples.of(f"{RDF}type", *properties.values())
     wanted = F.col("p").isin(f"{RDF}type", *properties.values())
     cells = [F.min(F.when(F.col("p") == p, F.col("o"))).alias(c) for c, p in properties.items()]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from orrery.operators import audit, entailment, graph, shapes, triples
-from orrery.operators.triples import RDF
+from orrery.operators import audit, entailment, graph, shapes, substring, triples
+from orrery.operators.triples import RDF, RDFS
 from orrery.plans.star import TRIPLES, T, _p, query, read, star_triples
+from orrery.sources.graphstore import GraphStore
 
 # -- entailment ---------------------------------------------------------------------------------------------------
 
@@ -109,3 +112,23 @@ def audit_leaks(spark, sf_dir):
     SELECT "column", filled, leaked, CASE WHEN leaked = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM f""")
 def audit_status(spark, sf_dir):
     return audit.status(_audited(spark, sf_dir), star_triples(spark, sf_dir), ["remark", "owner", "number", "nation"], ["id"])
+
+
+# -- stored graphs and indexes ------------------------------------------------------------------------------------
+
+
+@query(f"SELECT a.s, a.o AS nation, b.o AS name FROM ({TRIPLES}) a JOIN ({TRIPLES}) b ON a.s = b.s WHERE a.p = '{T}inNation' AND b.p = '{RDFS}label'")
+def stored_pattern(spark, sf_dir):
+    """Two patterns of one subject over the graph as it is stored by predicate, after it was appended twice."""
+    store = GraphStore(spark, f"graph_{uuid.uuid4().hex}", 8)
+    made = star_triples(spark, sf_dir)
+    store.append(made.where(F.col("p") != f"{RDFS}label"))
+    store.append(made)
+    return store.join_on_subject(f"{T}inNation", f"{RDFS}label").toDF("s", "nation", "name")
+
+
+@query(f"SELECT s, p, o FROM ({TRIPLES}) WHERE o_kind = 'lit' AND contains(lower(o), 'r#00000001')")
+def literal_search(spark, sf_dir):
+    """Statements whose literal holds a text, found by trigrams."""
+    made = graph.stored(star_triples(spark, sf_dir))
+    return substring.SubstringIndex(made).statements(made, "R#00000001").select("s", "p", "o")
