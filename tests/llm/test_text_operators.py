@@ -464,12 +464,20 @@ def test_licenses(spark):
             want.add((len(docs) - 1, name))
     docs += [say(2000)]
     rows = licenses.scan(spark.createDataFrame([(i, t, "l") for i, t in enumerate(docs)], "doc_id long, text string, license string")).collect()
-    got = Counter((r.doc_id, r.license) for r in rows)
-    assert want <= set(got)
-    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.CONTAINMENT)
-    for d, name in set(got) - want:  # a shorter notice inside a longer one
-        own, s = scanner.sets[scanner.names.index(name)], scanner.shingles(docs[d])
-        assert len(np.intersect1d(own, s)) >= licenses.CONTAINMENT * len(own)
+    # exactly its own identifier, siblings and parts of it not
+    assert {(r.doc_id, r.license) for r in rows} == want
+
+
+def test_license_siblings(spark):
+    gpl = licenses.TEMPLATES["GPL-3.0 line"]
+    bsd = licenses.TEMPLATES["BSD-3-Clause"]
+    docs = {gpl: "GPL-3.0 line", gpl.replace("3", "2"): "GPL-2.0 line", gpl.replace("3", "4"): None, bsd: "BSD-3-Clause", bsd.replace("Redistributions of source", "1. Redistributions of source"): "BSD-3-Clause", bsd.replace("Neither the name of the copyright holder", "Neither the name of ACME"): "BSD-3-Clause"}
+    docs |= {f"{licenses.TEMPLATES['MIT']} {licenses.TEMPLATES['MIT permission']}": "MIT"}
+    rows = licenses.scan(spark.createDataFrame([*enumerate(docs)], "doc_id long, text string")).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert [got.get(i, {None}) for i in range(6)] == [{x} for x in [*docs.values()][:6]] and got[6] == {"MIT", "MIT permission"}
 
 
 def plain_containment(words, template):
@@ -483,17 +491,19 @@ def test_license_recall(spark):
     """Copies with words changed, dropped and added, against exact containment at every offset."""
     rng = random.Random(16)
     words = lambda t: re.findall("[0-9a-z\x80-\U0010ffff]+", t.translate(AZ))
-    names, docs, near = [*licenses.TEMPLATES], [], []
+    names, docs, planted = [*licenses.TEMPLATES], [], []
     for i in range(300):
-        w = words(licenses.TEMPLATES[rng.choice(names)])
+        planted.append(rng.choice(names))
+        w = words(licenses.TEMPLATES[planted[-1]])
         for _ in range(rng.randint(0, max(1, len(w) // 14))):
             at = rng.randrange(len(w))
             w[at : at + 1] = rng.choice([[], ["zz"], [w[at], "yy"]])
         docs.append([*rng.choices(["alpha", "under", "the", "license"], k=rng.randint(0, 50)), *w, *rng.choices(["beta", "of", "gamma"], k=rng.randint(0, 50))])
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
     got = {(r.doc_id, r.license) for r in licenses.scan(df).collect()}
-    want = {(i, n) for i, w in enumerate(docs) for n in names if plain_containment(w, words(licenses.TEMPLATES[n])) >= licenses.CONTAINMENT}
-    assert len(want) > 250 and len(want - got) <= 0.01 * len(want)
+    held = {(i, n) for i, (w, n) in enumerate(zip(docs, planted)) if plain_containment(w, words(licenses.TEMPLATES[n])) >= licenses.CONTAINMENT}
+    # found as what they are (an edit may take the one word that tells), and hardly anything else
+    assert len(held) > 250 and len(held - got) <= 0.05 * len(held) and len(got - {*enumerate(planted)}) <= 0.05 * len(got)
 
 
 @pytest.mark.parametrize("times", [1, 2, 3, 7])
