@@ -6,10 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from orrery.operators import audit, entailment, graph, shapes, substring, triples
+from orrery.operators import audit, entailment, graph, matching, shapes, substring, triples
 from orrery.operators.triples import RDF, RDFS
 from orrery.plans.star import TRIPLES, T, _p, query, read, star_triples
+from orrery.sources import remote
 from orrery.sources.graphstore import GraphStore
+from orrery.sources.write import shared
 
 # -- entailment ---------------------------------------------------------------------------------------------------
 
@@ -132,3 +134,22 @@ def literal_search(spark, sf_dir):
     """Statements whose literal holds a text, found by trigrams."""
     made = graph.stored(star_triples(spark, sf_dir))
     return substring.SubstringIndex(made).statements(made, "R#00000001").select("s", "p", "o")
+
+
+# -- a remote source ----------------------------------------------------------------------------------------------
+
+
+@query("""
+    SELECT lower(trim(c_name)) AS key, c_nationkey || '/' || c_mktsegment AS scope, 'Q' || min(c_custkey) AS qid, arg_min(c_name, c_custkey) AS label
+    FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier) GROUP BY 1, 2""")
+def remote_index(spark, sf_dir):
+    """The label index of the scopes that suppliers need, from a service that is asked a batch of scopes at a time; files stand for it."""
+    schema = "item string, label string, label_type string, scope string, ord long"
+    scope = F.concat(F.col("c_nationkey").cast("string"), F.lit("/"), "c_mktsegment")
+    c = read(spark, sf_dir, "customer").withColumn("scope", scope)
+    mirror = shared(spark, "mirror")
+    c.select(F.concat(F.lit("Q"), F.col("c_custkey").cast("string")).alias("item"), F.col("c_name").alias("label"), F.lit("rdfs:label").alias("label_type"), "scope", F.col("c_custkey").cast("long").alias("ord")).write.parquet(mirror)
+    nations = read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("c_nationkey")).distinct()
+    wanted = c.join(nations, "c_nationkey", "left_semi").select("scope").distinct()
+    rows = remote.fetched(wanted, remote.file_transport(mirror, "scope", [x.split()[0] for x in schema.split(", ")]), schema, pause=0.0)
+    return matching.label_index(rows, "scope").select("key", "scope", "qid", "label")
