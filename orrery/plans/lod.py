@@ -264,6 +264,9 @@ _STAGES = [runs.Stage("literature", print, ("/w/sites.csv",), ("/w/lit.csv",)),
 _RESULTS = {"literature": runs.Result("ok", 1.0), "geo": runs.Result("skipped", 0.0), "merge": runs.Result("ok", 2.0)}
 
 
+_MANIFEST_CELL = "CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN '  ' ELSE event_type END"
+
+
 def _manifest_sql() -> str:
     d, prov, run = NAMES.data, triples.PROV, f"{NAMES.data}enrichment_run_2024-03-01T10-20-30Z"
     label = lambda s, x, lang=None: (s, f"{RDFS}label", x, "lit", None, lang)
@@ -279,12 +282,20 @@ def _manifest_sql() -> str:
         facts += [*kind(f"{d}{x}_csv", "Entity"), label(f"{d}{x}_csv", f"{x}.csv"), ref(f"{d}{x}_csv", "atLocation", f"file:///w/{x}.csv")]
     facts += [ref(f"{d}lit_csv", "wasGeneratedBy", f"{run}_literature"), ref(f"{d}lit_csv", "wasDerivedFrom", f"{d}sites_csv"), ref(f"{d}out_csv", "wasGeneratedBy", f"{run}_merge"), *(ref(f"{d}out_csv", "wasDerivedFrom", f"{d}{x}_csv") for x in ("lit", "mapped"))]
     q = lambda x: "NULL" if x is None else f"'{x}'"
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(q, f)) + ')' for f in facts)}) AS t(s, p, o, o_kind, o_dt, o_lang)"
+    said = f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(q, f)) + ')' for f in facts)}) AS t(s, p, o, o_kind, o_dt, o_lang)"
+    count = lambda file, name, what, source: f" UNION ALL SELECT '{d}{file}_csv', '{d}{name}', CAST({what} AS VARCHAR), 'lit', '{XSD}integer', NULL FROM {source}"
+    filled = lambda c: f"count(*) FILTER (WHERE {c} IS NOT NULL AND trim({c}) <> '' AND lower(trim({c})) <> 'nan')"
+    events = f"(SELECT event_type, {_MANIFEST_CELL} AS note FROM events)"
+    for file, source, columns in (("sites", "customer", ["c_name", "c_mktsegment"]), ("out", events, ["event_type", "note"])):
+        said += count(file, "rowCount", "count(*)", source) + "".join(count(file, f"filled_{c}", filled(c), source) for c in columns)
+    return said
 
 
 @query(_manifest_sql())
 def run_manifest(spark, sf_dir):
-    return runs.manifest(spark, NAMES, _STAGES, _RESULTS, _AT, _AT, {s.name: f"/w/{s.name}.py" for s in _STAGES})
+    """A run whose first input holds the customers and whose output the events, with their rows and filled cells."""
+    held = {"/w/sites.csv": table(spark, sf_dir, "customer").select("c_name", "c_mktsegment"), "/w/out.csv": table(spark, sf_dir, "events").select("event_type", F.expr(_MANIFEST_CELL).alias("note"))}
+    return runs.manifest(spark, NAMES, _STAGES, _RESULTS, _AT, _AT, {s.name: f"/w/{s.name}.py" for s in _STAGES}, held)
 
 
 # -- sources and sinks --------------------------------------------------------------------------------------------

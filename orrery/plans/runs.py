@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery.operators.graph import root
+from orrery.operators.tables import filled_counts
 from orrery.operators.triples import PROV, RDF, RDFS, SCHEMA, XSD, Names
 from orrery.sources.read import file_info, file_uri
 from orrery.sources.write import duration
@@ -134,9 +135,11 @@ def provenance(spark: SparkSession, names: Names, started: datetime, ended: date
     return spark.createDataFrame(facts, SCHEMA)
 
 
-def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: dict[str, Result], started: datetime, ended: datetime, scripts: dict[str, str]) -> DataFrame:
+def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: dict[str, Result], started: datetime, ended: datetime, scripts: dict[str, str], tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """The provenance of a run of stages: an activity for the run and one for each stage that it informed.
 
+    `tables`: the table in each file of which rows and filled cells are to be stated, counted in one pass over each.
+
     A stage that ran used its inputs and generated its outputs, which derive from them; a skipped one used the outputs
     that are there from an earlier run. `scripts`: the path of each stage's program.
     """
@@ -160,7 +163,12 @@ def manifest(spark: SparkSession, names: Names, stages: list[Stage], results: di
             facts += [ref(entity(x), f"{RDF}type", f"{PROV}Entity"), val(entity(x), f"{RDFS}label", Path(x).name), ref(entity(x), f"{PROV}atLocation", file_uri(x))]
         if status == "ok":
             facts += [x for o in stage.outputs for x in (ref(entity(o), f"{PROV}wasGeneratedBy", node), *(ref(entity(o), f"{PROV}wasDerivedFrom", entity(i)) for i in stage.inputs))]
-    return spark.createDataFrame([*dict.fromkeys(facts)], SCHEMA)
+    out = spark.createDataFrame([*dict.fromkeys(facts)], SCHEMA)
+    for path, table in (tables or {}).items():
+        node = F.lit(entity(path))
+        counts = filled_counts(table).select(F.inline(F.array(F.struct(F.concat(F.lit(f"{names.data}filled_"), "column").alias("p"), F.col("filled").alias("n")), F.struct(F.lit(f"{names.data}rowCount").alias("p"), F.col("total").alias("n")))))
+        out = out.unionByName(counts.distinct().select(node.alias("s"), "p", F.col("n").cast("string").alias("o"), F.lit("lit").alias("o_kind"), F.lit(f"{XSD}integer").alias("o_dt"), F.lit(None).cast("string").alias("o_lang")))
+    return out
 
 
 def extract(graph: DataFrame, subjects: list[str]) -> DataFrame:
