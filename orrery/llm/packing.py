@@ -1,8 +1,8 @@
 """Packing documents into token sequences along a Hilbert curve.
 
-Every document's token ids are projected to DIMS dimensions by fixed pseudo-random weights (the mean over its ids,
-a hashed bag-of-tokens vector times a random matrix), the projections become cells of a Hilbert curve, and documents
-are range-partitioned by curve position. A hash of the doc_id breaks ties, so a third of all documents may share a
+Every document's bag of token ids is projected to DIMS + 1 dimensions by fixed pseudo-random weights, of which only the
+direction is kept: it depends on the ids' shares, not on how many there are. A direction's first DIMS coordinates lie in
+a ball and become a cell of a Hilbert curve, and documents are range-partitioned by curve position. A hash of the doc_id breaks ties, so a third of all documents may share a
 cell and still spread over partitions. Within each partition neighbours are packed into sequences of at most
 `length` ids; what is left at the end becomes sequences of 2^k ids, which need no padding. Only ids, keys and
 doc_ids are shuffled, once.
@@ -114,8 +114,15 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def weights(n_ids: int, seed: int = 12) -> np.ndarray:
-    """Fixed random weights of each id in each dimension."""
-    return np.random.default_rng(seed).standard_normal((n_ids, DIMS)).astype(np.float32)
+    """Fixed random weights of each id in each dimension, one more than the curve has."""
+    return np.random.default_rng(seed).standard_normal((n_ids, DIMS + 1)).astype(np.float32)
+
+
+def directions(sums: np.ndarray) -> np.ndarray:
+    """Cells of documents, whose ids' weights are summed up in rows: the direction without its last coordinate."""
+    length = np.sqrt((sums.astype(np.float64) ** 2).sum(1, keepdims=True))
+    ball = sums[:, :DIMS] / np.where(length > 0, length, 1)
+    return np.clip((ball + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
 
 
 def encode(docs: DataFrame, vocabulary: str, end_id: int = 1, n_ids: int = 65_536) -> DataFrame:
@@ -129,9 +136,7 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 1, n_ids: int = 65_53
                 ids = [coder(t) + end for t in part.column(1).to_pylist()]
                 flat, n = np.frombuffer(b"".join(ids), "<u2"), np.array([len(x) // 2 for x in ids])
                 starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-                mean = np.add.reduceat(w[flat], starts, axis=0) / np.sqrt(n)[:, None]
-                # standard normal for random ids; real texts lie further out
-                cells = np.clip((np.tanh(mean / 6) + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1)
+                cells = directions(np.add.reduceat(w[flat], starts, axis=0))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hilbert(cells, BITS).astype(np.int64)), pa.array(ids, pa.binary())], names=["doc_id", "curve", "ids"])
         trim()
 
