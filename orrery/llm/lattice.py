@@ -13,7 +13,7 @@ is no input to its score but a further choice that is summed over. So a score is
 text, and the probabilities of all texts sum to one at most.
 
 Words are counted in a sharded table over all rows, each distinct word meets the recursion once, in numpy batches of
-words of like length, and documents only add up its results. The table's most frequent training words (COMMON at most)
+words of like length (a word of over LONG bytes alone, its arcs found window by window), and documents only add up its results. The table's most frequent training words (COMMON at most)
 go out to the tasks, all others meet the documents' words in a join; which words go which way changes no score.
 
 Null and empty texts are an end alone. Rows that repeat, with or without a doc_id, are scored each; a text of any
@@ -42,6 +42,8 @@ from orrery.llm.common import arrow_rows, discard, held_out, lower_words, texts,
 COMMON, ROUNDS, FOLD, GROUPS = 200_000, 3, 7, 6
 #: Words that a task counts before it passes the counts on; words of a batch; bytes from which a word goes through the recursion alone.
 CHUNK, BATCH, LONG = 400_000, 20_000, 64
+#: Bytes of such a word whose arcs are held at a time.
+WINDOW = 1 << 16
 #: Pseudo-count of a piece; what keeps the share of ends and of new words above 0.
 PSEUDO, SMALL = 0.05, 0.5
 LN10 = log(10)
@@ -112,27 +114,40 @@ class Lattice:
             _TRIES[given.trie][given.keys] = given.children
         self.next = _TRIES[given.trie]
 
-    @cached_property
-    def known(self) -> list[dict[bytes, float]]:
-        return [dict(zip(self.given.names, x.tolist())) for x in self.logs.T]
-
-    @cached_property
-    def number(self) -> dict[bytes, int]:
-        return {p: i for i, p in enumerate(self.given.names)}
-
     @cached_property
     def longest(self) -> int:
         return max(map(len, self.given.names))
 
-    def one(self, word: bytes, g: int) -> tuple[list[float], list[list[tuple[float, int, bytes]]]]:
-        """By the scores of column g, log of the summed probability of the ways to each position of `word`, and the arcs into each."""
-        at, arcs, get = [0.0], [], self.known[g].get
-        for j in range(1, len(word) + 1):
-            own = [(at[i] + s, i, word[i:j]) for i in range(max(0, j - self.longest), j) if (s := get(word[i:j])) is not None]
-            top = max(own)[0]
-            at.append(top + log(sum([exp(x[0] - top) for x in own])))
-            arcs.append(own)
-        return at, arcs
+    def windows(self, word: bytes, order: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The arcs of one word by position, window by window of WINDOW bytes (from the last back if `order` is -1): starts, ends, pieces. Single bytes are pieces, so an arc ends at each position."""
+        letters = np.frombuffer(word, np.uint8)
+        for low in range(0, len(word), WINDOW)[::order]:
+            high = min(low + WINDOW, len(word))
+            begin = np.arange(max(0, low + 1 - self.longest), high)
+            alive, node, found, d = begin, np.zeros(len(begin), np.int64), [], 0
+            while len(alive):
+                keep = alive + d < high
+                alive, node = alive[keep], node[keep]
+                node = self.next[256 * node + letters[alive + d]].astype(np.int64)
+                keep = node >= 0
+                alive, node, d = alive[keep], node[keep], d + 1
+                own = self.piece[node]
+                here = (own >= 0) & (alive + d > low)
+                found.append((alive[here], alive[here] + d, own[here]))
+            start, end, piece = (np.concatenate(x) for x in zip(*found))
+            by = np.lexsort((start, end))
+            yield start[by], end[by], piece[by]
+
+    def one(self, word: bytes, g: int) -> np.ndarray:
+        """By the scores of column g, log of the summed probability of the ways to each position of a word of any length."""
+        logs, at, j, own = np.ascontiguousarray(self.logs[:, g]), [0.0], 1, []
+        for start, end, piece in self.windows(word):
+            for i, e, s in zip(start.tolist(), end.tolist(), logs[piece].tolist()):
+                if e != j:
+                    at.append(log_sum(own))
+                    j, own = e, []
+                own.append(at[i] + s)
+        return np.array([*at, log_sum(own)])
 
     def batch(self, words: list[bytes], logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, ...]]]:
         """By scores with one or more columns, log sums at every position of every word, the positions of the words' ends, and the arcs by position: (log sum, start, end, piece)."""
@@ -173,7 +188,7 @@ class Lattice:
         for at in batches(words):
             own = [words[i] for i in at]
             if len(own[-1]) > LONG:
-                out[at] = [[self.one(w, g)[0][-1] for g in range(self.logs.shape[1])] for w in own]
+                out[at] = [[self.one(w, g)[-1] for g in range(self.logs.shape[1])] for w in own]
             else:
                 sums, ends, _ = self.batch(own, self.logs)
                 out[at] = sums[ends]
@@ -199,13 +214,19 @@ class Lattice:
                 np.add.at(into, piece, part)
 
     def _expected_one(self, word: bytes, g: int, into: np.ndarray) -> None:
-        at, arcs = self.one(word, g)
+        at, logs = self.one(word, g), np.ascontiguousarray(self.logs[:, g])
         share = [0.0] * len(word) + [1.0]
-        for j in range(len(word), 0, -1):
-            for x, i, piece in arcs[j - 1]:
-                part = share[j] * exp(x - at[j])
-                into[self.number[piece]] += part
-                share[i] += part
+        for start, end, piece in self.windows(word, -1):
+            passed = np.exp(at[start] + logs[piece] - at[end])
+            for i, e, x in zip(start[::-1].tolist(), end[::-1].tolist(), passed[::-1].tolist()):
+                share[i] += share[e] * x
+            np.add.at(into, piece, np.array(share[end[0] : end[-1] + 1])[end - end[0]] * passed)
+
+
+def log_sum(x: list[float]) -> float:
+    """Log of the sum of exponentials."""
+    top = max(x)
+    return top + log(sum([exp(y - top) for y in x])) if len(x) > 1 else top
 
 
 def batches(words: list[bytes]) -> Iterator[np.ndarray]:

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -424,6 +425,37 @@ def test_word_model_and_lattice(spark, monkeypatch, common, long, trained):
     assert len(rows) == len(want) and all(a == pytest.approx(b) for a, b in zip(rows, want))
 
 
+def textbook(own, word):
+    """Log sums at every position of a word, by every slice that may be a piece."""
+    known, at = dict(zip(own.given.names, own.logs[:, 0].tolist())), [0.0]
+    for j in range(1, len(word) + 1):
+        at.append(float(np.logaddexp.reduce([at[i] + known[word[i:j]] for i in range(max(0, j - own.longest), j) if word[i:j] in known])))
+    return at
+
+
+@pytest.mark.parametrize("window", [1, 7, 300])
+def test_a_long_word_in_windows_equals_the_textbook_sum(monkeypatch, window):
+    rng = random.Random(window)
+    monkeypatch.setattr(lattice, "WINDOW", window)
+    own = lattice.Lattice(lattice.pieces(vocabulary("byte_bpe_50k.tiktoken")))
+    for letters in ("the quick".replace(" ", ""), "x", "日本語テキスト", "0123456789abcdef"):
+        word = b" " + "".join(rng.choices(letters, k=200)).encode()
+        assert own.one(word, 0) == pytest.approx(textbook(own, word))
+        alone, batched = (np.zeros(len(own.logs)) for _ in range(2))
+        own._expected_one(word, 0, alone)
+        monkeypatch.setattr(lattice, "LONG", 1 << 20)
+        own.expected([word], 0, batched)
+        batched[-1] -= 1
+        assert alone == pytest.approx(batched)
+
+
+def test_a_word_of_a_megabyte_takes_seconds():
+    own = lattice.Lattice(lattice.pieces(vocabulary("byte_bpe_50k.tiktoken")))
+    rng, began = random.Random(1), time.process_time()
+    word = b" " + bytes(rng.choices(b"etaoinshrdlu", k=1 << 20))
+    assert math.isfinite(own.one(word, 0)[-1]) and time.process_time() - began < 30
+
+
 def test_lattice_of_a_public_vocabulary(spark):
     pieces = lattice.pieces(vocabulary("byte_bpe_50k.tiktoken"))
     first = pieces.begins()
@@ -432,7 +464,7 @@ def test_lattice_of_a_public_vocabulary(spark):
     assert max(map(len, pieces.names)) > 16 and b" the" in pieces.names
     own = lattice.Lattice(pieces)
     words = [b" the", " übermäßig".encode(), b" " + b"x" * 5000, b" " + bytes(range(128, 200))]
-    assert own.forward(words)[:, 0] == pytest.approx([own.one(w, 0)[0][-1] + own.logs[-1, 0] for w in words])
+    assert own.forward(words)[:, 0] == pytest.approx([textbook(own, w)[-1] + own.logs[-1, 0] for w in words])
     assert lattice.score(spark.createDataFrame([], "doc_id long, text string, lang string"), pieces).count() == 0
     long = spark.createDataFrame([(0, "word " * 300_000, "a"), (1, "y" * 300_000, None), (1, "y" * 300_000, None)], "doc_id long, text string, lang string")
     rows = lattice.score(long, pieces).collect()
@@ -443,11 +475,11 @@ def test_lattice_sums_all_segmentations():
     rng = random.Random(5)
     own = lattice.Lattice(lattice.trie({b" ": 1.0, b" a": 2.0, b" ab": 2.5, b"a": 1.0, b"b": 1.5, b"ab": 2.0, b"ba": 2.2}))
     words = [b" " + bytes(rng.choices(b"ab", k=rng.randint(1, 9))) for _ in range(40)]
-    p = {x: math.exp(s) for x, s in own.known[0].items()}
+    p = dict(zip(own.given.names, np.exp(own.logs[:, 0]).tolist()))
     assert own.forward(words)[:, 0] == pytest.approx([math.log(sum(math.prod(p[x] for x in s) for s in segmentations(w, p))) + own.logs[-1, 0] for w in words])
     into = np.zeros(8)
     own.expected(words, 0, into)
-    assert sum(n * len(x) for x, n in zip(own.number, into)) == pytest.approx(sum(map(len, words))) and into[-1] == 40
+    assert sum(n * len(x) for x, n in zip(own.given.names, into)) == pytest.approx(sum(map(len, words))) and into[-1] == 40
 
 
 def test_licenses(spark):
