@@ -129,14 +129,15 @@ def encode(docs: DataFrame, vocabulary: str, end_id: int = 1, n_ids: int = 65_53
     """(doc_id, key, ids): token ids as 16-bit binary and the curve position with its tie-breaking bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, w, end = encoder(vocabulary), weights(n_ids), end_id.to_bytes(2, "little")
+        coder, end = encoder(vocabulary), end_id.to_bytes(2, "little")
+        columns = [np.ascontiguousarray(w) for w in weights(n_ids).T]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 ids = [coder(t) + end for t in part.column(1).to_pylist()]
                 flat, n = np.frombuffer(b"".join(ids), "<u2"), np.array([len(x) // 2 for x in ids])
                 starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-                cells = directions(np.add.reduceat(w[flat], starts, axis=0))
+                cells = directions(np.stack([np.add.reduceat(w[flat], starts) for w in columns], 1))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hilbert(cells, BITS).astype(np.int64)), pa.array(ids, pa.binary())], names=["doc_id", "curve", "ids"])
         trim()
 
