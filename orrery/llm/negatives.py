@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from orrery.llm.common import arrow_rows, hashed_sample, written
 
-#: Rows of a block, pivots, rows that the pivots are chosen from, key buckets of a pivot, and groups of anchors that share a copy of a block.
-BLOCK, PIVOTS, SAMPLE, BUCKETS, GROUPS = 1024, 32, 2048, 256, 512
+#: Rows of a block, pivots, rows that the pivots are chosen from, parts that the groups at a pivot are dealt over, and groups of anchors that share a copy of a block.
+BLOCK, PIVOTS, SAMPLE, PARTS, GROUPS = 1024, 32, 2048, 16, 512
 #: No score is this large.
 FAR = 1 << 62
 _STORE = "block long, pivot int, low double, high double, n int, ids binary, labels binary, vectors binary"
@@ -89,7 +89,6 @@ class Index:
         sample = matrix([r["q"] for r in hashed_sample(vectors.select("vec_id", "q"), "vec_id", SAMPLE).collect()], self.dims)
         pivots = choose_pivots(augmented(sample, self.most), PIVOTS) if len(sample) else np.zeros((1, self.dims + 1))
         self.pivots = spark.sparkContext.broadcast(pivots)
-        self.width = 2 * (self.most**0.5 + self.slack) * 2**0.5 / BUCKETS
         sent, dims, most = self.pivots, self.dims, self.most
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +135,7 @@ class Index:
 
     def needed(self, aimed: DataFrame) -> DataFrame:
         """(group, block): other blocks that may hold rows for a group's goals."""
-        sent, dims, most, slack, width = self.pivots, self.dims, self.most, self.slack, self.width
+        sent, dims, most, slack = self.pivots, self.dims, self.most, self.slack
 
         def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -154,12 +153,11 @@ class Index:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.float64(), pa.float64()))], names=["group", "pivot", "low", "high"])
 
-        bucket = lambda c: F.least(F.floor(F.col(c) / width), F.lit(BUCKETS)).cast("int")
-        over = lambda df: df.withColumn("bucket", F.explode(F.sequence(bucket("low"), bucket("high"))))
-        wanted = over(aimed.select("group", "vectors", "goals").mapInArrow(intervals, "group long, pivot int, low double, high double").where("low <= high"))
-        there = over(self.store.select("block", "pivot", F.col("low").alias("low"), F.col("high").alias("high"))).alias("b")
-        met = wanted.alias("g").join(there, ["pivot", "bucket"]).where("g.low <= b.high and g.high >= b.low and group <> block")
-        return met.select("group", "block").distinct()
+        wanted = aimed.select("group", "vectors", "goals").mapInArrow(intervals, "group long, pivot int, low double, high double").where("low <= high").withColumn("part", F.pmod(F.xxhash64("group"), F.lit(PARTS)).cast("int"))
+        there = self.store.select("block", "pivot", "low", "high").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).alias("b")
+        met = _met(wanted.alias("g"), there, ["pivot", "part"]).where("g.low <= b.high and g.high >= b.low and group <> block")
+        # a block has one pivot, so each pair is met once
+        return met.select("group", "block")
 
     def scan(self, aimed: DataFrame, pairs: DataFrame, same: bool, k: int) -> DataFrame:
         """The first k rows of each goal within each block that its group is paired with."""
@@ -190,25 +188,30 @@ class Index:
 
         salts = max(1, self.groups.count() // GROUPS)
         columns = ["block", "salt", "group", "ids", "labels", "vectors", "goals"]
-        asked = pairs.join(aimed, "group").withColumn("salt", F.pmod(F.xxhash64("group"), F.lit(salts)).cast("int")).select(*columns)
-        blocks = self.store.join(pairs.select("block").distinct(), "block", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        asked = _met(pairs, aimed, ["group"]).withColumn("salt", F.pmod(F.xxhash64("group"), F.lit(salts)).cast("int")).select(*columns)
+        blocks = _met(self.store, pairs.select("block").distinct(), ["block"], "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         blocks = blocks.select("block", "salt", F.lit(None).cast("long").alias("group"), "ids", "labels", "vectors", F.lit(None).cast(aimed.schema["goals"].dataType).alias("goals"))
         return blocks.unionByName(asked).repartition("block", "salt").sortWithinPartitions("block", "salt", F.col("group").asc_nulls_first()).mapInArrow(run, _FOUND)
 
     def nearest(self, goals: DataFrame, same: bool, k: int) -> DataFrame:
         """(group, place, rank, score, vec_id, nth): for each goal (group, place, rank, top, low) the first k rows of the anchor's label, or of others, with scores from low to top."""
         goals = written(goals.where("low <= top"), "goals")
-        aim = lambda g: self.groups.join(g.groupBy("group").agg(F.collect_list(F.struct("place", "rank", "top", "low")).alias("goals")), "group")
+        aim = lambda g: _met(self.groups, g.groupBy("group").agg(F.collect_list(F.struct("place", "rank", "top", "low")).alias("goals")), ["group"])
         home = written(self.scan(aim(goals), goals.select("group", F.col("group").alias("block")).distinct(), same, k), "home")
         of = ["group", "place", "rank"]
         bound = home.groupBy(*of).agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") >= k)
-        closer = goals.join(bound, of, "left").withColumn("low", F.greatest("low", F.coalesce("kth", "low"))).select(*goals.columns)
+        closer = _met(goals, bound, of, "left").withColumn("low", F.greatest("low", F.coalesce("kth", "low"))).select(*goals.columns)
         aimed = written(aim(closer), "aimed")
         rest = self.scan(aimed, written(self.needed(aimed), "needed"), same, k)
         nth = F.row_number().over(Window.partitionBy(*of).orderBy(F.desc("score"), "vec_id"))
         return written(home.unionByName(rest).withColumn("nth", nth).where(F.col("nth") <= k), "nearest")
 
 
+def _met(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join by shuffle: pairs of groups and blocks compress to files far smaller than their rows, so that a plan that goes by the size of files would send them through the driver."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _block(number: int, rows: list[tuple]) -> tuple:
     ids, labels, vectors, pivots, keys = zip(*rows)
     return number, pivots[0], keys[0], keys[-1], len(rows), np.array(ids, np.int64).tobytes(), np.array(labels, np.int64).tobytes(), b"".join(vectors)
@@ -233,6 +236,6 @@ def hard_negatives(vectors: DataFrame, anchor_every: int = 100, k: int = 5, perc
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64()))], names=["group", "place", "anchor_id"])
 
     anchors = index.groups.select("group", "ids").mapInArrow(named, "group long, place int, anchor_id long")
-    return found.join(positives, ["group", "place", "rank"]).join(anchors, ["group", "place"]).select(
+    return _met(_met(found, positives, ["group", "place", "rank"]), anchors, ["group", "place"]).select(
         "anchor_id", "positive_id", F.col("nth").alias("rank"), F.col("vec_id").alias("negative_id"), F.col("top").alias("positive_score"), F.col("score").alias("negative_score")
     )

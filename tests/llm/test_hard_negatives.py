@@ -54,6 +54,23 @@ def test_keys_exclude_blocks_of_clustered_vectors(spark, monkeypatch):
     assert index.needed(aimed).count() < 0.4 * index.groups.count() * index.store.count()
 
 
+def test_nothing_that_grows_with_pairs_goes_through_the_driver(spark, monkeypatch, capsys):
+    monkeypatch.setattr(negatives, "BLOCK", 32)
+    plans, kept = [], negatives.written
+
+    def shown(df, name):
+        df.explain()
+        plans.append((name, capsys.readouterr().out))
+        return kept(df, name)
+
+    monkeypatch.setattr(negatives, "written", shown)
+    rows = clustered(np.random.default_rng(7), 600, 8, 10, 0.3)
+    out = negatives.hard_negatives(negatives.quantized(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)))
+    shown(out, "out")
+    assert {"home", "aimed", "needed", "nearest", "out"} <= {n for n, _ in plans}
+    assert not [n for n, p in plans if "Broadcast" in p]
+
+
 def test_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(negatives, "BLOCK", 16)
     rng = np.random.default_rng(3)
