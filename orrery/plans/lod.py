@@ -66,7 +66,8 @@ CELLS = {
 
 def sites(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    customers = table(spark, sf_dir, "customer")
+    c = triples.spread(customers, triples.SITE_FACTS, customers.count()).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return c.select(*(F.expr(x).cast("string").alias(name) for name, x in CELLS.items()))
 
 
@@ -199,13 +200,13 @@ def _site_sql() -> str:
         SELECT * FROM ({rows}) WHERE s IS NOT NULL AND o IS NOT NULL UNION {agent}"""
 
 
-def _site_triples(spark, sf_dir) -> DataFrame:
-    return triples.union(triples.site_triples(sites(spark, sf_dir), NAMES, COMPOUNDS, LAND_BY_QID), triples.constant_triples(spark, NAMES))
+def _site_statements(spark, sf_dir) -> DataFrame:
+    return triples.together(triples.site_statements(sites(spark, sf_dir), NAMES, COMPOUNDS, LAND_BY_QID), triples.constant_triples(spark, NAMES))
 
 
 @query(_site_sql())
 def site_facts(spark, sf_dir):
-    return _site_triples(spark, sf_dir)
+    return _site_statements(spark, sf_dir).dropDuplicates()
 
 
 @query("""
@@ -219,7 +220,7 @@ def site_log(spark, sf_dir):
 
 @query(f"SELECT DISTINCT p FROM ({_site_sql()}) x WHERE starts_with(s, '{NAMES.data}site_')")
 def site_predicates(spark, sf_dir):
-    return _site_triples(spark, sf_dir).where(F.col("s").startswith(f"{NAMES.data}site_")).select("p").distinct()
+    return _site_statements(spark, sf_dir).where(F.col("s").startswith(f"{NAMES.data}site_")).select("p").distinct()
 
 
 _EXT = ("tgn", "idai")

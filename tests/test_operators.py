@@ -70,6 +70,17 @@ def test_special_rows(spark):
     assert {("54", "marked as uncertain"), ("571", "label from QID"), ("9", "split into components"), (None, "row without an FID skipped"), ("81", "relatedMatch by default")} <= log
 
 
+def test_facts_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    """However few groups of rows a file has: the facts of one are not all combined in one task."""
+    df = spark.range(1, 401, 1, 1).selectExpr("cast(id as string) AS FID", "concat('x', id % 3) AS gemeinde", "cast(id % 7 as string) AS kultur")
+    whole = {tuple(r) for r in triples.site_triples(df, NAMES, COMPOUNDS).collect()}
+    monkeypatch.setattr(triples, "FACTS", 3000)
+    made = triples.site_statements(df, NAMES, COMPOUNDS)
+    sizes = [len(p) for p in made.rdd.glom().collect()]
+    assert max(sizes) < 2000 and sum(n > 0 for n in sizes) > 8 and {tuple(r) for r in made.collect()} == whole
+    assert sum(r.o == f"{NAMES.term}Gemeinde" for r in made.collect()) == 3
+
+
 def test_cookbook(spark):
     df = rows(spark, FRIESACK, FRIESACK | {"FID": "34", "kultur": "FBG?", "fst_name": "B"})
     c = patterns.Cookbook(triples.site_triples(df, NAMES, COMPOUNDS).cache(), NAMES)
