@@ -252,7 +252,7 @@ def _node(prefix: str, c: Column | str) -> Column:
 
 
 def star_graph(spark: SparkSession, sf_dir: str) -> triples.Graph:
-    """Regions, nations, customers and suppliers as a graph. Facts about places come from their own small tables, before any join with sites."""
+    """Regions, nations, customers and suppliers as a graph. Facts about places and kinds come from their own small tables, each row once."""
     own = lambda s, p, o: (p, iri(s, p, o))
     said = lambda s, p, o, *rest, **more: (p, lit(s, p, o, *rest, **more))
     n = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -260,7 +260,8 @@ def star_graph(spark: SparkSession, sf_dir: str) -> triples.Graph:
     ext = F.concat(F.lit(AUTHORITY), F.col("n_nationkey").cast("string"))
     places = [own(nation, f"{RDF}type", f"{T}Nation"), said(nation, f"{RDFS}label", F.col("n_name"), "de"), own(nation, f"{T}inRegion", region), own(nation, f"{T}hasExternalIdentifier", ext), own(region, f"{RDF}type", f"{T}Region"), said(region, f"{RDFS}label", F.col("r_name"), "de")]
     names = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    c = read(spark, sf_dir, "customer").join(names, F.col("c_nationkey") == F.col("n_nationkey"))
+    customers, suppliers = read(spark, sf_dir, "customer"), read(spark, sf_dir, "supplier")
+    c = customers.join(names, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "n_name")
     site = F.concat(F.lit(f"{D}site_"), F.col("c_custkey").cast("string"))
     kind = _node("kind", "c_mktsegment")
     sites = [
@@ -269,14 +270,15 @@ def star_graph(spark: SparkSession, sf_dir: str) -> triples.Graph:
         said(site, f"{RDFS}label", F.col("c_name"), "de"),
         own(site, f"{T}inNation", nation),
         own(site, f"{T}hasKind", kind),
-        own(kind, f"{RDF}type", f"{T}Kind"),
-        said(kind, f"{RDFS}label", F.col("c_mktsegment"), "de"),
         said(F.when(F.col("c_acctbal") < 0, site), f"{T}certaintyDesc", "uncertain", "en"),
     ]
-    s = read(spark, sf_dir, "supplier").join(names, F.col("s_nationkey") == F.col("n_nationkey"))
+    kinds = [own(kind, f"{RDF}type", f"{T}Kind"), said(kind, f"{RDFS}label", F.col("c_mktsegment"), "de")]
+    k = customers.join(names, F.col("c_nationkey") == F.col("n_nationkey")).select("c_mktsegment").distinct()
+    s = suppliers.join(names, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", "n_name")
     other = F.concat(F.lit(f"{D}supplier_"), F.col("s_suppkey").cast("string"))
     others = [own(other, f"{RDF}type", f"{T}Supplier"), said(other, f"{RDFS}label", F.col("s_name"), "de"), own(other, f"{T}inNation", nation)]
-    return triples.Graph((n, places), (c, sites), (s, others))
+    wide = lambda df, facts, table: triples.spread(df, len(facts), table.count())
+    return triples.Graph((n, places), (wide(c, sites, customers), sites), (k, kinds), (wide(s, others, suppliers), others))
 
 
 def star_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
