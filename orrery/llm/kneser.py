@@ -1,7 +1,7 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
 The tokens are characters, any code point, with one symbol more for a word that repeats the word before it; the model's
-base is uniform over all of them. Trusted rows are a bounded sample (TRUSTED rows) of those that labels call good. Their
+base is uniform over all of them. Trusted rows are all those that labels call good. Their
 n-gram counts are aggregated natively, sharded by n-gram; counts of counts give the discounts; continuation counts come
 from the next order's table. Each order has a table of discounted shares by n-gram and one of freed shares by context.
 
@@ -10,8 +10,7 @@ most need no shuffle, n-grams of the trusted text's ALPHABET most frequent symbo
 the joins would give; it is bounded by ALPHABET ** ORDER and sent out. Which way an n-gram goes changes no result.
 
 A document's score is its bits per character. A document is rejected when its bits lie beyond a band of quantiles
-of the trusted documents of its language, plus z standard errors (short texts vary more). The quantiles are over
-every trusted row, not the sample. Languages with fewer than MIN_ROWS trusted rows (null is a language) use the band
+of the trusted documents of its language, plus z standard errors (short texts vary more). Languages with fewer than MIN_ROWS trusted rows (null is a language) use the band
 of all rows. Empty and null texts have no characters, no perplexity, and are kept; so is every row if nothing is trusted. Rows that
 repeat a doc_id or lack one are judged each; a text of any length is scored whole; a score on the band's end is kept. Columns
 other than doc_id, text, lang and the labels' quality are not read; an empty table gives an empty result.
@@ -28,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import hashed_sample, texts, trim, written
+from orrery.llm.common import texts, trim, written
 
 #: The order, and the symbols of the dense table.
 ORDER, ALPHABET = 3, 128
-TRUSTED, MIN_ROWS = 20_000, 30
+MIN_ROWS = 30
+#: Ids of trusted rows that are sent out instead of joined.
+SENT_IDS = 200_000
 #: Stands for a repeated word: a code point that is no character.
 DITTO = "\U0010ffff"
 #: Begins and ends a text: beyond all code points. Bits of a symbol; number of symbols.
@@ -98,10 +99,10 @@ class Dense:
         return float(b.sum()), float((b * b).sum()), n, rare, times
 
 
-def trusted_rows(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED) -> DataFrame:
-    """Texts of a bounded sample of the rows whose label is good."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    return texts(docs).join(F.broadcast(hashed_sample(good, "doc_id", bound)), "doc_id", "left_semi")
+def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts of all rows whose label is good."""
+    good = written(labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "kn-trusted")
+    return texts(docs).join(F.broadcast(good) if good.count() <= SENT_IDS else good, "doc_id", "left_semi")
 
 
 def counts(rows: DataFrame) -> DataFrame:
@@ -139,9 +140,9 @@ def discounts(table: DataFrame) -> list[float]:
     return [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
 
 
-def train(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model; None if no row is trusted."""
-    full = written(counts(trusted_rows(docs, labels, bound)), "kn")
+    full = written(counts(trusted_rows(docs, labels)), "kn")
     if full.isEmpty():
         return None
     # continuation counts: how many left neighbours an (n - 1)-gram follows
@@ -165,18 +166,19 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED) -> Model | N
 
 def dense(tables: list[tuple[DataFrame, DataFrame]], top: list[int]) -> np.ndarray:
     """Probabilities of all n-grams of ALPHABET symbols (those of `top`), by place."""
-    spark = tables[0][0].sparkSession
-    place = {s: i for i, s in enumerate(top)}
-    known = F.broadcast(spark.createDataFrame([*place.items()], "symbol long, place long"))  # ALPHABET rows
+    place = np.zeros(SYMBOLS, np.int64)
+    place[top] = np.arange(len(top))
+    symbol = (1 << SYMBOL) - 1
 
-    def placed(df: DataFrame, column: str, n: int) -> DataFrame:
-        """Rows whose n-gram has only such symbols: at most ALPHABET ** n, with its place."""
-        at = F.lit(0).cast("long")
+    def placed(df: DataFrame, column: str, value: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and values of the n-grams that have only such symbols: at most ALPHABET ** n."""
         for i in range(n):
-            own = known.select(F.col("symbol").alias(f"s{i}"), F.col("place").alias(f"p{i}"))
-            df = df.withColumn(f"s{i}", F.shiftright(column, (n - 1 - i) * SYMBOL).bitwiseAND(F.lit((1 << SYMBOL) - 1))).join(own, f"s{i}")
-            at = at * ALPHABET + F.col(f"p{i}")
-        return df.select(at.alias("at"), "own" if "own" in df.columns else "backoff")
+            df = df.where(F.shiftright(column, i * SYMBOL).bitwiseAND(F.lit(symbol)).isin(top))
+        rows = df.select(column, value).toArrow()
+        gram, at = rows[column].to_numpy(), 0
+        for i in reversed(range(n)):
+            at = at * ALPHABET + place[gram >> i * SYMBOL & symbol]
+        return at, rows[value].to_numpy()
 
     p = np.full(1, 1 / SYMBOLS)
     for n, (own, backoff) in enumerate(tables, 1):
@@ -184,12 +186,12 @@ def dense(tables: list[tuple[DataFrame, DataFrame]], top: list[int]) -> np.ndarr
         if n == 1:
             freed[0] = backoff.first()["backoff"]
         else:
-            rows = placed(backoff, "context", n - 1).toPandas()
-            freed[rows["at"].to_numpy()] = rows["backoff"].to_numpy()
+            at, shares = placed(backoff, "context", "backoff", n - 1)
+            freed[at] = shares
         # an n-gram falls back on its last n - 1 symbols
         p = np.repeat(freed, ALPHABET) * (np.tile(p, ALPHABET) if n > 1 else np.full(ALPHABET, p[0]))
-        rows = placed(own, "gram", n).toPandas()
-        p[rows["at"].to_numpy()] += rows["own"].to_numpy()
+        at, shares = placed(own, "gram", "own", n)
+        p[at] += shares
     return p
 
 
@@ -237,9 +239,9 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     return whole.select("doc_id", "lang", "n", mean.alias("bits"), F.when(n.isNotNull(), spread).alias("spread"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED, low: float = LOW, high: float = HIGH, z: float = Z) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, z: float = Z) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, low, high, keep) for every row of docs, in bits where not named otherwise."""
-    model = train(docs, labels, bound)
+    model = train(docs, labels)
     if model is None:
         return texts(docs, "doc_id", "text", "lang").select("doc_id", "lang", F.char_length("text").cast("long").alias("n_chars"), *(F.lit(None).cast("double").alias(c) for c in ("perplexity", "low", "high")), F.lit(True).alias("keep"))
     scored = written(perplexities(docs, model), "quality")

@@ -358,6 +358,16 @@ def test_perplexities_match_brute_force(spark, monkeypatch, alphabet):
     assert kneser.perplexities(d.limit(0), model).count() == 0
 
 
+def test_model_counts_every_trusted_row(spark, monkeypatch):
+    """More trusted rows than a sample of 20,000 would hold: each adds its own characters, whether ids are sent out or joined."""
+    rows = 20_500
+    d = spark.range(rows).selectExpr("id as doc_id", "concat('a', chr(200 + cast(id % 2 as int))) as text", "'en' as lang")
+    labels = d.selectExpr("doc_id", "1 as quality")
+    for sent in (kneser.SENT_IDS, 10):
+        monkeypatch.setattr(kneser, "SENT_IDS", sent)
+        assert kneser.counts(kneser.trusted_rows(d, labels)).agg({"n": "sum"}).first()[0] == 3 * rows
+
+
 def segmentations(word, pieces):
     """All ways to cut `word` into pieces."""
     if not word:
