@@ -2,7 +2,7 @@
 
 Every distinct value is matched once, within its scope's candidates only (an equi-join), and joined back. Ratios are
 taken in Arrow, a group of values against a block of labels at a time; an index is stored and counted first, to see whether
-it is small enough to send out.
+the keys of its blocks are few enough to send out.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def overridden(values: DataFrame, overrides: DataFrame) -> DataFrame:
     return hit.select("raw", "qid", F.col("label").alias("match_label"), F.lit(1.0).alias("score"), reason.alias("reason"), *ids)
 
 
-#: Labels of a block, values that meet it at once, and labels that are broadcast at most.
+#: Labels of a block, values that meet it at once, and blocks whose keys are broadcast at most.
 BLOCK, VALUES, SMALL_INDEX = 1024, 32, 100_000
 _HIT = "key string, ord long, points int, compared long"
 
@@ -94,44 +94,53 @@ def label_blocks(labels: DataFrame, scope: list[str]) -> DataFrame:
 def _compared(asked: DataFrame, blocks: DataFrame, scope: list[str], few: bool) -> DataFrame:
     """(scope, _query, _HIT): for values (_query, _a, least) and blocks of one length, the best label of each block that reaches `least`.
 
-    A block's labels are compared in the order of their bounds by letter classes, until the next bound is below the best.
+    `only` names the one part of that length that a value meets, `skip` one that it doesn't (-1: none). A block's labels are
+    compared in the order of their bounds by letter classes, until the next bound is below the best. A block lies
+    before the groups of values that meet it, so that its labels are sent once and a task holds those of one block.
     """
     by = [*scope, "size"]
     kinds = {f.name: f.dataType.simpleString() for f in asked.schema.fields}
 
+    def best_of(block: lcs.Block, size: np.ndarray, labels: list[dict], v: dict, h: np.ndarray) -> tuple:
+        total = size + len(v["_a"])
+        bound = lcs.points(block.bounds(h), total)
+        order = np.flatnonzero(bound >= v["least"])
+        order = order[np.argsort(-bound[order], kind="stable")]
+        best, done, step = (v["least"], None), 0, 16
+        while done < len(order) and bound[order[done]] >= best[0]:
+            at = order[done : done + step]
+            at = at[bound[at] >= best[0]]
+            points = lcs.points(block.lengths(v["_a"], at), total[at])
+            for i in at[points == points.max()].tolist() if points.max() >= best[0] else ():
+                rank = (-labels[i]["ord"], labels[i]["key"])
+                if points.max() > best[0] or best[1] is None or rank > best[1]:
+                    best = (int(points.max()), rank)
+            done += len(at)
+            step *= 2
+        return best[1] and best[1][1], best[1] and -best[1][0], best[0], done
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, block, size = [], None, None
         for batch in batches:
-            out: list[tuple] = []
-            for values, labels, *own in zip(*(batch.column(c).to_pylist() for c in ("values", "labels", *scope))):
-                block = lcs.Block([r["_b"] for r in labels])
-                size = np.array([len(t) for t in block.texts])
-                classes = lcs.histogram([v["_a"] for v in values])
-                for v, h in zip(values, classes):
-                    total = size + len(v["_a"])
-                    bound = lcs.points(block.bounds(h), total)
-                    order = np.argsort(-bound, kind="stable")
-                    best, done, step = (v["least"], None), 0, 16
-                    while done < len(order) and bound[order[done]] >= best[0]:
-                        at = order[done : done + step]
-                        at = at[bound[at] >= best[0]]
-                        points = lcs.points(block.lengths(v["_a"], at), total[at])
-                        for i in at[points == points.max()].tolist() if points.max() >= best[0] else ():
-                            rank = (-labels[i]["ord"], labels[i]["key"])
-                            if points.max() > best[0] or best[1] is None or rank > best[1]:
-                                best = (int(points.max()), rank)
-                        done += len(at)
-                        step *= 2
-                    out.append((*own, v["_query"], best[1] and best[1][1], best[1] and -best[1][0], best[0], done))
-            if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in out], schema=to)
+            for row in range(batch.num_rows):
+                values, held, *own = (batch.column(c)[row].as_py() for c in ("values", "labels", *scope))
+                if values is None:
+                    labels, block = held, lcs.Block([r["_b"] for r in held])
+                    size = np.array([len(t) for t in block.texts])
+                    continue
+                out = [(*own, v["_query"], *best_of(block, size, labels, v, h)) for v, h in zip(values, lcs.histogram([v["_a"] for v in values]))]
+                yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in out], schema=to)
 
     names = [*scope, "_query", "key", "ord", "points", "compared"]
     to = pa.schema([(c, _ARROW.get(kinds[c], pa.string())) for c in scope] + [("_query", pa.string()), ("key", pa.string()), ("ord", pa.int64()), ("points", pa.int32()), ("compared", pa.int64())])
-    groups = _numbered(asked, by, VALUES, "_group", "_query").groupBy(*by, "_group").agg(F.collect_list(F.struct("_query", "_a", "least")).alias("values"))
-    if few:
-        groups, blocks = groups.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "_group"), F.broadcast(blocks)
-    met = groups.join(blocks, by).select(*scope, "values", "labels")
-    return met.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in scope), "_query string", _HIT]))
+    which = [*by, "only", "skip"]
+    groups = _numbered(asked, which, VALUES, "_group", "_query").groupBy(*which, "_group").agg(F.collect_list(F.struct("_query", "_a", "least")).alias("values"))
+    keys = blocks.select(*by, "part")
+    met = groups.join(F.broadcast(keys) if few else keys, by).where("(only < 0 or part = only) and part <> skip")
+    first = blocks.select(*by, "part", F.lit(None).cast(groups.schema["values"].dataType).alias("values"), "labels")
+    rows = first.unionByName(met.select(*by, "part", "values", F.lit(None).cast(blocks.schema["labels"].dataType).alias("labels")))
+    dealt = rows.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "part").sortWithinPartitions(*by, "part", F.col("values").isNotNull())
+    return dealt.select(*scope, "values", "labels").mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in scope), "_query string", _HIT]))
 
 
 _ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "smallint": pa.int16()}
@@ -146,26 +155,35 @@ def _reach(a: Column, b: Column) -> Column:
 def searched(asked: DataFrame, labels: DataFrame, scope: list[str]) -> DataFrame:
     """(scope, _query, key, ord, points, compared): candidates for each value's best label of its scope, the best among them, and how many labels were compared.
 
-    Labels lie in blocks of one scope and length. A value first meets the blocks of the length that is nearest to its own; the
-    best of them says which other lengths can still hold as good a label, and only those blocks are met, with that score
-    to reach. Nothing is pruned that could be the best, whatever the threshold; equal scores are kept apart by ord and key.
+    Labels lie in blocks of one scope and length. A value first meets one block of the length that is nearest to its own; the
+    best of it is the score to reach in the other blocks of that length, and the best of both says which other lengths can
+    still hold as good a label. Nothing is pruned that could be the best, whatever the threshold; equal scores are kept
+    apart by ord and key.
     """
     blocks = stored(label_blocks(labels.select(*scope, "key", "ord", "_b"), scope))
-    sizes = blocks.groupBy(*scope).agg(F.array_sort(F.collect_set("size")).alias("sizes"), F.sum(F.size("labels")).alias("n"))
-    there = sizes.agg(F.sum("n").alias("n"), F.max(F.size("sizes")).alias("sizes")).first()
-    few = (there["n"] or 0) <= SMALL_INDEX
+    of_size = blocks.groupBy(*scope, "size").agg(F.min("part").alias("part"), F.count("*").alias("blocks"))
+    sizes = of_size.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("size", "part", "blocks"))).alias("sizes"))
+    there = blocks.agg(F.count("*").alias("blocks")).first(), sizes.agg(F.max(F.size("sizes")).alias("sizes"), F.max(F.array_max(F.transform("sizes", lambda s: s["blocks"]))).alias("blocks")).first()
+    few = there[0]["blocks"] <= SMALL_INDEX
     own = F.char_length("_a")
-    near = F.array_min(F.transform("sizes", lambda s: F.struct(F.abs(s - own).alias("off"), s.alias("size"))))
-    known = asked.join(F.broadcast(sizes) if few else sizes, scope).withColumn("home", near["size"])
-    columns = [*scope, "size", "_query", "_a", "least"]
-    at_home = lambda df: _compared(df.withColumns({"size": F.col("home"), "least": F.lit(0)}).select(*columns), blocks, scope, few)
-    if (there["sizes"] or 0) <= 1:
-        return at_home(known)
+    near = F.array_min(F.transform("sizes", lambda s: F.struct(F.abs(s["size"] - own).alias("off"), s["size"].alias("size"), s["part"].alias("part"), s["blocks"].alias("blocks"))))
+    known = asked.join(F.broadcast(sizes) if few else sizes, scope).withColumn("near", near).withColumns({"home": F.col("near.size"), "first": F.col("near.part"), "blocks": F.col("near.blocks")}).drop("near")
+    columns = [*scope, "size", "only", "skip", "_query", "_a", "least"]
+    none = F.lit(-1)
+
+    def best(df: DataFrame) -> DataFrame:
+        return df.groupBy(*scope, "_query").agg(F.max("points").cast("int").alias("least"))
+
     known = stored(known)
-    first = stored(at_home(known))
-    least = first.groupBy(*scope, "_query").agg(F.max("points").cast("int").alias("least"))
-    open_ = known.join(least, [*scope, "_query"]).withColumn("size", F.explode(F.filter("sizes", lambda s: (s != F.col("home")) & (_reach(s, own) >= F.col("least")))))
-    return first.unionByName(_compared(open_.select(*columns), blocks, scope, few))
+    found = stored(_compared(known.select(*scope, F.col("home").alias("size"), F.col("first").alias("only"), none.alias("skip"), "_query", "_a", F.lit(0).alias("least")), blocks, scope, few))
+    if (there[1]["blocks"] or 0) > 1:
+        more = known.where("blocks > 1").join(best(found), [*scope, "_query"]).select(*scope, F.col("home").alias("size"), none.alias("only"), F.col("first").alias("skip"), "_query", "_a", "least")
+        found = stored(found.unionByName(_compared(more, blocks, scope, few)))
+    if (there[1]["sizes"] or 0) > 1:
+        others = F.explode(F.filter(F.transform("sizes", lambda s: s["size"]), lambda s: (s != F.col("home")) & (_reach(s, own) >= F.col("least"))))
+        open_ = known.join(best(found), [*scope, "_query"]).withColumns({"size": others, "only": none, "skip": none})
+        found = found.unionByName(_compared(open_.select(*columns), blocks, scope, few))
+    return found
 
 
 def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold: float, scope_name: str = "global index") -> DataFrame:

@@ -69,6 +69,24 @@ def test_few_comparisons_in_a_hot_scope(spark):
     assert found.agg(F.sum("compared")).first()[0] < 0.2 * every
 
 
+def test_labels_of_one_length_reach_tasks_once(spark, monkeypatch):
+    """Not once for each group of values: what a batch of rows holds is bounded by the labels."""
+    monkeypatch.setattr(matching, "BLOCK", 64)
+    monkeypatch.setattr(matching, "VALUES", 4)
+    rng = random.Random(10)
+    labels = [(f"customer#{i:09d}", n, "A") for n, i in enumerate(rng.sample(range(10**6), 600))]
+    asked = spark.createDataFrame([(f"supplier#{i:09d}", "A") for i in rng.sample(range(10**6), 40)], "_query string, scope string").withColumn("_a", F.col("_query"))
+    sent, kept = [], type(asked).mapInArrow
+
+    def seen(df, *args, **more):
+        sent.append(df.agg(F.sum(F.greatest(F.size("labels"), F.lit(0)))).first()[0])
+        return kept(df, *args, **more)
+
+    monkeypatch.setattr(type(asked), "mapInArrow", seen)
+    found = matching.searched(asked, index(spark, labels).withColumn("_b", F.col("key")), ["scope"])
+    assert found.select("_query").distinct().count() == 40 and sent and max(sent) <= 600
+
+
 def test_bounds():
     rng = random.Random(1)
     block = lcs.Block(words(rng, 50) + ["", "a" * 200])
