@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.operators.entailment import entailed
+from orrery.operators.entailment import SENT, entailed
 from orrery.operators.graph import closure, stored
-from orrery.operators.triples import OWL, RDF, RDFS, SCHEMA, XSD
+from orrery.operators.triples import OWL, RDF, RDFS, SCHEMA, XSD, dealt
 
 CONSTRAINTS = "shape string, path string, kind string, value string, severity string"
 VIOLATIONS = "graph string, focus string, path string, kind string, severity string, message string"
@@ -43,11 +43,11 @@ def inferred(data: DataFrame, ontology: DataFrame, mode: str = "rdfs") -> DataFr
     """(s, class): the types that a graph states ('none'), with their superclasses ('subclass'), or all that RDF Schema entails ('rdfs')."""
     if mode == "rdfs":
         data = entailed(data, ontology)
-    types = data.where(F.col("p") == f"{RDF}type").select("s", F.col("o").alias("class")).distinct()
-    if mode != "subclass":
-        return types
-    up = closure(ontology.where(F.col("p") == f"{RDFS}subClassOf").select(F.col("s").alias("child"), F.col("o").alias("parent")))
-    return types.unionByName(types.join(up, types["class"] == up["node"]).select("s", F.col("ancestor").alias("class"))).distinct()
+    types = data.where(F.col("p") == f"{RDF}type").select("s", F.col("o").alias("class"))
+    if mode == "subclass":
+        up = closure(ontology.where(F.col("p") == f"{RDFS}subClassOf").select(F.col("s").alias("child"), F.col("o").alias("parent")))
+        types = types.unionByName(types.join(up, types["class"] == up["node"]).select("s", F.col("ancestor").alias("class")))
+    return dealt(types, types.count(), "s", "class").distinct()
 
 
 def validate(graph: str, data: DataFrame, constraints: DataFrame, ontology: DataFrame, inference: str = "rdfs") -> DataFrame:
@@ -59,30 +59,34 @@ def validate(graph: str, data: DataFrame, constraints: DataFrame, ontology: Data
     if inference == "rdfs":
         data, inference = entailed(data, ontology), "none"
     types = stored(inferred(data, ontology, inference))
-    c = constraints.where("kind <> 'targetClass'")
-    rule = lambda kind: c.where(F.col("kind") == kind)
-    targets = lambda kind: rule(kind).join(types, F.col("shape") == F.col("class")).select(F.col("s").alias("focus"), "path", "value", "severity")
-    values = data.select(F.col("s").alias("focus"), F.col("p").alias("path"), "o", "o_kind", "o_dt", "o_lang")
-
-    def found(df: DataFrame, kind: str, message: Column) -> DataFrame:
-        return df.select(F.lit(graph).alias("graph"), "focus", "path", F.lit(kind).alias("kind"), "severity", message.alias("message"))
-
-    of_class = targets("class").join(values, ["focus", "path"])
-    wrong = of_class.join(types.select(F.col("s").alias("o"), F.col("class").alias("value")), ["o", "value"], "left_anti")
-    typed = targets("datatype").join(values, ["focus", "path"])
+    c = stored(constraints.where("kind <> 'targetClass'").distinct())
+    few = c.count() <= SENT
+    sent = lambda df: F.broadcast(df) if few else df
+    values = data.select(F.col("s").alias("focus"), F.col("p").alias("path"), "o", "o_kind", "o_dt", "o_lang", F.lit(True).alias("there"))
+
+    def met(kinds: str) -> DataFrame:
+        """The targets of some kinds of constraints with each of their values, or with none."""
+        own = c.where(kinds)
+        due = types.join(sent(own), F.col("class") == F.col("shape")).select(F.col("s").alias("focus"), "path", "kind", "value", "severity")
+        held = values.join(sent(own.select("path").distinct()), "path", "left_semi")
+        n = due.count() + held.count()
+        return dealt(due, n, "focus", "path").distinct().join(dealt(held, n, "focus", "path").hint("merge"), ["focus", "path"], "left")
+
+    def found(df: DataFrame, message: Column) -> DataFrame:
+        return df.select(F.lit(graph).alias("graph"), "focus", "path", "kind", "severity", message.alias("message"))
+
+    # the objects are looked up once each, however many subjects share one
+    of_class = met("kind = 'class'").where("there").select("focus", "path", "kind", "value", "severity", "o").distinct()
+    named = types.join(sent(c.where("kind = 'class'").select(F.col("value").alias("class")).distinct()), "class", "left_semi")
+    wrong = of_class.select("o", "value").distinct().join(named.select(F.col("s").alias("o"), F.col("class").alias("value")), ["o", "value"], "left_anti").alias("w")
+    of_class = of_class.alias("x").join(wrong, F.col("x.o").eqNullSafe(F.col("w.o")) & F.col("x.value").eqNullSafe(F.col("w.value")), "left_semi")
     plain = F.when(F.col("o_lang").isNotNull(), f"{RDF}langString").otherwise(F.coalesce("o_dt", F.lit(f"{XSD}string")))
-    bad = typed.where((F.col("o_kind") != "lit") | (plain != F.col("value")))
-    counted = values.groupBy("focus", "path").agg(F.count("*").alias("n"))
-    n = F.coalesce("n", F.lit(0))
-    few = targets("minCount").join(counted, ["focus", "path"], "left").where(n < F.col("value").cast("int"))
-    many = targets("maxCount").join(counted, ["focus", "path"]).where(n > F.col("value").cast("int"))
-    return (
-        found(wrong, "class", F.concat(F.col("o"), F.lit(" is not of class "), F.col("value")))
-        .unionByName(found(bad, "datatype", F.concat(F.lit("value is not of datatype "), F.col("value"))))
-        .unionByName(found(few, "minCount", F.concat(F.lit("fewer than "), F.col("value"))))
-        .unionByName(found(many, "maxCount", F.concat(F.lit("more than "), F.col("value"))))
-        .distinct()
-    )
+    is_bad = (F.col("o_kind") != "lit") | (plain != F.col("value"))
+    judged = met("kind in ('datatype', 'minCount', 'maxCount')").groupBy("focus", "path", "kind", "value", "severity").agg(F.count("there").alias("n"), F.bool_or(F.col("there") & is_bad).alias("bad"))
+    limit = F.when(F.col("kind") != "datatype", F.col("value").cast("int"))
+    broken = F.when(F.col("kind") == "datatype", F.col("bad")).when(F.col("kind") == "minCount", F.col("n") < limit).otherwise(F.col("n") > limit)
+    said = F.when(F.col("kind") == "datatype", "value is not of datatype ").when(F.col("kind") == "minCount", "fewer than ").otherwise("more than ")
+    return found(of_class, F.concat("o", F.lit(" is not of class "), "value")).unionByName(found(judged.where(broken), F.concat(said, "value")))
 
 
 def conforms(violations: DataFrame) -> DataFrame:

@@ -76,6 +76,19 @@ def spread(df: DataFrame, facts: int, rows: int | None = None) -> DataFrame:
     return df.repartition(parts, *(F.col(f"`{c}`") for c in df.columns)) if parts > 1 else df
 
 
+#: Rows that a task sorts, joins or combines at once.
+HELD = 200_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """`df`, of about `rows` rows, by its keys over so many tasks that none holds many more than HELD; as it is, if that is one task.
+
+    Left alone, tasks join until each reads tens of megabytes; facts are alike, so these are packed many times over and unfold to gigabytes.
+    """
+    parts = -(-rows // HELD)
+    return df.repartition(parts, *keys) if parts > 1 else df
+
+
 def made(df: DataFrame, facts: list[Column], *arrays: Column) -> DataFrame:
     """All facts of all rows as they come; `arrays` are further columns of fact lists. One scan, one explode."""
     every = F.array_compact(F.array(*facts))
