@@ -116,13 +116,14 @@ def union(*graphs: DataFrame) -> DataFrame:
 class Graph:
     """Facts of tables that become triples only where they are asked for: a pattern with a predicate reads the tables that state it and nothing else."""
 
-    def __init__(self, *parts: tuple[DataFrame, list[tuple[str, Column]]]):
-        self.parts = parts
+    def __init__(self, *parts: tuple[DataFrame, list[tuple[str, Column]]] | tuple[DataFrame, list[tuple[str, Column]], int]):
+        self.parts = [(df, facts, *(rows or (0,))) for df, facts, *rows in parts]
 
     def of(self, *predicates: str) -> DataFrame:
-        """The triples with one of the predicates, or all."""
-        found = [(df, [fact for p, fact in facts if not predicates or p in predicates]) for df, facts in self.parts]
-        return union(*(made(df, facts) for df, facts in found if facts))
+        """The triples with one of the predicates, or all, by subject; a part may tell about how many rows it has."""
+        found = [(df, [fact for p, fact in facts if not predicates or p in predicates], rows) for df, facts, rows in self.parts]
+        n = sum(rows * len(facts) for _, facts, rows in found)
+        return dealt(together(*(made(df, facts) for df, facts, _ in found if facts)), n, "s").dropDuplicates()
 
 
 def typed(node: Column, kind: str, label: Column, preferred: bool = True, lang: str = "de") -> list[Column]:

@@ -277,8 +277,8 @@ def star_graph(spark: SparkSession, sf_dir: str) -> triples.Graph:
     s = suppliers.join(names, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", "n_name")
     other = F.concat(F.lit(f"{D}supplier_"), F.col("s_suppkey").cast("string"))
     others = [own(other, f"{RDF}type", f"{T}Supplier"), said(other, f"{RDFS}label", F.col("s_name"), "de"), own(other, f"{T}inNation", nation)]
-    wide = lambda df, facts, table: triples.spread(df, len(facts), table.count())
-    return triples.Graph((n, places), (wide(c, sites, customers), sites), (k, kinds), (wide(s, others, suppliers), others))
+    wide = lambda df, facts, rows: (triples.spread(df, len(facts), rows), facts, rows)
+    return triples.Graph((n, places), wide(c, sites, customers.count()), (k, kinds), wide(s, others, suppliers.count()))
 
 
 def star_triples(spark: SparkSession, sf_dir: str) -> DataFrame:

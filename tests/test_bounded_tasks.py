@@ -1,5 +1,7 @@
 """Steps that hold a part of a graph deal it out by its number of rows, with the same results."""
 
+from pyspark.sql import functions as F
+
 from orrery.operators import shapes, triples
 from orrery.operators.triples import RDF, RDFS, SCHEMA, XSD
 
@@ -29,3 +31,16 @@ def test_validation(spark, monkeypatch):
     want = [(f"s{i}", "inNation", "class", "n2") for i in range(2, 60, 3)] + [(f"s{i}", "id", "datatype", "") for i in range(60) if i % 3]
     want += [(f"s{i}", "id", "minCount", "") for i in range(0, 60, 3)] + [(f"s{i}", "id", "maxCount", "") for i in range(2, 60, 3)] + [(f"s{i}", "nowhere", "minCount", "") for i in range(60)]
     assert got == sorted(want)
+
+
+def test_graph(spark, monkeypatch):
+    """A graph's facts are dealt by subject, so what is asked of subjects needs no shuffle of facts more."""
+    monkeypatch.setattr(triples, "HELD", 20)
+    t = spark.range(100).selectExpr("cast(id % 50 as string) as s", "cast(id % 25 as string) as o")
+    fact = triples.iri(F.concat(F.lit(X), "s"), X + "p", F.concat(F.lit(X), "o"))
+    kind = triples.iri(F.concat(F.lit(X), "s"), f"{RDF}type", F.when(F.col("s").cast("int") < 10, X + "Low").otherwise(X + "High"))
+    g = triples.Graph((t, [(X + "p", fact), (f"{RDF}type", kind)], 100))
+    assert plan(g.of()).count("REPARTITION_BY_NUM") == 1 and g.of().count() == 100 and g.of(X + "p").count() == 50
+    counts = triples.predicate_counts(g.of(), [X + "Low"])
+    assert "Exchange hashpartitioning(s#" not in "".join(x for x in plan(counts).splitlines(True) if "ENSURE_REQUIREMENTS" in x)
+    assert {tuple(r) for r in counts.collect()} == {(X + "p", 10), (f"{RDF}type", 10)}
