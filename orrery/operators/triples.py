@@ -80,13 +80,17 @@ def spread(df: DataFrame, facts: int, rows: int | None = None) -> DataFrame:
 HELD = 200_000
 
 
+def tasks(rows: int) -> int:
+    """How many tasks hold so many rows, HELD each."""
+    return max(1, -(-rows // HELD))
+
+
 def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """`df`, of about `rows` rows, by its keys over so many tasks that none holds many more than HELD; as it is, if that is one task.
 
     Left alone, tasks join until each reads tens of megabytes; facts are alike, so these are packed many times over and unfold to gigabytes.
     """
-    parts = -(-rows // HELD)
-    return df.repartition(parts, *keys) if parts > 1 else df
+    return df.repartition(tasks(rows), *keys) if tasks(rows) > 1 else df
 
 
 def made(df: DataFrame, facts: list[Column], *arrays: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from orrery.operators import shapes, triples
+from orrery.operators import graph, shapes, substring, triples
 from orrery.operators.triples import RDF, RDFS, SCHEMA, XSD
 
 X = "http://x#"
@@ -44,3 +44,28 @@ def test_graph(spark, monkeypatch):
     counts = triples.predicate_counts(g.of(), [X + "Low"])
     assert "Exchange hashpartitioning(s#" not in "".join(x for x in plan(counts).splitlines(True) if "ENSURE_REQUIREMENTS" in x)
     assert {tuple(r) for r in counts.collect()} == {(X + "p", 10), (f"{RDF}type", 10)}
+
+
+def widths(monkeypatch, module):
+    """The numbers of rows that each task writes of every table that a module stores."""
+    found = []
+
+    def kept(df, keep=graph.stored):
+        out = keep(df)
+        found.append([r["count"] for r in out.groupBy(F.input_file_name()).count().collect()])
+        return out
+
+    monkeypatch.setattr(module, "stored", kept)
+    return found
+
+
+def test_substring_index(spark, monkeypatch):
+    """Literals and postings lie in tasks of a bounded number of rows; texts that differ by case and a literal of most statements are found whole."""
+    monkeypatch.setattr(triples, "HELD", 200)
+    facts = [(f"s{i}", "id", f"Item#{i:04d}", None) for i in range(300)] + [(f"s{i}", "id", f"ITEM#{i:04d}", None) for i in range(50)] + [(f"s{i}", "state", "item#00 is open", None) for i in range(500)]
+    made, found = rows(spark, facts), widths(monkeypatch, substring)
+    index = substring.SubstringIndex(made)
+    assert all(max(sizes) < 600 for sizes in found[:2]) and len(found[1]) >= 10
+    assert sorted((r.s[len(X) :], r.o) for r in index.statements(made, "ITEM#00").collect()) == sorted((f[0], f[2]) for f in facts if f[2].lower().startswith("item#00"))
+    search = plan(index.statements(made, "ITEM#00"))
+    assert search.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" in search and "SortMergeJoin" not in search
