@@ -67,11 +67,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes written tables that nothing reads any more, and lets the driver notice which shuffles nothing can read any more: until its next collection of garbage their files stay."""
+    """Deletes written tables that nothing reads any more, and lets the driver notice which shuffles nothing can read any more: until its next collection of garbage their files stay. The driver's Python gives back what it has freed."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
+    trim()
     tables[0].sparkSession._jvm.System.gc()
 
 
@@ -87,7 +88,7 @@ def slices(batch: pa.RecordBatch, column: int, rows: int, most: int = 1 << 25) -
 
 
 def trim() -> None:
-    """Gives memory that a task has freed back to the system: workers outlive their tasks, and stages of a pipeline share them."""
+    """Gives memory that a task or the driver has freed back to the system: workers outlive their tasks, and stages of a pipeline share them."""
     import ctypes
 
     pa.default_memory_pool().release_unused()

@@ -141,10 +141,10 @@ def frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
         if seen > HOT:
             least = 2 ** (level + 1)
             break
-    top = found.where(F.col("n") >= least).toPandas()
-    keys = top["key"].to_numpy(np.int64).view(np.uint64)
+    top = found.where(F.col("n") >= least).toArrow()
+    keys = top["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], np.log2(np.maximum(top["n"].to_numpy(float)[order], 2)).astype(np.int8)
+    return keys[order], np.log2(np.maximum(top["n"].to_numpy().astype(float)[order], 2)).astype(np.int8)
 
 
 _SETS = "doc_id long, n long, d1 long, d2 long, bits long, keys array<long>, parts array<int>, sketch binary"
@@ -378,16 +378,17 @@ def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 PER_HUB = 500
 
 
-def meetings(tried: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(hub, part, lead, rep, least, d1, d2): where each set is needed, so that each pair meets and few sets travel twice.
-
-    A pair meets at its set with the more partners; the hub's set leads each of its parts.
-    """
+def hubbed(tried: DataFrame) -> DataFrame:
+    """(hub, rep) of each pair, which meets at its set with the more partners."""
     degree = tried.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("k"))
     for c in "ab":
         tried = tried.join(degree.select(F.col("rep").alias(c), F.col("k").alias(f"k{c}")), c)
     first = F.col("ka") >= F.col("kb")
-    pairs = tried.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("rep"))
+    return tried.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("rep"))
+
+
+def meetings(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(hub, part, lead, rep, least, d1, d2): where each set is needed, so that each pair (a stored table) meets and few sets travel twice; the hub's set leads each of its parts."""
     hubs = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PER_HUB).cast("int").alias("parts"))
     others = pairs.join(hubs, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("lead"), "rep")
     leads = hubs.select("hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("lead"), F.col("hub").alias("rep"))
@@ -465,9 +466,10 @@ def verified(sets: DataFrame, percent: int) -> DataFrame:
 def checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, sketches: DataFrame, percent: int, width: int) -> DataFrame:
     """The links among some pairs, stored; pairs that the parities rule out don't meet."""
     tried = written(likely(pairs, sketches, percent), "pairs")
-    wanted = written(meetings(tried, nodes), "wanted")
+    met = written(hubbed(tried), "met")
+    wanted = written(meetings(met, nodes), "wanted")
     links = written(verified(whole_sets(docs, wanted, width), percent).distinct(), "links")
-    discard(tried, wanted)
+    discard(tried, met, wanted)
     return links
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import texts, trim, written
+from orrery.llm.common import discard, texts, trim, written
 
 #: The order, and the symbols of the dense table.
 ORDER, ALPHABET = 3, 128
@@ -131,8 +131,7 @@ def counts(rows: DataFrame) -> DataFrame:
 
 def discounts(table: DataFrame) -> list[float]:
     """D1, D2 and D3+ of Chen and Goodman from counts of counts."""
-    n = {r["n"]: r["k"] for r in table.where("n between 1 and 4").groupBy("n").agg(F.count("*").alias("k")).collect()}
-    n1, n2, n3, n4 = (n.get(i, 0) for i in (1, 2, 3, 4))
+    n1, n2, n3, n4 = table.agg(*(F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4))).first()
     if not n1 or not n2:
         return [0.5, 0.75, 0.9]
     y = n1 / (n1 + 2 * n2)
@@ -146,22 +145,25 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     if full.isEmpty():
         return None
     # continuation counts: how many left neighbours an (n - 1)-gram follows
-    orders, now = [full], full
+    # every order and its contexts are stored: what is read several times is counted once, and the driver keeps book of fewer tasks
+    orders = [full]
     for n in range(ORDER - 1, 0, -1):
-        now = now.groupBy(F.col("gram").bitwiseAND(F.lit((1 << n * SYMBOL) - 1)).alias("gram")).agg(F.count("*").alias("n"))
-        orders.append(now)
+        orders.append(written(orders[-1].groupBy(F.col("gram").bitwiseAND(F.lit((1 << n * SYMBOL) - 1)).alias("gram")).agg(F.count("*").alias("n")), "kn"))
     tables = []
     for t in reversed(orders):
         d1, d2, d3 = discounts(t)
         t = t.withColumns({"context": F.shiftright("gram", SYMBOL), "less": F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)})
-        of = t.groupBy("context").agg(F.sum("n").alias("total"), F.sum("less").alias("freed"))
+        of = written(t.groupBy("context").agg(F.sum("n").alias("total"), F.sum("less").alias("freed")), "kn-context")
         own = written(t.join(of, "context").select("gram", ((F.col("n") - F.col("less")) / F.col("total")).alias("own")), "kn-own")
-        tables.append((own, written(of.select("context", (F.col("freed") / F.col("total")).alias("backoff")), "kn-backoff")))
+        tables.append((own, of.select("context", (F.col("freed") / F.col("total")).alias("backoff"))))
     # the most frequent symbols by continuation counts, and what begins a text
     top = [r["gram"] for r in orders[-1].where(F.col("gram") != END).orderBy(F.desc("n"), "gram").limit(ALPHABET - 1).collect()]
+    discard(*orders)
     places = np.full(SYMBOLS, ALPHABET, np.uint8)
     places[[END, *top]] = np.arange(len(top) + 1)
-    return Model(tables, places, -np.log2(dense(tables, [END, *top])).astype(np.float32))
+    model = Model(tables, places, -np.log2(dense(tables, [END, *top])).astype(np.float32))
+    trim()
+    return model
 
 
 def dense(tables: list[tuple[DataFrame, DataFrame]], top: list[int]) -> np.ndarray:

@@ -23,7 +23,7 @@ are not read. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import arrow_rows, hashed_sample, held_out, texts
+from orrery.llm.common import arrow_rows, discard, hashed_sample, held_out, texts, trim, written
 
 EXAMPLES, BLOCK, NEIGHBOURS = 4_096, 64, 15
 #: Least number of examples that hold a term of the vocabulary; share of them from which a term's weights are dense.
@@ -45,7 +45,7 @@ FOLD, THRESHOLD = 4, 0.3
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 97 <= c <= 122 or 48 <= c <= 57 else 32 for c in range(256))
 
 #: Terms and their counts, by term.
-Vector = tuple[tuple[int, ...], tuple[int, ...]]
+Vector = tuple[Sequence[int] | np.ndarray, Sequence[int] | np.ndarray]
 Unit = tuple[np.ndarray, np.ndarray]
 
 
@@ -53,6 +53,16 @@ def terms(text: str | None) -> list[bytes]:
     return text.encode().translate(_FOLD).split() if text else []
 
 
+def packed(numbers: Sequence[int]) -> bytes:
+    """Numbers of 4 bytes, which are ordered as they are."""
+    return np.array(numbers, ">i4").tobytes()
+
+
+def unpacked(vector: tuple[bytes, bytes]) -> Vector:
+    t, n = (np.frombuffer(x, ">i4").astype(np.int64) for x in vector)
+    return t, n
+
+
 @dataclass
 class Terms:
     """The vocabulary and its weights."""
@@ -180,7 +190,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def examples(docs: DataFrame, labels: DataFrame, bound: int, fold: int) -> DataFrame:
     """(doc_id, text, toxic): a bounded sample of the labelled rows outside the held-out fold."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", fold))
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = written(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
     return texts(docs).join(F.broadcast(hashed_sample(known, "doc_id", bound)), "doc_id")
 
 
@@ -216,7 +226,8 @@ def vocabulary(sample: DataFrame) -> tuple[Terms, float] | None:
 def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = FOLD) -> Model | None:
     """The model; None without labelled rows."""
     spark = docs.sparkSession
-    sample = examples(docs, labels, bound, fold)
+    # stored: two passes read it
+    sample = written(examples(docs, labels, bound, fold), "examples")
     if (found := vocabulary(sample)) is None:
         return None
     known, prior = found
@@ -224,24 +235,27 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = F
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        rows = ((d, y, *map(list, v)) for b in batches for d, t, y in zip(*(b.column(i).to_pylist() for i in range(3))) for v in [m.vector(t)])
-        yield from arrow_rows(rows, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("t", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]), 500)
-
-    # at most `bound` rows
-    rows = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, t array<int>, n array<int>").collect()
-    none = [r.toxic for r in rows if not r.t]
-    whole: dict[Vector, list[tuple[int, int]]] = {}
-    for r in sorted(rows, key=lambda r: (r.doc_id, r.toxic)):
-        if r.t:
-            whole.setdefault((tuple(r.t), tuple(r.n)), []).append((r.doc_id, r.toxic))
+        rows = ((d, y, *map(packed, m.vector(t))) for b in batches for d, t, y in zip(*(b.column(i).to_pylist() for i in range(3))))
+        yield from arrow_rows(rows, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("t", pa.binary()), ("n", pa.binary())]), 500)
+
+    # at most `bound` rows; their terms stay packed, 8 bytes each, as the driver holds them
+    rows = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id long, toxic int, t binary, n binary").toArrow().to_pydict()
+    discard(sample)
+    none = [y for y, t in zip(rows["toxic"], rows["t"]) if not t]
+    whole: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
+    for d, y, t, n in zip(*rows.values()):
+        if t:
+            whole.setdefault((t, n), []).append((d, y))
+    del rows
     model = Model(known, Index(known, []), np.zeros(0, np.int64), np.zeros(0), (sum(none) + prior) / (len(none) + 1), prior, (np.zeros(0), np.zeros(0)))
     if not whole:
         return model
     held = sorted(whole.items())
     # nearly equal examples: the lowest of them stands for all
-    index = Index(known, [v for v, _ in held])
+    vectors_of = [unpacked(v) for v, _ in held]
+    index = Index(known, vectors_of)
     root = [*range(len(held))]
-    for i, near in own_neighbours(spark, known, index, [v for v, _ in held], 3):
+    for i, near in own_neighbours(spark, known, index, vectors_of, 3):
         for c, j in near:
             if c >= NEAR:
                 a, b = _find(root, i), _find(root, j)
@@ -249,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = F
     groups: dict[int, list[tuple[int, int]]] = {}
     for i, (_, ys) in enumerate(held):
         groups.setdefault(_find(root, i), []).extend(ys)
-    kept = [held[i][0] for i in groups]
+    kept = [vectors_of[i] for i in groups]
     model.index = Index(known, kept)
     model.doc_ids = np.array([min(ys)[0] for ys in groups.values()], np.int64)
     model.toxic = np.array([sum(y for _, y in ys) / len(ys) for ys in groups.values()])
@@ -258,6 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = EXAMPLES, fold: int = F
         # without the example itself: it is among the k + 1 nearest, or k others tie with it
         votes[i] = model.vote([x for x in near if x[1] != i][:NEIGHBOURS])
     model.knots = isotonic(votes, model.toxic)
+    del held, whole, index, vectors_of, kept
+    trim()
     return model
 
 
