@@ -1,8 +1,8 @@
 """Entity resolution: label indexes, aliases and overrides, scoped fuzzy matching, and the containment fallback.
 
 Every distinct value is matched once, within its scope's candidates only (an equi-join), and joined back. Ratios are
-taken in Arrow, a group of values against a block of labels at a time; an index is stored and counted first, to see whether
-the keys of its blocks are few enough to send out.
+taken in Arrow, a group of values against a block of labels at a time, in a tree of the labels' beginnings where they share
+enough of them (lcs.Index); an index is stored and counted first, to see whether the keys of its blocks are few enough to send out.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def overridden(values: DataFrame, overrides: DataFrame) -> DataFrame:
 
 
 #: Labels of a block, values that meet it at once, and blocks whose keys are broadcast at most.
-BLOCK, VALUES, SMALL_INDEX = 1024, 32, 100_000
+BLOCK, VALUES, SMALL_INDEX = 1 << 16, 512, 100_000
 _HIT = "key string, ord long, points int, compared long"
 
 
@@ -91,55 +91,46 @@ def label_blocks(labels: DataFrame, scope: list[str]) -> DataFrame:
     return _numbered(sized, [*scope, "size"], BLOCK, "part", "key").groupBy(*scope, "size", "part").agg(F.collect_list(F.struct("ord", "key", "_b")).alias("labels"))
 
 
-def _compared(asked: DataFrame, blocks: DataFrame, scope: list[str], few: bool) -> DataFrame:
-    """(scope, _query, _HIT): for values (_query, _a, least) and blocks of one length, the best label of each block that reaches `least`.
+def _compared(asked: DataFrame, blocks: DataFrame, scope: list[str], few: bool, tasks: int) -> DataFrame:
+    """(scope, _query, _HIT): for values (_query, _a, least, before) and blocks of one length, the best label of each block that has more points than `least`, or as many and an ord of `before` at most (null: any).
 
-    `only` names the one part of that length that a value meets, `skip` one that it doesn't (-1: none). A block's labels are
-    compared in the order of their bounds by letter classes, until the next bound is below the best. A block lies
-    before the groups of values that meet it, so that its labels are sent once and a task holds those of one block.
+    `only` names the one part of that length that a value meets, `skip` one that it doesn't (-1: none). `compared` counts the labels that a value was held
+    against, letters of beginnings added up to whole labels. A block lies before the groups of values that meet it, so that its labels are sent once and a task holds
+    those of one block.
     """
     by = [*scope, "size"]
     kinds = {f.name: f.dataType.simpleString() for f in asked.schema.fields}
 
-    def best_of(block: lcs.Block, size: np.ndarray, labels: list[dict], v: dict, h: np.ndarray) -> tuple:
-        total = size + len(v["_a"])
-        bound = lcs.points(block.bounds(h), total)
-        order = np.flatnonzero(bound >= v["least"])
-        order = order[np.argsort(-bound[order], kind="stable")]
-        best, done, step = (v["least"], None), 0, 16
-        while done < len(order) and bound[order[done]] >= best[0]:
-            at = order[done : done + step]
-            at = at[bound[at] >= best[0]]
-            points = lcs.points(block.lengths(v["_a"], at), total[at])
-            for i in at[points == points.max()].tolist() if points.max() >= best[0] else ():
-                rank = (-labels[i]["ord"], labels[i]["key"])
-                if points.max() > best[0] or best[1] is None or rank > best[1]:
-                    best = (int(points.max()), rank)
-            done += len(at)
-            step *= 2
-        return best[1] and best[1][1], best[1] and -best[1][0], best[0], done
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels, block, size = [], None, None
+        keys, ords, index = [], np.zeros(0, np.int64), None
         for batch in batches:
+            of_values, of_labels = batch.column("values"), batch.column("labels")
             for row in range(batch.num_rows):
-                values, held, *own = (batch.column(c)[row].as_py() for c in ("values", "labels", *scope))
-                if values is None:
-                    labels, block = held, lcs.Block([r["_b"] for r in held])
-                    size = np.array([len(t) for t in block.texts])
+                if not of_values[row].is_valid:
+                    held = of_labels[row].values
+                    keys, texts, ords = held.field("key").to_pylist(), held.field("_b").to_pylist(), held.field("ord").to_numpy(zero_copy_only=False)
+                    # the lower ord is first, then the larger key
+                    order = sorted(range(len(keys)), key=keys.__getitem__, reverse=True)
+                    order = np.array(order)[np.argsort(ords[order], kind="stable")]
+                    keys, texts, ords = [keys[i] for i in order], [texts[i] for i in order], ords[order]
+                    index = lcs.Index(texts, np.arange(len(texts)))
                     continue
-                out = [(*own, v["_query"], *best_of(block, size, labels, v, h)) for v, h in zip(values, lcs.histogram([v["_a"] for v in values]))]
-                yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in out], schema=to)
+                asked_ = of_values[row].values
+                before = [len(ords) if x is None else int(np.searchsorted(ords, x, side="right")) for x in asked_.field("before").to_pylist()]
+                points, ranks, compared = index.best(asked_.field("_a").to_pylist(), asked_.field("least").to_numpy(zero_copy_only=False), np.array(before))
+                own = [pa.array([batch.column(c)[row].as_py()] * len(ranks), to.field(c).type) for c in scope]
+                found = [(keys[i], int(ords[i])) if i >= 0 else (None, None) for i in ranks.tolist()]
+                rest = [pa.array([k for k, _ in found], pa.string()), pa.array([o for _, o in found], pa.int64()), pa.array(points, pa.int32()), pa.array(compared, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*own, asked_.field("_query").cast(pa.string()), *rest], schema=to)
 
-    names = [*scope, "_query", "key", "ord", "points", "compared"]
     to = pa.schema([(c, _ARROW.get(kinds[c], pa.string())) for c in scope] + [("_query", pa.string()), ("key", pa.string()), ("ord", pa.int64()), ("points", pa.int32()), ("compared", pa.int64())])
     which = [*by, "only", "skip"]
-    groups = _numbered(asked, which, VALUES, "_group", "_query").groupBy(*which, "_group").agg(F.collect_list(F.struct("_query", "_a", "least")).alias("values"))
+    groups = _numbered(asked, which, VALUES, "_group", "_query").groupBy(*which, "_group").agg(F.collect_list(F.struct("_query", "_a", "least", "before")).alias("values"))
     keys = blocks.select(*by, "part")
     met = groups.join(F.broadcast(keys) if few else keys, by).where("(only < 0 or part = only) and part <> skip")
     first = blocks.select(*by, "part", F.lit(None).cast(groups.schema["values"].dataType).alias("values"), "labels")
     rows = first.unionByName(met.select(*by, "part", "values", F.lit(None).cast(blocks.schema["labels"].dataType).alias("labels")))
-    dealt = rows.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, "part").sortWithinPartitions(*by, "part", F.col("values").isNotNull())
+    dealt = rows.repartition(min(tasks, int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *by, "part").sortWithinPartitions(*by, "part", F.col("values").isNotNull())
     return dealt.select(*scope, "values", "labels").mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in scope), "_query string", _HIT]))
 
 
@@ -156,33 +147,39 @@ def searched(asked: DataFrame, labels: DataFrame, scope: list[str]) -> DataFrame
     """(scope, _query, key, ord, points, compared): candidates for each value's best label of its scope, the best among them, and how many labels were compared.
 
     Labels lie in blocks of one scope and length. A value first meets one block of the length that is nearest to its own; the
-    best of it is the score to reach in the other blocks of that length, and the best of both says which other lengths can
+    best of it is what to reach in the other blocks of that length, and the best of both says which other lengths can
     still hold as good a label. Nothing is pruned that could be the best, whatever the threshold; equal scores are kept
     apart by ord and key.
     """
     blocks = stored(label_blocks(labels.select(*scope, "key", "ord", "_b"), scope))
-    of_size = blocks.groupBy(*scope, "size").agg(F.min("part").alias("part"), F.count("*").alias("blocks"))
-    sizes = of_size.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("size", "part", "blocks"))).alias("sizes"))
-    there = blocks.agg(F.count("*").alias("blocks")).first(), sizes.agg(F.max(F.size("sizes")).alias("sizes"), F.max(F.array_max(F.transform("sizes", lambda s: s["blocks"]))).alias("blocks")).first()
+    of_size = blocks.groupBy(*scope, "size").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    sizes = of_size.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct("size", "parts"))).alias("sizes"))
+    there = blocks.agg(F.count("*").alias("blocks")).first(), sizes.agg(F.max(F.size("sizes")).alias("sizes"), F.max(F.array_max(F.transform("sizes", lambda s: F.size(s["parts"])))).alias("blocks")).first()
     few = there[0]["blocks"] <= SMALL_INDEX
+    # a block lies in one task, so that more of them would start for nothing
+    tasks = max(1, 2 * there[0]["blocks"])
     own = F.char_length("_a")
-    near = F.array_min(F.transform("sizes", lambda s: F.struct(F.abs(s["size"] - own).alias("off"), s["size"].alias("size"), s["part"].alias("part"), s["blocks"].alias("blocks"))))
-    known = asked.join(F.broadcast(sizes) if few else sizes, scope).withColumn("near", near).withColumns({"home": F.col("near.size"), "first": F.col("near.part"), "blocks": F.col("near.blocks")}).drop("near")
-    columns = [*scope, "size", "only", "skip", "_query", "_a", "least"]
+    near = F.array_min(F.transform("sizes", lambda s: F.struct(F.abs(s["size"] - own).alias("off"), s["size"].alias("size"), s["parts"].alias("parts"))))
+    # values are dealt over the blocks of their length
+    one = F.element_at("near.parts", (F.pmod(F.xxhash64("_query"), F.size("near.parts")) + 1).cast("int"))
+    known = asked.join(F.broadcast(sizes) if few else sizes, scope).withColumn("near", near).withColumns({"home": F.col("near.size"), "first": one, "blocks": F.size("near.parts")}).drop("near")
+    columns = [*scope, "size", "only", "skip", "_query", "_a", "least", "before"]
     none = F.lit(-1)
 
     def best(df: DataFrame) -> DataFrame:
-        return df.groupBy(*scope, "_query").agg(F.max("points").cast("int").alias("least"))
+        m = F.max(F.struct("points", (-F.col("ord")).alias("first")))
+        return df.groupBy(*scope, "_query").agg(m.alias("m")).select(*scope, "_query", F.col("m.points").cast("int").alias("least"), (-F.col("m.first")).alias("before"))
 
     known = stored(known)
-    found = stored(_compared(known.select(*scope, F.col("home").alias("size"), F.col("first").alias("only"), none.alias("skip"), "_query", "_a", F.lit(0).alias("least")), blocks, scope, few))
+    start = {"size": F.col("home"), "only": F.col("first"), "skip": none, "least": F.lit(0), "before": F.lit(None).cast("long")}
+    found = stored(_compared(known.withColumns(start).select(*columns), blocks, scope, few, tasks))
     if (there[1]["blocks"] or 0) > 1:
-        more = known.where("blocks > 1").join(best(found), [*scope, "_query"]).select(*scope, F.col("home").alias("size"), none.alias("only"), F.col("first").alias("skip"), "_query", "_a", "least")
-        found = stored(found.unionByName(_compared(more, blocks, scope, few)))
+        more = known.where("blocks > 1").join(best(found), [*scope, "_query"]).withColumns({"size": F.col("home"), "only": none, "skip": F.col("first")})
+        found = stored(found.unionByName(_compared(more.select(*columns), blocks, scope, few, tasks)))
     if (there[1]["sizes"] or 0) > 1:
         others = F.explode(F.filter(F.transform("sizes", lambda s: s["size"]), lambda s: (s != F.col("home")) & (_reach(s, own) >= F.col("least"))))
         open_ = known.join(best(found), [*scope, "_query"]).withColumns({"size": others, "only": none, "skip": none})
-        found = found.unionByName(_compared(open_.select(*columns), blocks, scope, few))
+        found = found.unionByName(_compared(open_.select(*columns), blocks, scope, few, tasks))
     return found
 
 
@@ -195,7 +192,8 @@ def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold:
     """
     keyed = values.withColumn("_query", F.lower(strip("name")))
     ids = [c for c in IDS if c in index.columns]
-    labels = index.select(*scope, "key", F.col("ord").cast("long").alias("ord"), sorted_tokens("key").alias("_b"))
+    index = stored(index.withColumn("_b", sorted_tokens("key")))
+    labels = index.select(*scope, "key", F.col("ord").cast("long").alias("ord"), "_b")
     asked = keyed.select("_query", *scope).where("_query is not null").distinct().withColumn("_a", sorted_tokens("_query"))
     same = asked.join(labels.withColumnRenamed("_b", "_a"), ["_a", *scope]).select("_query", *scope, "key", "ord", F.lit(10_000).alias("points"))
     rest = asked.join(same.select("_query", *scope).distinct(), ["_query", *scope], "left_anti")
@@ -206,7 +204,7 @@ def best_match(values: DataFrame, index: DataFrame, scope: list[str], threshold:
     scored = same.unionByName(found.select("_query", *scope, "key", "ord", "points"))
     best = scored.groupBy("_query", *scope).agg(F.max(F.struct("points", (-F.col("ord")).alias("first"), "key")).alias("m"))
     best = best.select("_query", *scope, F.col("m.key").alias("key"), (F.col("m.points") / 10_000.0).alias("score"))
-    best = best.join(index.drop("ord"), ["key", *scope]).select("_query", *scope, F.struct("score", "key", "qid", "label", "source", *ids).alias("m"))
+    best = best.join(index.drop("ord", "_b"), ["key", *scope]).select("_query", *scope, F.struct("score", "key", "qid", "label", "source", *ids).alias("m"))
     out = keyed.join(best, ["_query", *scope], "left")
     ok = F.col("m.score") >= threshold
     kind = F.when(F.col("_query") == F.col("m.key"), "Exact match").otherwise(F.format_string("Fuzzy match (score=%.2f)", "m.score"))

@@ -95,3 +95,47 @@ def test_bounds():
 
         at = np.arange(len(block.texts))
         assert (block.lengths(text, at) <= block.bounds(lcs.histogram([text])[0])).all()
+
+
+def test_few_comparisons_of_numbers(spark):
+    """Labels of one length that differ in digits only, where letter classes exclude next to nothing: beginnings are compared once for all labels that have them."""
+    rng = random.Random(11)
+    labels = [(f"customer#{i:09d}", i, "A") for i in rng.sample(range(150_000), 6000)]
+    asked = spark.createDataFrame([(f"supplier#{i:09d}", "A") for i in rng.sample(range(10_000), 40)], "_query string, scope string").withColumn("_a", F.col("_query"))
+    found = matching.searched(asked, index(spark, labels).withColumn("_b", F.col("key")), ["scope"])
+    assert found.agg(F.sum("compared")).first()[0] < 0.05 * 40 * 6000
+
+
+def test_numbers_in_several_blocks(spark, monkeypatch):
+    """Many labels have the best score; the first of them may lie in any block."""
+    for name, n in (("BLOCK", 64), ("VALUES", 8)):
+        monkeypatch.setattr(matching, name, n)
+    rng = random.Random(12)
+    labels = [(f"customer#{i:09d}", n // 2, rng.choice("AB")) for n, i in enumerate(rng.sample(range(3000), 500))]
+    values = [(f"supplier#{i:09d}{at}", s) for i in rng.sample(range(3000), 15) for at in ("", " bei nation_12", " #" * 40) for s in "AB"]
+    assert got(spark, values, labels) == plain(values, labels)
+
+
+@pytest.mark.parametrize("width", [1, 2, 8])
+@pytest.mark.parametrize("shared", [0, 0.4, 2])
+def test_index_of_texts(monkeypatch, width, shared):
+    """With and without trees, however few nodes are kept at first, the best text and the first of equals."""
+    import numpy as np
+
+    for name, n in (("WIDTH", width), ("GROWTH", 2), ("PAIRS", 16), ("SHARED", shared)):
+        monkeypatch.setattr(lcs.Index, name, n)
+    rng = random.Random(13)
+    say = lambda letters, n: "".join(rng.choices(letters, k=rng.choice(n)))
+    texts = [rng.choice(["customer#", "x", "aa é "]) + say("0123", [3, 4, 5]) for _ in range(150)]
+    values = ["supplier#" + say("0123", [0, 4, 5]) for _ in range(15)] + ["bei nation_2 supplier#" + say("0123", [5]) for _ in range(5)] + ["", "zzz", "c" * 70, "0" * 80, "😀é"]
+    ranks = rng.sample(range(len(texts)), len(texts))
+    least, below = ([rng.choice(x) for _ in values] for x in ([0, 5000, 8000], [0, 75, 1000]))
+    points, found, _ = lcs.Index(texts, ranks).best(values, np.array(least), np.array(below))
+    for i, v in enumerate(values):
+        every = [(ratio_of(v, t), -r) for t, r in zip(texts, ranks)]
+        best = max((x for x in every if x[0] > least[i] or (x[0] == least[i] and -x[1] < below[i])), default=(least[i], 1))
+        assert (points[i], found[i]) == (best[0], -best[1])
+
+
+def ratio_of(a, b):
+    return int(lcs.points([lcs.length(a, b)], [len(a) + len(b)])[0])
