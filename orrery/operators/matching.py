@@ -248,7 +248,7 @@ def transitive_match(values: DataFrame, labels: DataFrame, parts: DataFrame, sco
 
 def two_stage(values: DataFrame, index: DataFrame, labels: DataFrame, parts: DataFrame, scope: str, threshold: float, suffixes: str) -> DataFrame:
     """best_match, then transitive_match for those without a match; what neither finds says so."""
-    first = best_match(values, index, [scope], threshold, scope_name=f"P131={scope}")
+    first = stored(best_match(values, index, [scope], threshold, scope_name=f"P131={scope}"))
     open_ = values.join(first.where("qid is null").select("raw", scope), ["raw", scope], "left_semi")
     second = transitive_match(open_, labels, parts, scope, suffixes)
     none = open_.join(second.select("raw", scope), ["raw", scope], "left_anti").select("raw", scope, F.lit("No match in Stage 1 (fuzzy) or Stage 2 (transitive P131+)").alias("reason"))
